@@ -30,9 +30,10 @@ def flow_by_table_op(recs: DataFrame) -> DataFrame:
 
 def nested_counts(by_table_op: DataFrame) -> DataFrame:
     """One row, ``per_table``: table to (operation to count). At most four operations per table."""
-    ops = F.map_from_entries(F.array_sort(F.collect_list(F.struct("op", "n"))))
-    per_table = by_table_op.groupBy("table").agg(ops.alias("ops"))
-    return per_table.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("table", "ops")))).alias("per_table"))
+    per_table = by_table_op.groupBy("table").agg(F.array_sort(F.collect_list(F.struct("op", "n"))).alias("ops"))
+    rows = F.array_sort(F.collect_list(F.struct("table", "ops")))
+    as_map = lambda r: F.struct(r["table"], F.map_from_entries(r["ops"]))
+    return per_table.agg(F.map_from_entries(F.transform(rows, as_map)).alias("per_table"))
 
 
 def rejects_by_reason(recs: DataFrame) -> DataFrame:

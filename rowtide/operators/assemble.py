@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
 from rowtide.functions.ids import EVENT_ID_NAMESPACE, digest_uuid, name_digest
 from rowtide.operators.control import drop_control
-from rowtide.operators.envelope import cdc_source, parse, true_timestamp, with_fingerprint
+from rowtide.operators.envelope import cdc_source, fenced, parse, true_timestamp, with_fingerprint
 from rowtide.operators.project import INLINE_COLUMNS, KEEP_NULLS, router
 
 OPERATIONS = ("c", "u", "d", "r")
@@ -57,7 +56,8 @@ def records(
     """Every data change of the feed, accepted or rejected, in one pass and without a shuffle.
 
     This wide form is what to write once at scale; ``events``, ``rejected``, the accounting and the
-    schema changes are then cheap column reads of it.
+    schema changes are then cheap column reads of it. The flow totals are also observed as the
+    records pass, under a metric named ``flow-...``.
     """
     r = router(contracts, inline_columns)
     routed = r.route(with_fingerprint(parse(drop_control(feed))))
@@ -73,7 +73,7 @@ def records(
         cdc_source(connector).alias("cdc_source"),
     )
     hashed = named.withColumn("_digest", name_digest(F.col("canonical_name"), namespace))
-    return hashed.select(
+    done = hashed.select(
         "seq",
         digest_uuid(F.col("_digest")).alias("event_id"),
         "app_id",
@@ -93,31 +93,24 @@ def records(
         "column_fingerprint",
         "column_names",
     )
-
-
-def _fenced(df: DataFrame) -> DataFrame:
-    """Count what passes, which also keeps a later filter from being pushed below the parse.
-
-    A filter on a derived column would otherwise be rewritten in terms of the raw text, and each
-    envelope would be parsed twice: once to filter and once to project.
-    """
     reason = F.col("drop_reason")
-    return df.observe(
-        Observation(f"flow-{uuid.uuid4().hex}"),
-        F.count(F.lit(1)).alias("received"),
-        F.count_if(reason.isNull()).alias("emitted"),
-        F.count_if(reason.isNotNull()).alias("dropped"),
+    return fenced(
+        done,
+        "flow",
+        received=F.count(F.lit(1)),
+        emitted=F.count_if(reason.isNull()),
+        dropped=F.count_if(reason.isNotNull()),
     )
 
 
 def events(recs: DataFrame) -> DataFrame:
     """The accepted records as events."""
-    return _fenced(recs).where(F.col("drop_reason").isNull()).select(*EVENT_COLUMNS)
+    return recs.where(F.col("drop_reason").isNull()).select(*EVENT_COLUMNS)
 
 
 def rejected(recs: DataFrame) -> DataFrame:
     """The rejected records with the reason."""
-    return _fenced(recs).where(F.col("drop_reason").isNotNull()).select(*REJECT_COLUMNS)
+    return recs.where(F.col("drop_reason").isNotNull()).select(*REJECT_COLUMNS)
 
 
 def dedup(evts: DataFrame) -> DataFrame:
@@ -147,7 +140,7 @@ def to_wire(
     """
 
     def b64(c: Column) -> Column:
-        return F.base64(F.encode(c, "UTF-8"))
+        return F.translate(F.base64(F.encode(c, "UTF-8")), "\r\n", "")
 
     def described(uri: Column, data: Column) -> Column:
         return F.concat(F.lit('{"schema":'), _json_text(uri), F.lit(',"data":'), data, F.lit("}"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +45,8 @@ def parse(feed: DataFrame) -> DataFrame:
     )
     read = read.withColumn("_env", F.when(odd, _loose(F.col("_variant"))).otherwise(typed))
     source = F.col("_env.source")
-    kept = [c for c in feed.columns]
-    return read.select(
-        *kept,
+    done = read.select(
+        *feed.columns,
         "_env.unparseable",
         "_env.op",
         "_env.before",
@@ -59,6 +60,17 @@ def parse(feed: DataFrame) -> DataFrame:
         F.coalesce(source["ts_ms"], F.lit(0)).alias("ts_ms"),
         "_env.columns",
     )
+    return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
+
+
+def fenced(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
+    """Observe metrics as rows pass; filters above stay above.
+
+    A filter on a derived column would otherwise be rewritten in terms of the raw text and pushed
+    down, and each envelope would be parsed twice: once to filter and once to project. Columns
+    nobody reads are still pruned.
+    """
+    return df.observe(f"{name}-{uuid.uuid4().hex}", *[m.alias(n) for n, m in metrics.items()])
 
 
 def _after_columns(fields: Column) -> Column:

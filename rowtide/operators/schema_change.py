@@ -75,10 +75,10 @@ def column_diff(a: Column, b: Column) -> Column:
 
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
-    """The last snapshot of each table."""
+    """The last snapshot of each table. Rows are folded per distinct schema before they are compared."""
+    keys = ("table_schema", "table_name")
+    folded = snapshots.groupBy(*keys, "column_fingerprint", "column_names").agg(F.max("seq").alias("seq"))
     last = F.max_by(F.struct("seq", "column_fingerprint", "column_names"), "seq")
-    return (
-        snapshots.groupBy("table_schema", "table_name")
-        .agg(last.alias("_s"))
-        .select("_s.seq", "table_schema", "table_name", "_s.column_fingerprint", "_s.column_names")
+    return folded.groupBy(*keys).agg(last.alias("_s")).select(
+        "_s.seq", *keys, "_s.column_fingerprint", "_s.column_names"
     )

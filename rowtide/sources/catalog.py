@@ -104,14 +104,11 @@ def index_columns(indexes: DataFrame, attributes: DataFrame) -> DataFrame:
 def observed_columns(parsed: DataFrame) -> DataFrame:
     """Catalog columns as the feed shows them: those of the last schema block of each table.
 
-    Lets drift run over a data lake with no database at hand. The last block is found with a partial
-    aggregate, so a busy table costs one row per task.
+    Lets drift run over a data lake with no database at hand. Records are first folded to one row per
+    task, table and distinct block, so a busy table costs no more than a quiet one.
     """
-    last = (
-        parsed.where(F.col("columns").isNotNull())
-        .groupBy(*TABLE)
-        .agg(F.max_by("columns", "seq").alias("columns"))
-    )
+    blocks = parsed.where(F.col("columns").isNotNull()).groupBy(*TABLE, "columns").agg(F.max("seq").alias("seq"))
+    last = blocks.groupBy(*TABLE).agg(F.max_by("columns", "seq").alias("columns"))
     return last.select(*TABLE, F.posexplode("columns").alias("pos", "c")).select(
         *TABLE,
         F.coalesce("c.field", F.lit("")).alias("name"),
