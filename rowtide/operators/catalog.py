@@ -81,6 +81,7 @@ def assemble_catalog(cat: Catalog) -> DataFrame:
         .groupBy(*TABLE)
         .agg(in_order(F.struct(*fields), F.col("ordinal")).alias("columns"))
     )
+    no_columns = F.array().cast(columns.schema["columns"].dataType)
     identities = cat.identities.groupBy(*TABLE).agg(F.max("relreplident").alias("code"))
     empty = F.array().cast("array<string>")
     return (
@@ -90,9 +91,7 @@ def assemble_catalog(cat: Catalog) -> DataFrame:
         .select(
             *TABLE,
             replica_identity(F.col("code")).alias("replica_identity"),
-            F.when(F.col("columns").isNull(), F.filter("columns", lambda c: F.lit(False)))
-            .otherwise(F.col("columns"))
-            .alias("columns"),
+            F.coalesce("columns", no_columns).alias("columns"),
             F.coalesce("primary_key", empty).alias("primary_key"),
             F.coalesce("unique_indexes", F.array().cast("array<array<string>>")).alias("unique_indexes"),
         )

@@ -293,7 +293,7 @@ def tx_regex_extract(spark, sf):
 
 @query
 def tx_regex_replace(spark, sf):
-    return _cells(spark, sf, "email", {"regex_replace": {"pattern": "([a-z]+)@([A-Z])", "replacement": "$2-$1"}})
+    return _cells(spark, sf, "email", {"regex_replace": {"pattern": "([eE])", "replacement": "<$1>"}})
 
 
 @query
