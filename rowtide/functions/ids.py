@@ -11,10 +11,7 @@ EVENT_ID_NAMESPACE = "8a1f4e5c-c0de-4cdc-a000-000000000001"
 
 def lsn_text(lsn: Column) -> Column:
     """``HI/LO`` in upper-case hexadecimal without padding; null stays null."""
-    return F.when(
-        lsn.isNotNull(),
-        F.format_string("%X/%X", F.shiftrightunsigned(lsn, 32), lsn.bitwiseAND(F.lit(4294967295))),
-    )
+    return F.concat(F.hex(F.shiftrightunsigned(lsn, 32)), F.lit("/"), F.hex(lsn.bitwiseAND(F.lit(4294967295))))
 
 
 def name_digest(name: Column, namespace: str = EVENT_ID_NAMESPACE) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowtide.contract import TableContract
-from rowtide.functions.ids import EVENT_ID_NAMESPACE, digest_uuid, name_digest
+from rowtide.functions.ids import EVENT_ID_NAMESPACE, digest_uuid, lsn_text, name_digest
 from rowtide.operators.control import drop_control
-from rowtide.operators.envelope import cdc_source, fenced, parse, true_timestamp, with_fingerprint
-from rowtide.operators.project import INLINE_COLUMNS, KEEP_NULLS, router
+from rowtide.operators.envelope import cdc_source, fenced, parsed_columns, true_timestamp, with_fingerprint
+from rowtide.operators.project import INLINE_COLUMNS, KEEP_NULLS, canonical_name, key_image, payload, router
 
 OPERATIONS = ("c", "u", "d", "r")
 
@@ -52,25 +52,37 @@ def records(
     per_table_app_id: bool = False,
     namespace: str = EVENT_ID_NAMESPACE,
     inline_columns: int = INLINE_COLUMNS,
+    with_names: bool = False,
 ) -> DataFrame:
     """Every data change of the feed, accepted or rejected, in one pass and without a shuffle.
 
     This wide form is what to write once at scale; ``events``, ``rejected``, the accounting and the
     schema changes are then cheap column reads of it. The flow totals are also observed as the
-    records pass, under a metric named ``flow-...``.
+    records pass, under a metric named ``flow-...``. ``with_names`` adds what the id is made of:
+    ``canonical_name``, and the key as ``pk``. A feed landed by ``rowtide.sources.landing`` is taken
+    as it is, without parsing.
     """
     r = router(contracts, inline_columns)
-    routed = r.route(with_fingerprint(parse(drop_control(feed))))
-    judged = routed.withColumn("drop_reason", drop_reason(r.bad_cell()))
+    parsed = feed if "columns" in feed.columns else parsed_columns(drop_control(feed))
+    routed = r.route(with_fingerprint(parsed))
+    judged = routed.select(
+        "*",
+        drop_reason(r.bad_cell()).alias("drop_reason"),
+        lsn_text(F.col("lsn_num")).alias("lsn"),
+        key_image().alias("key_image"),
+    )
     accepted = F.col("drop_reason").isNull()
     own = F.coalesce(F.col("table_app_id"), F.lit(app_id)) if per_table_app_id else F.lit(app_id)
+    kept = ["seq", "table_schema", "table_name", "op", "schema_uri", "lsn_num", "drop_reason", "destination",
+            "column_fingerprint", "column_names", "ts_ms"]
     named = judged.select(
-        "*",
-        F.when(accepted, r.payload()).alias("payload"),
-        F.when(accepted, r.canonical_name(connector)).alias("canonical_name"),
-        F.when(accepted, r.primary_key()).alias("pk"),
+        *kept,
+        F.when(accepted, payload(r.image("before"), r.image("after"))).alias("payload"),
+        F.when(accepted, canonical_name(connector, F.col("lsn"), r.primary_key(sort=True))).alias("canonical_name"),
+        *([F.when(accepted, r.primary_key()).alias("pk")] if with_names else []),
         F.when(accepted, own).alias("app_id"),
-        cdc_source(connector).alias("cdc_source"),
+        cdc_source(connector, F.col("lsn")).alias("cdc_source"),
+        F.when(~accepted, F.col("value")).alias("value"),
     )
     hashed = named.withColumn("_digest", name_digest(F.col("canonical_name"), namespace))
     done = hashed.select(
@@ -85,13 +97,12 @@ def records(
         "payload",
         "cdc_source",
         "lsn_num",
-        "canonical_name",
-        "pk",
         "drop_reason",
         "destination",
-        F.when(~accepted, F.col("value")).alias("value"),
+        "value",
         "column_fingerprint",
         "column_names",
+        *(["canonical_name", "pk"] if with_names else []),
     )
     reason = F.col("drop_reason")
     return fenced(

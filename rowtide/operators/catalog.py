@@ -41,12 +41,15 @@ def enum_labels(enums: DataFrame) -> DataFrame:
 
 
 def columns_with_enums(cat: Catalog) -> DataFrame:
-    """Columns plus the ordered labels of their type, for user-defined types only."""
-    labels = enum_labels(cat.enums)
+    """Columns plus the ordered labels of their type, for user-defined types only.
+
+    Only those columns are joined: the rest, gathered on a few built-in type names, would make hot keys.
+    """
     custom = F.col("data_type") == "USER-DEFINED"
-    stitched = cat.columns.join(labels, "udt_name", "left")
-    kept = [c for c in cat.columns.columns]
-    return stitched.select(*kept, F.when(custom, F.col("enum_labels")).alias("enum_labels"))
+    kept = [*cat.columns.columns, "enum_labels"]
+    stitched = cat.columns.where(custom).join(enum_labels(cat.enums), "udt_name", "left").select(*kept)
+    none = F.lit(None).cast("array<string>").alias("enum_labels")
+    return stitched.unionByName(cat.columns.where(~F.coalesce(custom, F.lit(False))).select("*", none))
 
 
 def primary_key_columns(cat: Catalog) -> DataFrame:

@@ -31,36 +31,39 @@ def parse(feed: DataFrame) -> DataFrame:
     ``before`` and ``after`` are null unless the envelope holds an object there; ``columns`` is null
     when the schema block has no ``after`` struct.
     """
+    done = parsed_columns(feed)
+    return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
+
+
+def parsed_columns(feed: DataFrame) -> DataFrame:
+    """``parse`` without the fence, for callers that put their own further up."""
     first = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": "_malformed"})
     read = feed.select("*", first.alias("_fast"))
-    odd = F.col("_fast._malformed").isNotNull()
-    read = read.withColumn("_variant", F.when(odd, F.try_parse_json("value")))
-    typed = F.struct(
-        F.lit(False).alias("unparseable"),
-        F.col("_fast.payload.op").alias("op"),
-        F.col("_fast.payload.before").alias("before"),
-        F.col("_fast.payload.after").alias("after"),
-        F.col("_fast.payload.source").alias("source"),
-        _after_columns(F.col("_fast.schema.fields")).alias("columns"),
-    )
-    read = read.withColumn("_env", F.when(odd, _loose(F.col("_variant"))).otherwise(typed))
-    source = F.col("_env.source")
-    done = read.select(
+    # A lambda is interpreted, so this rare path adds nothing to the generated code of the usual one.
+    again = F.get(F.transform(F.array(F.try_parse_json("value")), _loose), F.lit(0))
+    read = read.withColumn("_slow", F.when(F.col("_fast._malformed").isNotNull(), again))
+
+    def pick(slow: str, fast: Column) -> Column:
+        return F.when(F.col("_slow").isNotNull(), F.col(f"_slow.{slow}")).otherwise(fast)
+
+    def source(name: str) -> Column:
+        return pick(f"source.{name}", F.col(f"_fast.payload.source.{name}"))
+
+    return read.select(
         *feed.columns,
-        "_env.unparseable",
-        "_env.op",
-        "_env.before",
-        "_env.after",
-        F.coalesce(source["db"], F.lit("")).alias("db"),
-        F.coalesce(source["schema"], F.lit("")).alias("table_schema"),
-        F.coalesce(source["table"], F.lit("")).alias("table_name"),
-        source["lsn"].alias("lsn_num"),
-        source["txId"].alias("txid"),
-        (F.coalesce(source["snapshot"], F.lit("false")) != "false").alias("is_snapshot"),
-        F.coalesce(source["ts_ms"], F.lit(0)).alias("ts_ms"),
-        "_env.columns",
+        pick("unparseable", F.lit(False)).alias("unparseable"),
+        pick("op", F.col("_fast.payload.op")).alias("op"),
+        pick("before", F.col("_fast.payload.before")).alias("before"),
+        pick("after", F.col("_fast.payload.after")).alias("after"),
+        F.coalesce(source("db"), F.lit("")).alias("db"),
+        F.coalesce(source("schema"), F.lit("")).alias("table_schema"),
+        F.coalesce(source("table"), F.lit("")).alias("table_name"),
+        source("lsn").alias("lsn_num"),
+        source("txId").alias("txid"),
+        (F.coalesce(source("snapshot"), F.lit("false")) != "false").alias("is_snapshot"),
+        F.coalesce(source("ts_ms"), F.lit(0)).alias("ts_ms"),
+        pick("columns", _after_columns(F.col("_fast.schema.fields"))).alias("columns"),
     )
-    return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
 
 
 def fenced(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
@@ -136,14 +139,14 @@ def true_timestamp(ts_ms: Column) -> Column:
     return F.timestamp_millis(ts_ms)
 
 
-def cdc_source(connector: str) -> Column:
+def cdc_source(connector: str, lsn: Column | None = None) -> Column:
     """The lineage context of a parsed record; ``connector`` is the configured name."""
     return F.struct(
         F.lit(connector).alias("connector"),
         F.col("db"),
         F.nullif(F.col("table_schema"), F.lit("")).alias("schema"),
         F.col("table_name").alias("table"),
-        lsn_text(F.col("lsn_num")).alias("lsn"),
+        (lsn_text(F.col("lsn_num")) if lsn is None else lsn).alias("lsn"),
         F.col("txid"),
         F.col("is_snapshot"),
         F.col("ts_ms"),

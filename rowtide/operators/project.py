@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract
 from rowtide.functions.cells import apply_chain, apply_chain_rows
-from rowtide.functions.ids import lsn_text
 from rowtide.operators.control import _bounded
 from rowtide.operators.envelope import cell
 
@@ -89,25 +88,17 @@ class InlineRouter:
 
         return F.coalesce(self._pick(of, "boolean"), F.lit(False))
 
-    def payload(self) -> Column:
-        def of(t: TableContract) -> Column:
-            return _shape(lambda image: project(image, t))
+    def image(self, side: str) -> Column:
+        """JSON of the contracted columns of one image."""
+        return self._pick(lambda t: F.to_json(project(F.col(side), t), KEEP_NULLS), "string")
 
-        return self._pick(of, "string")
+    def primary_key(self, sort: bool = False) -> Column:
+        """JSON of the key columns, in contract order or sorted by name."""
 
-    def canonical_name(self, connector: str) -> Column:
         def of(t: TableContract) -> Column:
-            image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-            pk = F.struct(*[plain_number(cell(image, n)).alias(n) for n in sorted(set(t.primary_key))])
-            return _name(connector, pk)
-
-        return self._pick(of, "string")
-
-    def primary_key(self) -> Column:
-        def of(t: TableContract) -> Column:
-            image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-            pk = dict.fromkeys(t.primary_key)
-            return F.to_json(F.struct(*[plain_number(cell(image, n)).alias(n) for n in pk]), KEEP_NULLS)
+            names = sorted(set(t.primary_key)) if sort else dict.fromkeys(t.primary_key)
+            pk = [plain_number(cell(F.col("key_image"), n)).alias(n) for n in names]
+            return F.to_json(F.struct(*pk), KEEP_NULLS) if pk else F.lit("{}")
 
         return self._pick(of, "string")
 
@@ -146,32 +137,22 @@ class JoinedRouter:
 
         return F.coalesce(bad("before"), F.lit(False)) | F.coalesce(bad("after"), F.lit(False))
 
-    def payload(self) -> Column:
-        def image_of(image: Column) -> Column:
-            def entry(s: Column) -> Column:
-                value = F.try_element_at(image, s["name"])
-                text = apply_chain_rows(F.try_variant_get(value, "$", "string"), s["transforms"])
-                done = F.when(F.size(s["transforms"]) > 0, text.cast("variant")).otherwise(plain_number(value))
-                return F.struct(s["out"].alias("key"), done.alias("value"))
-
-            return F.map_from_entries(F.transform("specs", entry))
+    def image(self, side: str) -> Column:
+        def entry(s: Column) -> Column:
+            value = F.try_element_at(F.col(side), s["name"])
+            text = apply_chain_rows(F.try_variant_get(value, "$", "string"), s["transforms"])
+            done = F.when(F.size(s["transforms"]) > 0, text.cast("variant")).otherwise(plain_number(value))
+            return F.struct(s["out"].alias("key"), done.alias("value"))
 
-        return F.when(F.col("route").isNotNull(), _shape(image_of))
+        return F.to_json(F.map_from_entries(F.transform("specs", entry)), KEEP_NULLS)
 
-    def canonical_name(self, connector: str) -> Column:
-        return F.when(F.col("route").isNotNull(), _name(connector, self._pk("pk_sorted")))
+    def primary_key(self, sort: bool = False) -> Column:
+        def entry(n: Column) -> Column:
+            value = plain_number(F.try_element_at(F.col("key_image"), n))
+            return F.struct(n.alias("key"), value.alias("value"))
 
-    def primary_key(self) -> Column:
-        return F.when(F.col("route").isNotNull(), F.to_json(self._pk("pk_names"), KEEP_NULLS))
-
-    def _pk(self, names: str) -> Column:
-        image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-        return F.map_from_entries(
-            F.transform(
-                names,
-                lambda n: F.struct(n.alias("key"), plain_number(F.try_element_at(image, n)).alias("value")),
-            )
-        )
+        names = "pk_sorted" if sort else "pk_names"
+        return F.to_json(F.map_from_entries(F.transform(names, entry)), KEEP_NULLS)
 
 
 def router(contracts: Sequence[TableContract], inline_columns: int = INLINE_COLUMNS):
@@ -179,29 +160,26 @@ def router(contracts: Sequence[TableContract], inline_columns: int = INLINE_COLU
     return InlineRouter(contracts) if emitted <= inline_columns else JoinedRouter(contracts)
 
 
-def _shape(image_of: Callable[[Column], Column]) -> Column:
-    """The payload of an operation: a side it does not have gets no key."""
-    op = F.col("op")
-    before, after = image_of(F.col("before")).alias("before"), image_of(F.col("after")).alias("after")
-    return (
-        F.when(op.isin("c", "r"), F.to_json(F.struct(op, after), KEEP_NULLS))
-        .when(op == "u", F.to_json(F.struct(op, before, after), KEEP_NULLS))
-        .when(op == "d", F.to_json(F.struct(op, before), KEEP_NULLS))
-    )
+def key_image() -> Column:
+    """The image that identifies the row: the old one for a delete."""
+    return F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
 
 
-def _name(connector: str, pk: Column) -> Column:
-    """Coordinates of a change as JSON with sorted keys, nulls kept."""
-    return F.to_json(
-        F.struct(
-            F.lit(connector).alias("connector"),
-            F.col("db"),
-            lsn_text(F.col("lsn_num")).alias("lsn"),
-            F.col("op"),
-            pk.alias("pk"),
-            F.nullif(F.col("table_schema"), F.lit("")).alias("schema"),
-            F.col("table_name").alias("table"),
-            F.col("txid"),
-        ),
-        KEEP_NULLS,
-    )
+def payload(before: Column, after: Column) -> Column:
+    """The payload of an operation from the JSON of its images: a side it does not have gets no key."""
+    op = F.col("op")
+    return F.concat(
+        F.lit('{"op":"'), op, F.lit('"'),
+        F.when(op.isin("u", "d"), F.concat(F.lit(',"before":'), before)).otherwise(""),
+        F.when(op.isin("c", "r", "u"), F.concat(F.lit(',"after":'), after)).otherwise(""),
+        F.lit("}"),
+    )
+
+
+def canonical_name(connector: str, lsn: Column, pk: Column) -> Column:
+    """Coordinates of a change as JSON with sorted keys, nulls kept; ``pk`` is JSON with sorted keys."""
+    schema = F.nullif(F.col("table_schema"), F.lit("")).alias("schema")
+    head = F.struct(F.lit(connector).alias("connector"), "db", lsn.alias("lsn"), "op")
+    tail = F.struct(schema, F.col("table_name").alias("table"), "txid")
+    head, tail = F.to_json(head, KEEP_NULLS), F.to_json(tail, KEEP_NULLS)
+    return F.concat(F.rtrim(head, F.lit("}")), F.lit(',"pk":'), pk, F.lit(","), F.ltrim(tail, F.lit("{")))

@@ -24,8 +24,9 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
 
     One window per table would sort all changes of the busiest table in one task. Instead a table is
     cut into stretches of ``seq``. A window inside each stretch finds the transitions there, and only
-    its first and last row go on to the next, wider cut, where just the first ones are compared with
-    what came before. At the end a table is down to two rows per widest stretch.
+    its first and last row go on to the next, wider cut. There only rows that still have no
+    predecessor (``_open``) are compared with what came before. At the end a table is down to two rows
+    per widest stretch.
     """
     rows = snapshots.select(
         "seq", "table_schema", "table_name", "column_fingerprint", "column_names", F.lit(True).alias("_open")
@@ -34,7 +35,7 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
     for width in (*stretches, None):
         keys = [F.col("table_schema"), F.col("table_name")]
         if width is not None:
-            keys.append(F.floor(F.col("seq") / F.lit(width)))
+            keys.append(F.expr(f"seq div {width}"))
         w = Window.partitionBy(*keys).orderBy("seq")
         seen = rows.select(
             "*",
@@ -50,7 +51,7 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
         edges = seen.where(F.col("_prev").isNull() | F.col("_last"))
         rows = edges.select(
             "seq", "table_schema", "table_name", "column_fingerprint", "column_names",
-            F.col("_prev").isNull().alias("_open"),
+            (F.col("_open") & F.col("_prev").isNull()).alias("_open"),
         )
     return describe(reduce(DataFrame.unionByName, found))
 

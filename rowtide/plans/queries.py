@@ -339,16 +339,18 @@ def route_by_table(spark, sf):
 @query
 def pk_values(spark, sf):
     recs = assemble.records(
-        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID
-    )
+        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
+        with_names=True,
+    )
     return recs.where(F.col("drop_reason").isNull()).select("seq", "pk")
 
 
 @query
 def canonical_name(spark, sf):
     recs = assemble.records(
-        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID
-    )
+        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
+        with_names=True,
+    )
     return recs.where(F.col("drop_reason").isNull()).select("seq", "canonical_name")
 
 

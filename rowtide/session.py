@@ -12,6 +12,9 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # A JSON object that repeats a key keeps the last value instead of failing to parse.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # The JVM does not compile methods above 8,000 bytes of bytecode, so a larger generated stage would
+    # be interpreted. Spark then falls back to one projection per operator, in small methods.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

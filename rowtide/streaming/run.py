@@ -108,4 +108,20 @@ def write_events(evts: DataFrame, target: str, format: str = "parquet", **option
         rows = evts.select(F.col("event_id").alias("key"), as_json.alias("value"))
         rows.write.format("kafka").options(topic=target, **options).save()
         return
-    evts.write.mode("append").partitionBy("table_schema", "table_name").format(format).options(**options).save(target)
+    keys = ("table_schema", "table_name")
+    rows = evts.hint("rebalance", *keys)
+    rows.write.mode("append").partitionBy(*keys).format(format).options(**options).save(target)
+
+
+def live_totals(query: StreamingQuery) -> dict[str, int]:
+    """Received, emitted and dropped records of a running stream of ``events_stream``.
+
+    Summed over the batches the query still remembers; the last one alone may be an empty batch.
+    """
+    total = {"received": 0, "emitted": 0, "dropped": 0}
+    for progress in query.recentProgress:
+        for name, row in progress.observedMetrics.items():
+            if name.startswith("flow-"):
+                for k in total:
+                    total[k] += row[k]
+    return total

@@ -14,6 +14,7 @@ from rowtide.sources.feed import read_feed
 from rowtide.streaming.run import (
     dedup_stream,
     events_stream,
+    live_totals,
     read_events,
     read_flow,
     read_rejected,
@@ -131,7 +132,7 @@ def test_memory_sink(spark, tmp_path):
     q.awaitTermination()
     rows = spark.table("recorded").collect()
     assert len(rows) == 10 and {r.app_id for r in rows} == {"shop"}
-    assert sum(p.observedMetrics[k].received for p in q.recentProgress for k in p.observedMetrics if k.startswith("flow")) == 21
+    assert live_totals(q) == {"received": 21, "emitted": 10, "dropped": 11}
 
 
 def test_stream_dedup(spark, tmp_path):
