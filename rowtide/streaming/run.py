@@ -47,13 +47,11 @@ def run_stream(
         recs = records(batch, contracts, app_id=app_id, connector=connector)
         outcome = F.when(F.col("drop_reason").isNull(), "event").otherwise("reject").alias("outcome")
         recs.select("*", outcome).write.mode("overwrite").partitionBy("outcome").parquet(here)
-        written = _read_records(spark, here, recs)
-        if written is None:
-            return
+        written = spark.read.schema(recs.schema.add("outcome", "string")).parquet(here)
         carry_changes(spark, written, target, batch_id)
         flow = accounting.flow_by_table_op(written).select("table", "op", F.lit(None).cast("string").alias("drop_reason"), "n")
         lost = accounting.rejects_by_reason(written).select("table", F.lit(None).cast("string").alias("op"), "drop_reason", "n")
-        flow.unionByName(lost).coalesce(1).write.mode("overwrite").parquet(f"{target}/{FLOW}/batch_id={batch_id}")
+        flow.unionByName(lost).write.mode("overwrite").parquet(f"{target}/{FLOW}/batch_id={batch_id}")
         if on_batch is not None:
             on_batch(events(written), batch_id)
 
@@ -62,13 +60,6 @@ def run_stream(
     return writer.trigger(**trigger).start()
 
 
-def _read_records(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
-    """The written records of a batch; None if the batch had none."""
-    schema = like.schema.add("outcome", "string")
-    written = spark.read.schema(schema).parquet(path)
-    return written if written.inputFiles() else None
-
-
 def read_events(spark: SparkSession, target: str) -> DataFrame:
     return _outcome(spark, target, "event").select(*EVENT_COLUMNS)
 

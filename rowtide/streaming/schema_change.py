@@ -2,7 +2,9 @@
 
 The state is a small table: the last snapshot of each source table, one version per batch id. Inside
 a batch the batch operator does the work; the state only joins in as one earlier row per table. No
-record goes through Python, and a busy table adds no more state than a quiet one.
+record goes through Python, and a busy table adds no more state than a quiet one. Batch ids are
+consecutive, also over restarts, so a batch finds its state under the id before its own; versions
+older than that can be removed at any time.
 """
 
 from __future__ import annotations
@@ -24,25 +26,12 @@ def carry_changes(spark: SparkSession, recs: DataFrame, target: str, batch_id: i
     former = _state(spark, target, batch_id)
     # The state of a table stands before everything the batch brings.
     rows = former.withColumn("seq", F.lit(FORMER)).unionByName(now)
-    schema_changes(rows).coalesce(1).write.mode("overwrite").parquet(f"{target}/schema_changes/batch_id={batch_id}")
-    merged = latest_snapshots(rows)
-    merged.coalesce(1).write.mode("overwrite").parquet(f"{target}/schema_state/batch_id={batch_id}")
+    schema_changes(rows).write.mode("overwrite").parquet(f"{target}/schema_changes/batch_id={batch_id}")
+    latest_snapshots(rows).write.mode("overwrite").parquet(f"{target}/schema_state/batch_id={batch_id}")
 
 
 def _state(spark: SparkSession, target: str, batch_id: int) -> DataFrame:
-    """The state left by the latest batch before this one."""
-    path = f"{target}/schema_state"
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    ids = []
-    if fs.exists(fs_path):
-        for s in fs.listStatus(fs_path):
-            name = s.getPath().getName()
-            if name.startswith("batch_id=") and fs.exists(
-                spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
-            ):
-                ids.append(int(name.split("=")[1]))
-    earlier = [i for i in ids if i < batch_id]
-    if not earlier:
+    """The state left by the batch before this one."""
+    if batch_id == 0:
         return spark.createDataFrame([], SNAPSHOT)
-    return spark.read.schema(SNAPSHOT).parquet(f"{path}/batch_id={max(earlier)}")
+    return spark.read.schema(SNAPSHOT).parquet(f"{target}/schema_state/batch_id={batch_id - 1}")

@@ -9,10 +9,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tools.check import TABLES, rows_of
 
 SOME = [
-    "feed_scan", "snapshot_rows", "observed_catalog", "reject_reasons", "parse_envelope", "schema_snapshots",
-    "project_rename", "tx_chain", "op_payload", "event_id", "events_full", "wire_form", "replay_dedup", "schema_changes",
-    "schema_change_diff", "counts_nested", "heartbeat_windows", "catalog_unique", "column_suggestions", "drift_lines",
-    "lint_duplicate_tables", "json_schemas", "scaffold_contract",
+    "feed_scan", "snapshot_rows", "reject_reasons", "tx_chain", "events_full", "replay_dedup", "schema_changes",
+    "heartbeat_windows", "drift_lines", "lint_duplicate_tables", "json_schemas",
 ]
 
 
