@@ -103,7 +103,7 @@ o AS (SELECT o_orderkey AS k, o_orderkey % 107 = 13 OR o_orderkey % 103 = 11 OR
 f AS (
   SELECT 4 * k AS seq, 'cdc.public.orders' AS destination, '{"id":' || k || '}' AS key, true AS has_value FROM o
   UNION ALL SELECT 4 * k + 1, 'cdc.public.orders', '{"id":' || k || '}', false FROM o WHERE k % 10 = 7 AND NOT bad
-  UNION ALL SELECT 4 * k + 2, '__debezium-heartbeat.cdc-service', NULL, true FROM o WHERE k % 100 = 3
+  UNION ALL SELECT 4 * k + 2, '__debezium-heartbeat.shop', NULL, true FROM o WHERE k % 100 = 3
   UNION ALL SELECT 4 * k + 3, 'cdc.public.orders', '{"id":' || k || '}', true FROM o WHERE k % 50 = 0)
 """
 

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract
 from rowtide.session import configure, spread
-from rowtide.sources.feed import FEED_COLUMNS
+from rowtide.sources.feed import FEED_COLUMNS, union_feeds
 
 APP_ID = "shop-cdc"
 DB = "orders_db"
-HEARTBEAT_DESTINATION = "__debezium-heartbeat.cdc-service"
+HEARTBEAT_DESTINATION = "__debezium-heartbeat.shop"
 
 ORDERS = TableContract(
     "public", "orders", "iglu:com.example/orders_change/jsonschema/1-0-0", ("id",),
@@ -206,8 +206,4 @@ def line_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three feeds."""
-    return (
-        orders_feed(spark, sf_dir)
-        .unionByName(customers_feed(spark, sf_dir))
-        .unionByName(line_items_feed(spark, sf_dir))
-    )
+    return union_feeds(orders_feed(spark, sf_dir), customers_feed(spark, sf_dir), line_items_feed(spark, sf_dir))

@@ -17,7 +17,7 @@ from rowtide.operators.schema_change import latest_snapshots, schema_changes
 from rowtide.plans import feeds, fleet
 from rowtide.plans.feeds import APP_ID, CONTRACTS, CUSTOMERS, ORDERS
 from rowtide.sources.catalog import observed_columns
-from rowtide.sources.feed import snapshot_feed, with_snapshot
+from rowtide.sources.feed import snapshot_feed, union_feeds, with_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,6 +37,10 @@ def _customers(spark: SparkSession, sf: str) -> DataFrame:
     return parse(feeds.customers_feed(spark, sf))
 
 
+def _changes_of_both(spark: SparkSession, sf: str) -> DataFrame:
+    return parse(control.drop_control(union_feeds(feeds.orders_feed(spark, sf), feeds.customers_feed(spark, sf))))
+
+
 def _shop_records(spark: SparkSession, sf: str) -> DataFrame:
     return assemble.records(feeds.shop_feed(spark, sf), CONTRACTS, app_id=APP_ID)
 
@@ -179,18 +183,18 @@ def row_images(spark, sf):
 
 @query
 def lsn_format(spark, sf):
-    both = _changes(spark, sf).unionByName(_customers(spark, sf))
+    both = _changes_of_both(spark, sf)
     return both.select("seq", lsn_text(F.col("lsn_num")).alias("lsn"))
 
 
 @query
 def txid(spark, sf):
-    return _changes(spark, sf).unionByName(_customers(spark, sf)).select("seq", "txid")
+    return _changes_of_both(spark, sf).select("seq", "txid")
 
 
 @query
 def snapshot_flag(spark, sf):
-    both = _changes(spark, sf).unionByName(_customers(spark, sf))
+    both = _changes_of_both(spark, sf)
     return both.groupBy("table_name", "op", "is_snapshot").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -339,7 +343,7 @@ def route_by_table(spark, sf):
 @query
 def pk_values(spark, sf):
     recs = assemble.records(
-        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
+        union_feeds(feeds.orders_feed(spark, sf), feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
         with_names=True,
     )
     return recs.where(F.col("drop_reason").isNull()).select("seq", "pk")
@@ -348,7 +352,7 @@ def pk_values(spark, sf):
 @query
 def canonical_name(spark, sf):
     recs = assemble.records(
-        feeds.orders_feed(spark, sf).unionByName(feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
+        union_feeds(feeds.orders_feed(spark, sf), feeds.line_items_feed(spark, sf)), CONTRACTS, app_id=APP_ID,
         with_names=True,
     )
     return recs.where(F.col("drop_reason").isNull()).select("seq", "canonical_name")

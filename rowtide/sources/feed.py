@@ -6,11 +6,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rowtide.operators.envelope import fenced
+
 FEED_COLUMNS = ("seq", "destination", "key", "value")
 FEED_SCHEMA = "seq bigint, destination string, key string, value string"
 
@@ -48,6 +51,16 @@ def read_feed(
     return reader.format(format).schema(FEED_SCHEMA).load(path)
 
 
+def union_feeds(*feeds: DataFrame) -> DataFrame:
+    """Several feeds as one.
+
+    What follows a plain union is copied into each of its branches by the optimizer, so every feed would
+    get a parser of its own to plan and compile. The observed count keeps the union below one parser.
+    """
+    both = reduce(DataFrame.unionByName, [f.select(*FEED_COLUMNS) for f in feeds])
+    return fenced(both, "feed", records=F.count(F.lit(1)))
+
+
 def snapshot_feed(
     table: DataFrame,
     *,
@@ -105,7 +118,7 @@ def with_snapshot(feed: DataFrame, snapshot: DataFrame, mode: str = "never", has
     if mode == "initial_only":
         return snapshot
     if mode == "initial" or (mode == "when_needed" and not has_offsets):
-        return snapshot.unionByName(feed)
+        return union_feeds(snapshot, feed)
     return feed
 
 
