@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -135,8 +136,6 @@ def _wire(f: T.StructField) -> Column:
 
 
 def _schema_block(schema: T.StructType, primary_key: Sequence[str]) -> str:
-    import json
-
     # Wire type and logical name per column type.
     wire = {
         T.ByteType: ("int16", None),
