@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe
+from rowtide.llm import bpe, pii, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": pii.op2_pii,
+    "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
 }
 ORACLE: dict[str, str] = {}

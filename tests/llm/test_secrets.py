@@ -1,0 +1,84 @@
+import base64
+import gzip
+import hashlib
+import random
+import re
+import urllib.parse
+
+from rowtide.llm import secrets
+
+PLAIN = {
+    "assign": (r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+    "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+    "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 24),
+}
+
+
+def plain(text):
+    out = [(k, *m.span()) for k, (p, ok) in PLAIN.items() for m in re.finditer(p, text) if ok(m)]
+    return sorted(out, key=lambda s: (s[1], list(PLAIN).index(s[0])))
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(5)
+    parts = ["password", "PassWd", "ſecret", "toKen", "api_key", "apikey", '"', "'", " ", "=", ":", "abc", "hunter22", "AKIA", "AKIA" + "Z9" * 8,
+             "deadbeef" * 3, "ab12", "é", "😀", "\n", "%41", "\\u0041", "x"]
+    for _ in range(6000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert secrets.find(text)[0] == plain(text), text
+
+
+def test_nested_layers_map_back():
+    secret = "token=abcdef123"
+    layers = {
+        "url": urllib.parse.quote(secret, safe=""),
+        "url twice": urllib.parse.quote(urllib.parse.quote(secret, safe="")),
+        "unicode": "".join(f"\\u{ord(c):04x}" for c in secret),
+        "base64": base64.b64encode(f"some words {secret}".encode()).decode(),
+        "gzip": base64.b64encode(gzip.compress(f"é {secret}".encode())).decode(),
+        "url in base64": base64.b64encode(urllib.parse.quote(f"  {secret}", safe="").encode()).decode(),
+        "gzip in base64 in base64": base64.b64encode(base64.b64encode(gzip.compress(secret.encode()))).decode(),
+        "base64 in url": urllib.parse.quote("".join(f"%{b:02x}" for b in base64.b64encode(f"xx {secret}".encode()))),
+    }
+    for name, coded in layers.items():
+        text = f"é😀 before {coded} after"
+        base, every, n = secrets.find(text)
+        assert base == plain(text) and n >= 1, name
+        assert ("assign",) == tuple({s[0] for s in every}), name
+        start, end = every[0][1:]
+        at = text.index(coded)
+        assert at <= start < end <= at + len(coded), name
+    text = "x " + layers["url"]
+    assert secrets.find(text)[1] == [("assign", 2, len(text))]
+
+
+def test_cycles_and_deep_nesting_end():
+    assert secrets.find("%25" * 3)[1] == []
+    assert secrets.find("a%" + "25" * 100_000 + "41")[2] <= 3
+    assert secrets.find("\\" + "u005c" * 50_000 + "u0041")[2] <= 3
+    coded = "secret: deep00"
+    for _ in range(20):
+        coded = base64.b64encode(coded.encode()).decode()
+    assert [s[0] for s in secrets.find(coded)[1]] == ["assign"]
+
+
+def test_rows(spark):
+    rows = [(1, "token=abcdef", "x"), (1, "token=abcdef", "x"), (2, None, None), (None, "", ""), (3, "0" * 300_000, "😀")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    got = sorted(secrets.detect(df).collect(), key=lambda r: str(r.doc_id))
+    empty = hashlib.sha256(b"").hexdigest()
+    assert got[0] == got[1] and got[0].spans == "assign:0:12"
+    assert (got[2].base_sha256, got[4].base_sha256) == (empty, empty)
+    assert got[3].spans == "hex:0:300000"
+    assert secrets.detect(df.limit(0)).count() == 0
+
+
+def test_query_on_the_table(spark, sf):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = secrets.op7_secrets(spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        spans = plain(docs[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[0] == k for s in spans) for k in secrets.KINDS]
+        assert set(f"{k}:{a}:{b}" for k, a, b in spans) <= set(r.spans.split(",")) | {""}
