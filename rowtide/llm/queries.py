@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, pii, secrets
+from rowtide.llm import bpe, mixing, pii, quality, secrets, sketch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": pii.op2_pii,
+    "op4_sketch": sketch.op4_sketch,
+    "op6_quality": quality.op6_quality,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
+    "op10_mixing": mixing.op10_mixing,
+}
+ORACLE: dict[str, str] = {
+    "op10_mixing": mixing.OP10_SQL,
 }
-ORACLE: dict[str, str] = {}
