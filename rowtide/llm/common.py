@@ -102,11 +102,14 @@ class Words:
 
 
 def windows(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all windows of ``n`` consecutive word hashes."""
-    out = np.zeros(max(0, len(h) - n + 1), np.uint64)
-    for i in range(n):
-        out = mix(out + h[i : len(h) - n + 1 + i] + np.uint64(0x9E3779B97F4A7C15))
-    return out
+    """Hashes of all windows of ``n`` consecutive word hashes, built from those of half the length."""
+    if len(h) < n:
+        return np.empty(0, np.uint64)
+    if n == 1:
+        return h
+    half = windows(h, n // 2)
+    out = mix(half[: len(half) - n // 2] * np.uint64(0x9E3779B97F4A7C15) + half[n // 2 :] + np.uint64(n))
+    return out if n % 2 == 0 else mix(out[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[n - 1 :])
 
 
 def components(links: DataFrame) -> DataFrame:

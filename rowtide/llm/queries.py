@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, mixing, pii, quality, secrets, sketch
+from rowtide.llm import bpe, mixing, pii, quality, secrets, sketch, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii": pii.op2_pii,
     "op4_sketch": sketch.op4_sketch,
+    "op5_substrings": substrings.op5_substrings,
     "op6_quality": quality.op6_quality,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
