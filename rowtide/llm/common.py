@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Characters between words; everything else is part of a word.
 BLANKS = r"\x20\x09-\x0D"
 WORD = rf"[^{BLANKS}]+"
+#: Bytes of input for each reducer that packs rows in memory.
+REDUCER_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,13 @@ def shelve(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def reducers(docs: DataFrame) -> int:
+    """Enough that each gets a bounded part of the input, by the size that the plan knows."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size if size < 2**60 else 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // REDUCER_BYTES))
+
+
 def digest(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, mixing, pii, quality, secrets, sketch, substrings
+from rowtide.llm import bpe, jaccard, mixing, neardup, pii, quality, secrets, sketch, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard": jaccard.op1_jaccard,
     "op2_pii": pii.op2_pii,
+    "op3_neardup": neardup.op3_neardup,
     "op4_sketch": sketch.op4_sketch,
     "op5_substrings": substrings.op5_substrings,
     "op6_quality": quality.op6_quality,
@@ -18,5 +20,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLE: dict[str, str] = {
+    "op3_neardup": neardup.OP3_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }

@@ -27,13 +27,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Words, shelve, ship, table, windows
+from rowtide.llm.common import Words, reducers, shelve, ship, table, windows
 
 WINDOW = 20
 #: Words that a task looks at together before it sends their windows on.
 CHUNK = 1_000_000
-#: Bytes of input for each reducer.
-REDUCER_BYTES = 16 << 20
 PLACED = "part int, hashes binary, docs binary, twins binary, starts binary, flags binary"
 FOUND = "doc long, twin long, starts binary, later binary"
 NO_ID = -(2**63)
@@ -244,13 +242,6 @@ def _packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(go, "doc_id long, doc long, twin long, packed binary")
 
 
-def reducers(docs: DataFrame) -> int:
-    """Enough that each gets a bounded part of the input, by the size that the plan knows."""
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    size = size if size < 2**60 else 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // REDUCER_BYTES))
-
-
 def remove_repeats(docs: DataFrame, window: int = WINDOW, longest: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256, kept[, longest]) of each row of ``docs``.
 
