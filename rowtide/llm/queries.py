@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, jaccard, mixing, neardup, pii, quality, secrets, sketch, substrings
+from rowtide.llm import bpe, jaccard, licenses, mixing, neardup, pii, quality, secrets, sketch, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -17,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": quality.op6_quality,
     "op7_secrets": secrets.op7_secrets,
     "op8_bpe": bpe.op8_bpe,
+    "op9_licenses": licenses.op9_licenses,
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLE: dict[str, str] = {
     "op3_neardup": neardup.OP3_SQL,
+    "op9_licenses": licenses.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }
