@@ -200,7 +200,11 @@ def _common(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each set of ``rows`` with each of ``columns``: products of 0/1 matrices over the
     n-grams that both sides have, some of these at a time."""
     out = np.zeros((len(rows), len(columns)), np.float32)
-    shared = np.intersect1d(np.concatenate(rows), np.concatenate(columns))
+    if rows is columns:
+        shared, times = np.unique(np.concatenate(rows), return_counts=True)
+        shared = shared[times > 1]  # a n-gram of one set alone is common to no pair
+    else:
+        shared = np.intersect1d(np.concatenate(rows), np.concatenate(columns))
     width = max(256, 8_000_000 // (len(rows) + len(columns)))
 
     def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -239,10 +243,11 @@ def _links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
         most = sizes[rows[-1]] * 100 // percent
         for j in range(i, len(order), step):
             columns = order[j : j + step]
-            columns = columns[sizes[columns] <= most]
+            columns = columns[sizes[columns] <= most]  # all of them if these are the rows
             if not len(columns):
                 break
-            common = _common([sets[x] for x in rows], [sets[x] for x in columns]).astype(np.int64)
+            left = [sets[x] for x in rows]
+            common = _common(left, left if i == j else [sets[x] for x in columns]).astype(np.int64)
             union = sizes[rows][:, None] + sizes[columns][None, :] - common
             for a, b in zip(*np.nonzero((100 * common >= percent * union) & (common > 0)), strict=True):
                 a, b = int(rows[a]), int(columns[b])
