@@ -127,17 +127,33 @@ def _cut(part: np.ndarray) -> Iterator[np.ndarray]:
         yield from np.split(order, np.nonzero(np.diff(part[order]))[0] + 1)
 
 
-def _found(docs: np.ndarray, twins: np.ndarray, starts: np.ndarray, later: np.ndarray) -> pa.RecordBatch:
-    """A row for each document."""
-    order = np.lexsort((starts, twins, docs))
-    docs, twins, starts, later = docs[order], twins[order], starts[order], later[order]
-    cuts = np.nonzero((docs[1:] != docs[:-1]) | (twins[1:] != twins[:-1]))[0] + 1
-    at = np.concatenate([[0], cuts]) if len(docs) else np.empty(0, int)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(docs[at]), pa.array(twins[at])]
-        + [pa.array([x.tobytes() for x in np.split(c, cuts)] if len(docs) else [], pa.binary()) for c in (starts, later)],
-        ["doc", "twin", "starts", "later"],
-    )
+def _found(docs: np.ndarray, twins: np.ndarray, starts: np.ndarray, later: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each reducer that gathers what was found in some documents."""
+    cuts = list(_cut(docs.view(np.uint64) % np.uint64(parts)))
+    part = pa.array([int(int(docs[at[0]]) % 2**64 % parts) for at in cuts], pa.int32())
+    packed = [pa.array([c[at].tobytes() for at in cuts], pa.binary()) for c in (docs, twins, starts, later)]
+    return pa.RecordBatch.from_arrays([part, *packed], ["part", "docs", "twins", "starts", "later"])
+
+
+def _gathered(found: DataFrame, parts: int) -> DataFrame:
+    """(doc, twin, starts, later): a row for each document in which something was found."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[list[np.ndarray]] = [[], [], [], []]
+        for batch in batches:
+            for row in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
+                for to, kind, value in zip(got, (np.int64, np.int64, np.uint32, np.uint8), row, strict=True):
+                    to.append(np.frombuffer(value.as_py(), kind))
+        if got[0]:
+            docs, twins, starts, later = map(np.concatenate, got)
+            order = np.lexsort((starts, twins, docs))
+            docs, twins, starts, later = docs[order], twins[order], starts[order], later[order]
+            cuts = np.nonzero((docs[1:] != docs[:-1]) | (twins[1:] != twins[:-1]))[0] + 1
+            at = np.concatenate([[0], cuts])
+            packed = [pa.array([x.tobytes() for x in np.split(c, cuts)], pa.binary()) for c in (starts, later)]
+            yield pa.RecordBatch.from_arrays([pa.array(docs[at]), pa.array(twins[at]), *packed], ["doc", "twin", "starts", "later"])
+
+    return found.repartitionById(parts, F.col("part")).mapInArrow(rows, FOUND)
 
 
 def _repeats(placed: DataFrame, parts: int, firsts: bool) -> DataFrame:
@@ -158,7 +174,7 @@ def _repeats(placed: DataFrame, parts: int, firsts: bool) -> DataFrame:
                         to.append(np.frombuffer(value, kind))
             if passed[0]:
                 d, t, s = map(np.concatenate, passed)
-                yield _found(d, t, s, np.ones(len(d), np.uint8))
+                yield _found(d, t, s, np.ones(len(d), np.uint8), parts)
         if not kept[0]:
             return
         hashes, docs, twins, starts, flags = map(np.concatenate, kept)
@@ -174,21 +190,19 @@ def _repeats(placed: DataFrame, parts: int, firsts: bool) -> DataFrame:
         many = np.bincount(group[later], minlength=group[-1] + 1) > 0
         np.logical_or.at(many, group, flags > 0)
         take = many[group] & ~same if firsts else later & ~same
-        for i in range(0, int(take.sum()), 200_000):
-            at = np.nonzero(take)[0][i : i + 200_000]
-            yield _found(docs[at], twins[at], starts[at], later[at].astype(np.uint8))
+        yield _found(docs[take], twins[take], starts[take], later[take].astype(np.uint8), parts)
 
-    return placed.repartitionById(parts, F.col("part")).mapInArrow(rows, FOUND)
+    packed = "part int, docs binary, twins binary, starts binary, later binary"
+    return _gathered(placed.repartitionById(parts, F.col("part")).mapInArrow(rows, packed), parts)
 
 
 def _joined(texts: DataFrame, found: DataFrame) -> DataFrame:
-    """``texts`` (doc_id, doc, twin, packed) with what was found in each, as arrays of packed pieces."""
-    by_doc = found.groupBy("doc", "twin").agg(F.collect_list("starts").alias("starts"), F.collect_list("later").alias("later"))
-    return texts.join(by_doc, ["doc", "twin"], "left")
+    """``texts`` (doc_id, doc, twin, packed) with what was found in each."""
+    return texts.join(found, ["doc", "twin"], "left")
 
 
-def _flat(pieces: list[bytes] | None, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(pieces or []), kind)
+def _flat(packed: bytes | None, kind: type) -> np.ndarray:
+    return np.frombuffer(packed or b"", kind)
 
 
 def _placed(rows: DataFrame, parts: int, length: int, first: int, window: int) -> DataFrame:
@@ -255,7 +269,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, longest: bool = False)
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
 
     repeated = _repeats(_placed(docs, parts, first, first, window), parts, firsts=True).drop("later")
-    texts = shelve(_joined(_packed(docs), repeated.withColumn("later", F.lit(None).cast("binary"))).drop("later"))
+    texts = shelve(_joined(_packed(docs), repeated))
     level = texts.where("starts is not null").select("doc", "twin", "packed", "starts")
     found = _repeats(_placed(level, parts, window, first, window), parts, firsts=longest)
     rows = _joined(texts.drop("starts"), found)
