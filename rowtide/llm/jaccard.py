@@ -36,7 +36,7 @@ PERCENT = 85
 #: Words of a chunk, see above.
 CHUNK = 1_000_000
 #: A region with at most so many documents and n-grams is compared in one task.
-REGION = 4096
+REGION = 16_384
 REGION_GRAMS = 4_000_000
 #: Pivots for each region that is cut.
 PIVOTS = 16
@@ -96,15 +96,27 @@ def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def _stars(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of rows (key, doc): the keys with their smallest document, and the distinct links of other documents to it."""
+    """Of rows (key, doc): the keys with the smallest document that they connect, and each other document's link to it."""
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     head = docs[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
     other = docs != head
-    links = np.unique(np.stack([docs[other], head[other]]), axis=1)
-    return keys[new], docs[new], links[0], links[1]
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (up := root.get(i, i)) != i:
+            root[i] = i = root.get(up, up)
+        return i
+
+    for a, b in np.unique(np.stack([docs[other], head[other]]), axis=1).T.tolist():
+        a, b = find(a), find(b)
+        root[max(a, b)] = root[min(a, b)] = min(a, b)
+    tops = {a: find(a) for a in root}
+    heads = np.array([tops.get(d, d) for d in docs[new].tolist()], np.int64)
+    links = np.array([x for x in tops.items() if x[0] != x[1]], np.int64).reshape(-1, 2)
+    return keys[new], heads, links[:, 0], links[:, 1]
 
 
 def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
@@ -226,6 +238,30 @@ def _common(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _alone(owner: np.ndarray, grams: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which sets have more n-grams to themselves than a linked set can."""
+    order = np.argsort(grams, kind="stable")
+    sorted_grams = grams[order]
+    differ = np.ones(len(grams) + 1, bool)
+    differ[1:-1] = sorted_grams[1:] != sorted_grams[:-1]
+    single = order[differ[1:] & differ[:-1]]
+    return 100 * np.bincount(owner[single], minlength=len(sizes)) > (100 - percent) * sizes
+
+
+def _promising(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The sets that can have a link, by the n-grams that no other one has: again and again, as sets fall away."""
+    left, sizes = np.arange(len(sets)), np.array([len(s) for s in sets])
+    owner, members = np.repeat(left, sizes), np.concatenate(sets)
+    while len(left):
+        gone = _alone(owner, members, sizes, percent) & (sizes > 0)
+        if not gone.any():
+            break
+        sizes = np.where(gone, 0, sizes)
+        stay = ~gone[owner]
+        owner, members, left = owner[stay], members[stay], np.nonzero(sizes)[0]
+    return left
+
+
 def _links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """Links that connect what the linked pairs connect; a region is compared block by block, so memory is bounded."""
     root = list(range(len(sets)))
@@ -237,7 +273,8 @@ def _links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
     sizes = np.array([len(s) for s in sets])
     # in order of size, only sets of sizes that can be linked meet
-    order, out, step = np.argsort(sizes, kind="stable"), [], 512
+    order, out, step = _promising(sets, percent), [], 512
+    order = order[np.argsort(sizes[order], kind="stable")]
     for i in range(0, len(order), step):
         rows = order[i : i + step]
         most = sizes[rows[-1]] * 100 // percent
@@ -291,6 +328,68 @@ def _compared(regions: DataFrame, percent: int, n: int, parts: int) -> DataFrame
     return narrow.repartition(parts, "region").sortWithinPartitions("region", "doc").mapInArrow(go, LINKS)
 
 
+def _apart(regions: DataFrame, percent: int, n: int, parts: int) -> DataFrame:
+    """Large regions without the documents that have more n-grams to themselves there than a linked one can.
+
+    A passage that very many documents share puts them in one block; this takes them out again before any are compared.
+    N-grams are counted as signatures are: packed, and from each task once, with a mark if the task has it more often.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, kept, size = _Sets(n), [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys = np.concatenate([k for k, _ in kept])
+            ids = np.concatenate([np.full(len(k), d) for k, d in kept])
+            order = np.argsort(keys, kind="stable")
+            keys, ids = keys[order], ids[order]
+            new = np.ones(len(keys), bool)
+            new[1:] = keys[1:] != keys[:-1]
+            many = np.zeros(len(keys), np.uint8)
+            many[:-1] |= ~new[1:]
+            keys, ids, many = keys[new], ids[new], many[new]
+            part = (keys >> np.uint64(32)) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            cuts = np.split(order, np.nonzero(np.diff(part[order]))[0] + 1)
+            rows = [(int(part[at[0]]), keys[at].tobytes(), ids[at].tobytes(), many[at].tobytes()) for at in cuts if len(at)]
+            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "keys", "docs", "many"])
+
+        for batch in batches:
+            for region, doc, packed in zip(*(batch.column(i) for i in range(3)), strict=True):
+                members = sets.of(packed.as_py())
+                salt = np.uint64(xxhash.xxh3_64_intdigest(region.as_py()))
+                kept.append((mix(members ^ salt), np.int64(doc.as_py())))
+                size += len(members)
+                if size >= CHUNK:
+                    yield from out()
+                    kept, size = [], 0
+        if kept:
+            yield from out()
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[list[np.ndarray]] = [[], [], []]
+        for batch in batches:
+            for row in zip(*(batch.column(i) for i in range(1, 4)), strict=True):
+                for to, kind, value in zip(got, (np.uint64, np.int64, np.uint8), row, strict=True):
+                    to.append(np.frombuffer(value.as_py(), kind))
+        if got[0]:
+            keys, docs, many = map(np.concatenate, got)
+            order = np.argsort(keys, kind="stable")
+            differ = np.ones(len(keys) + 1, bool)
+            differ[1:-1] = keys[order][1:] != keys[order][:-1]
+            own = order[differ[1:] & differ[:-1]]
+            ids, count = np.unique(docs[own[many[own] == 0]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count)], ["doc", "own"])
+
+    placed = regions.select("region", "doc", "packed").mapInArrow(cut, "part int, keys binary, docs binary, many binary")
+    own = placed.repartitionById(parts, F.col("part")).mapInArrow(single, "doc long, own long")
+    own = own.groupBy("doc").agg(F.sum("own").alias("own"))
+    gone = own.join(regions.select("doc", "n_shingles"), "doc").where(f"100 * own > {100 - percent} * n_shingles").select("doc")
+    return regions.join(gone, "doc", "left_anti")
+
+
 def _voronoi(regions: DataFrame, percent: int, n: int, parts: int, depth: int) -> DataFrame:
     """One cut of large regions (region, doc, n_shingles, packed): (region, doc, n_shingles, packed, a, b).
 
@@ -380,6 +479,11 @@ def linked(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     small = (F.col("docs") <= REGION) & (F.col("grams") <= REGION_GRAMS)
     found = [_compared(regions.where(small), percent, n, parts)]
     large, depth = regions.where(~small), 0
+    if not large.isEmpty():
+        kept = _apart(large.select("region", "doc", "n_shingles", "packed"), percent, n, parts)
+        sized = shelve(_sized(kept))
+        found.append(_compared(sized.where(small), percent, n, parts))
+        large = sized.where(~small)
     while not large.isEmpty():
         cells = _voronoi(large.select("region", "doc", "n_shingles", "packed"), percent, n, parts, depth)
         before = large.select("region", "docs").distinct().withColumnsRenamed({"region": "from", "docs": "were"})

@@ -69,6 +69,18 @@ def test_rows(spark, monkeypatch, region, chunk):
     assert got == sorted(brute(rows), key=order)
 
 
+def test_regions_of_one_passage_fall_apart(spark, monkeypatch):
+    """Many documents with a passage in common and the rest to themselves, and a few linked ones among them."""
+    monkeypatch.setattr(jaccard, "REGION", 20)
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(80))
+    rows = [(i, f"{passage} {' '.join(word() for _ in range(30))}") for i in range(150)]
+    rows += [(500 + i, rows[i][1] + " more words") for i in range(5)] + [(600 + i, f"{passage} {word()}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.linked(df).collect()), key=order) == sorted(brute(rows), key=order)
+
+
 def test_signatures_meet_for_every_linked_pair():
     rng = np.random.default_rng(4)
     for _ in range(3000):
