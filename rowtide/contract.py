@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -137,26 +137,104 @@ def contract_df(spark: SparkSession, contracts: Sequence[TableContract], contrac
     return spark.createDataFrame(rows, CONTRACT_SCHEMA)
 
 
+def groups_of(pattern: str) -> tuple[int, set[str]]:
+    """The number of capturing groups of a Java pattern, and the names of those that have one.
+
+    Escapes, quoted parts and character classes hold no groups.
+    """
+    count, names, i, depth = 0, set(), 0, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            if pattern.startswith("\\Q", i):
+                end = pattern.find("\\E", i + 2)
+                i = len(pattern) if end < 0 else end
+            i += 2
+            continue
+        if c == "[":
+            depth += 1
+            if pattern.startswith("[^", i):
+                i += 1
+        elif c == "]" and depth:
+            depth -= 1
+        elif c == "(" and not depth:
+            named = re.match(r"\(\?<([A-Za-z][A-Za-z0-9]*)>", pattern[i:])
+            if named:
+                names.add(named[1])
+            if named or not pattern.startswith("(?", i):
+                count += 1
+        i += 1
+    return count, names
+
+
+def replacement_problem(replacement: str, count: int, names: set[str]) -> str | None:
+    """What is wrong with a Java replacement text for a pattern with these groups."""
+    i = 0
+    while i < len(replacement):
+        if replacement[i] == "\\":
+            if i + 1 == len(replacement):
+                return "ends in a lone backslash"
+            i += 2
+        elif replacement[i] == "$":
+            named = re.match(r"\$\{([A-Za-z][A-Za-z0-9]*)\}", replacement[i:])
+            if named:
+                if named[1] not in names:
+                    return f"names group {named[1]!r}, which the pattern does not have"
+                i += len(named[0])
+            elif i + 1 < len(replacement) and replacement[i + 1] in "0123456789":
+                # further digits only count while such a group exists
+                if int(replacement[i + 1]) > count:
+                    return f"refers to group {replacement[i + 1]} of {count}"
+                i += 2
+            else:
+                return "has a dollar sign without a group"
+        else:
+            i += 1
+    return None
+
+
 def check_patterns(spark: SparkSession, contracts: Iterable[TableContract]) -> list[str]:
-    """Problems with the regular expressions of the contracts, as the regex engine in Spark sees them.
+    """Problems with the regular expressions, group numbers and replacements of the contracts.
 
-    An alternative that matches the empty string is added to each pattern, so that evaluating it on
-    an empty cell also checks the group number.
+    All patterns are compiled by the regex engine that Spark uses, in one job.
     """
-    problems = []
     wanted = {
-        (x.pattern, x.group or 0): f"{t.schema}.{t.name}.{c.name}"
+        (x.pattern, x.group, x.replacement): f"{t.schema}.{t.name}.{c.name}"
         for t in contracts
         for c in t.columns
         for x in c.transforms
         if x.pattern is not None
     }
-    for (pattern, group), where in wanted.items():
-        probe = spark.range(1).select(
-            F.rlike(F.lit(""), F.lit(pattern)), F.regexp_extract(F.lit(""), f"(?:{pattern})|", group)
-        )
-        try:
-            probe.collect()
-        except PySparkException as e:
-            problems.append(f"column '{where}': pattern '{pattern}', group {group}: {str(e).splitlines()[0]}")
+    if not wanted:
+        return []
+    rows = spark.createDataFrame([(p,) for p in sorted({p for p, _, _ in wanted})], "pattern string")
+    compiled = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.col("pattern"))
+    broken = {r.pattern for r in rows.where(compiled.isNull()).collect()}
+    problems = []
+    for (pattern, group, replacement), where in wanted.items():
+        count, names = groups_of(pattern)
+        if pattern in broken:
+            problem = "is not a regular expression"
+        elif replacement is not None:
+            problem = replacement_problem(replacement, count, names)
+            problem = problem and f"replacement {replacement!r} {problem}"
+        else:
+            problem = f"has no group {group}" if (group or 0) > count else None
+        if problem:
+            problems.append(f"column '{where}': pattern '{pattern}': {problem}")
     return problems
+
+
+#: Contracts whose patterns were checked in this process.
+_SOUND: set[TableContract] = set()
+
+
+def require_sound(spark: SparkSession, contracts: Iterable[TableContract]) -> None:
+    """Refuse contracts whose transforms would fail on data. What was found sound once is not looked at again."""
+    fresh = [t for t in contracts if any(x.pattern is not None for c in t.columns for x in c.transforms)]
+    fresh = [t for t in fresh if t not in _SOUND]
+    if fresh:
+        problems = check_patterns(spark, fresh)
+        if problems:
+            raise ContractError("; ".join(problems))
+        _SOUND.update(fresh)

@@ -28,12 +28,14 @@ def regex_extract(c: Column, pattern: Column | str, group: Column | int) -> Colu
 
     ``regexp_extract`` gives the empty string in both of those cases, so an empty result is looked
     at again: the pattern is pinned to the place of the first match, made atomic, and followed by a
-    back-reference, which only matches if the group took part.
+    back-reference, which only matches if the group took part. The place is the length of the text that
+    is left when everything from the first match on is cut off, in code points as ``.`` counts them.
     """
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
     g = F.lit(group) if isinstance(group, int) else group
     found = F.call_function("regexp_extract", c, p, g)
-    before = (F.regexp_instr(c, p) - 1).cast("string")
+    rest = F.concat(F.lit("(?:"), p, F.lit(")(?s:.*)\\z"))
+    before = F.char_length(F.regexp_replace(c, rest, F.lit(""))).cast("string")
     pinned = F.concat(F.lit("\\A(?s:.{"), before, F.lit("})(?>"), p, F.lit(")\\"), g.cast("string"))
     return (
         F.when(found != "", found)

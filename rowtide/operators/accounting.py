@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowtide.operators.assemble import OPERATIONS
-
 
 def flow_totals(recs: DataFrame) -> DataFrame:
     reason = F.col("drop_reason")
@@ -29,7 +27,10 @@ def flow_by_table_op(recs: DataFrame) -> DataFrame:
 
 
 def nested_counts(by_table_op: DataFrame) -> DataFrame:
-    """One row, ``per_table``: table to (operation to count). At most four operations per table."""
+    """One row, ``per_table``: table to (operation to count). At most four operations per table.
+
+    The row holds every table, so it is for as many as a report can show; ``flow_by_table_op`` has no such row.
+    """
     per_table = by_table_op.groupBy("table").agg(F.array_sort(F.collect_list(F.struct("op", "n"))).alias("ops"))
     rows = F.array_sort(F.collect_list(F.struct("table", "ops")))
     as_map = lambda r: F.struct(r["table"], F.map_from_entries(r["ops"]))
@@ -44,43 +45,67 @@ def rejects_by_reason(recs: DataFrame) -> DataFrame:
     )
 
 
-def heartbeat(recs: DataFrame, interval: str = "60 seconds", tables: Sequence[str] = ()) -> DataFrame:
+def heartbeat(recs: DataFrame, interval: str = "60 seconds", tables: Sequence[str] | None = None) -> DataFrame:
     """Cumulative totals at the end of each interval of event time that saw a record.
 
-    ``tables`` (``schema.name``) are counted apart in ``per_table``, JSON with an entry per table and
-    operation seen so far. Each adds columns to the plan; for a long list use
-    ``heartbeat_by_table``.
+    ``per_table`` is JSON with an entry per table and operation seen so far, of all tables, or of the ``tables``
+    (``schema.name``) given. It makes each row as long as there are tables; ``heartbeat_by_table`` has a short
+    row for each change instead.
+
+    The records are read once: counts per interval, table and operation are folded in the tasks, and everything
+    else is a chain over these few rows. Totals are carried as one more entry, which every interval has; an
+    entry holds from its interval to the next one that changes it, and is laid out over the intervals between.
     """
-    ok = F.col("ok")
-    pairs = [(t, op) for t in sorted(tables) for op in sorted(OPERATIONS)]
-    counts = {
-        "received": F.count(F.lit(1)),
-        "emitted": F.count_if(ok),
-        "dropped": F.count_if(~ok),
-        **{f"_n{i}": F.count_if(ok & (F.col("table") == t) & (F.col("op") == op)) for i, (t, op) in enumerate(pairs)},
-    }
-    ticks = _keyed(recs, interval).groupBy("window").agg(*[c.alias(n) for n, c in counts.items()])
-    total = _running(ticks, list(counts))
-
-    def ops(t: str) -> Column:
-        mine = [F.struct(F.lit(op), F.col(f"_n{i}").alias("n")) for i, (u, op) in enumerate(pairs) if u == t]
-        return F.map_from_entries(F.filter(F.array(*mine), lambda e: e["n"] > 0))
-
-    per_table = F.lit("{}")
-    if pairs:
-        entries = F.array(*[F.struct(F.lit(t), ops(t).alias("ops")) for t in sorted(tables)])
-        per_table = F.to_json(F.map_from_entries(F.filter(entries, lambda e: F.size(e["ops"]) > 0)))
-    return total.select(
+    counted = _keyed(recs, interval).groupBy("window", "table", "op").agg(
+        F.count_if("ok").alias("ok"), F.count_if(~F.col("ok")).alias("bad")
+    )
+    listed = F.col("ok") > 0
+    if tables is not None:
+        listed = listed & F.col("table").isin(list(tables))
+    ticks = counted.groupBy("window").agg(
+        F.sum("ok").alias("emitted"),
+        F.sum("bad").alias("dropped"),
+        F.lit(1).alias("place"),
+        F.collect_list(F.when(listed, F.struct("table", "op", F.col("ok").alias("n")))).alias("entries"),
+    )
+    total = _running(ticks, ["emitted", "dropped", "place"], carried=["entries"])
+    head = F.struct(F.lit(None).cast("string").alias("table"), F.lit(None).cast("string").alias("op"), F.lit(0).cast("long").alias("n"))
+    beat = F.struct("window", "_start", "emitted", "dropped").alias("beat")
+    each = total.select(beat, "place", "_places", F.explode(F.concat(F.array(head), "entries")).alias("e"))
+    own = Window.partitionBy("e.table", "e.op").orderBy("place")
+    lasting = each.select(
+        F.when(F.col("e.table").isNull(), F.col("beat")).alias("beat"),
+        F.col("e.table").alias("table"),
+        F.col("e.op").alias("op"),
+        F.sum("e.n").over(own).alias("n"),
+        F.sequence("place", F.coalesce(F.lead("place").over(own) - 1, "_places")).alias("places"),
+    )
+    by_table = lasting.withColumn("place", F.explode("places")).groupBy("place", "table").agg(
+        F.max("beat").alias("beat"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("op").isNotNull(), F.struct("op", "n"))))).alias("ops"),
+    )
+    beats = by_table.groupBy("place").agg(
+        F.max("beat").alias("beat"),
+        F.array_sort(F.collect_list(F.when(F.col("table").isNotNull(), F.struct("table", F.to_json("ops").alias("ops"))))).alias("of"),
+    )
+    # Tables and counts are put together as text: a map of maps would have to be ordered by a struct of a map.
+    entry = lambda r: F.concat(_json_name(r["table"]), F.lit(":"), r["ops"])
+    per_table = F.concat(F.lit("{"), F.array_join(F.transform("of", entry), ","), F.lit("}"))
+    return beats.select(
         F.lit("heartbeat").alias("event"),
-        F.col("window.end").alias("window_end"),
-        "received",
-        "emitted",
-        "dropped",
+        F.col("beat.window.end").alias("window_end"),
+        (F.col("beat.emitted") + F.col("beat.dropped")).alias("received"),
+        "beat.emitted",
+        "beat.dropped",
         per_table.alias("per_table"),
-        F.greatest(F.lit(0), F.unix_seconds("window.end") - F.unix_seconds("_start")).alias("uptime_seconds"),
+        F.greatest(F.lit(0), F.unix_seconds("beat.window.end") - F.unix_seconds("beat._start")).alias("uptime_seconds"),
     )
 
 
+def _json_name(c: Column) -> Column:
+    return F.regexp_extract(F.to_json(F.struct(c.alias("s"))), r"(?s)^\{\"s\":(.*)\}$", 1)
+
+
 def heartbeat_by_table(recs: DataFrame, interval: str = "60 seconds") -> DataFrame:
     """Cumulative accepted changes per table and operation, one row per interval that adds any."""
     ticks = (
@@ -102,30 +127,41 @@ def _keyed(recs: DataFrame, interval: str) -> DataFrame:
 STRETCH = 4096
 
 
-def _running(ticks: DataFrame, counts: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def _running(
+    ticks: DataFrame, counts: Sequence[str], keys: Sequence[str] = (), carried: Sequence[str] = ()
+) -> DataFrame:
     """Running sums over intervals, per key.
 
-    The time line is cut into stretches which are summed apart; each then gets the total of the
-    stretches before it, so no task walks the whole time line. Adds ``_start``, where the first
-    interval begins; the epoch does not count, it holds the records without a commit time.
+    The time line is cut into stretches. Each becomes one row with its intervals as an array; these rows, one
+    for each ``STRETCH`` intervals, get the totals of those before them, and are opened again to be summed inside.
+    It is one chain, so what is above it is computed once. Adds ``_start``, where the first interval
+    begins; the epoch does not count, it holds the records without a commit time. Adds ``_places``, the sum of
+    the last count over the whole time line.
     """
     start, end = F.unix_micros("window.start"), F.unix_micros("window.end")
     cut = ticks.withColumn("_part", F.floor(start / ((end - start) * STRETCH)))
-    by_part = cut.groupBy(*keys, "_part").agg(
-        F.min(F.when(start > 0, F.col("window.start"))).alias("_start"), *[F.sum(c).alias(f"_sum_{c}") for c in counts]
+    parts = cut.groupBy(*keys, "_part").agg(
+        F.min(F.when(start > 0, F.col("window.start"))).alias("_first"),
+        *[F.sum(c).alias(f"_sum_{c}") for c in counts],
+        F.collect_list(F.struct("window", *counts, *carried)).alias("_ticks"),
     )
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_part.select(
+    line = Window.partitionBy(*keys)
+    earlier = line.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # Two steps: a generator in the same step would come before the windows.
+    shifted = parts.select(
         *keys,
         "_part",
-        F.least(F.min("_start").over(earlier), "_start").alias("_start"),
+        "_ticks",
+        F.least(F.min("_first").over(earlier), "_first").alias("_start"),
+        F.sum(f"_sum_{counts[-1]}").over(line).alias("_places"),
         *[F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_off_{c}") for c in counts],
     )
+    opened = shifted.select("*", F.inline("_ticks")).drop("_ticks")
     inside = Window.partitionBy(*keys, "_part").orderBy("window.start").rowsBetween(Window.unboundedPreceding, 0)
-    local = cut.select("window", *keys, "_part", *[F.sum(c).over(inside).alias(c) for c in counts])
-    return local.join(offsets, [*keys, "_part"]).select(
-        "window", *keys, "_start", *[(F.col(c) + F.col(f"_off_{c}")).alias(c) for c in counts]
-    )
+    return opened.select(
+        "window", *keys, "_start", "_places", *carried,
+        *[(F.col(f"_off_{c}") + F.sum(c).over(inside)).alias(c) for c in counts],
+    )
 
 
 def event_summary(evts: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowtide.contract import TableContract
+from rowtide.contract import TableContract, require_sound
 from rowtide.functions.ids import EVENT_ID_NAMESPACE, digest_uuid, lsn_text, name_digest
 from rowtide.operators.control import drop_control
 from rowtide.operators.envelope import cdc_source, fenced, parsed_columns, true_timestamp, with_fingerprint
@@ -62,6 +62,7 @@ def records(
     ``canonical_name``, and the key as ``pk``. A feed landed by ``rowtide.sources.landing`` is taken
     as it is, without parsing.
     """
+    require_sound(feed.sparkSession, contracts)
     r = router(contracts, inline_columns)
     parsed = feed if "columns" in feed.columns else parsed_columns(drop_control(feed))
     routed = r.route(with_fingerprint(parsed))

@@ -8,35 +8,74 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Widths in ``seq`` of the stretches a table is cut into, finest first. See ``schema_changes``.
-STRETCHES = (1 << 20, 1 << 34)
+from rowtide.session import shelve
+
+# Width in ``seq`` of the stretches that are folded before anything is ordered, and of the wider cuts in which the
+# folded rows are compared. See ``schema_changes``.
+STRETCHES = (1 << 16, 1 << 34)
 
 CHANGE_COLUMNS = (
     "seq", "event", "table", "previous_fingerprint", "current_fingerprint", "added_columns", "removed_columns",
 )
 
 
+TABLE = ("table_schema", "table_name")
+
+
 def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -> DataFrame:
     """Transitions between consecutive snapshots of a table.
 
-    Input: ``seq, table_schema, table_name, column_fingerprint, column_names``. The first snapshot of
-    a table is silent, and so is one equal to its predecessor.
+    Input: ``seq, table_schema, table_name, column_fingerprint, column_names``, and optionally ``is_state``, true
+    for a row that stands before all others of its table. The first snapshot of a table is silent, and so is one
+    equal to its predecessor. Rows with the same ``seq`` go by fingerprint.
 
-    One window per table would sort all changes of the busiest table in one task. Instead a table is
-    cut into stretches of ``seq``. A window inside each stretch finds the transitions there, and only
-    its first and last row go on to the next, wider cut. There only rows that still have no
-    predecessor (``_open``) are compared with what came before. At the end a table is down to two rows
-    per widest stretch.
+    A table is cut into stretches of ``seq``, and each is folded to the range of every schema in it, inside the
+    tasks first. Where the ranges of a stretch lie one behind the other, which is nearly everywhere, these few rows
+    tell all transitions. Only stretches with ranges that overlap are read again, row by row. What is left is
+    compared in ever wider cuts, in which only the first and last row of a cut go on to the next, so that no
+    task orders a whole table.
     """
-    rows = snapshots.select(
-        "seq", "table_schema", "table_name", "column_fingerprint", "column_names", F.lit(True).alias("_open")
+    width = stretches[0] if stretches else None
+    folded, keys = shelve(fold(snapshots, width)), _STRETCH
+    w = Window.partitionBy(*keys).orderBy("seq", "column_fingerprint")
+    reach = F.max("_end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    mixed = folded.withColumn("_over", F.col("seq") <= reach).where("_over").select(*keys).distinct()
+    runs = folded.drop("_end")
+    if not mixed.isEmpty():
+        same = [F.col(f"m.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+        m = mixed.alias("m")
+        prev = F.lag("column_fingerprint").over(w)
+        inside = _cut(snapshots, width).alias("r").join(m, same, "left_semi").withColumn("_prev", prev)
+        starts = inside.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("column_fingerprint"))).drop("_prev")
+        runs = runs.alias("r").join(m, same, "left_anti").select(*runs.columns).unionByName(starts.select(*runs.columns))
+    return describe(_transitions(runs.drop("stretch").withColumn("_open", F.lit(True)), stretches[1:]))
+
+
+_STRETCH = [*TABLE, "is_state", "stretch"]
+
+
+def _cut(snapshots: DataFrame, width: int | None) -> DataFrame:
+    state = F.col("is_state") if "is_state" in snapshots.columns else F.lit(False)
+    stretch = F.lit(0) if width is None else F.expr(f"seq div {width}")
+    return snapshots.select(
+        *TABLE, state.alias("is_state"), stretch.alias("stretch"), "seq", "column_fingerprint", "column_names"
     )
+
+
+def fold(snapshots: DataFrame, width: int | None) -> DataFrame:
+    """The first and last ``seq`` of each schema in each stretch of a table."""
+    cut = _cut(snapshots, width).groupBy(*_STRETCH, "column_fingerprint", "column_names")
+    return cut.agg(F.min("seq").alias("seq"), F.max("seq").alias("_end"))
+
+
+def _transitions(rows: DataFrame, stretches: Sequence[int]) -> DataFrame:
+    """Rows whose predecessor has another fingerprint, with that one's; ``_open`` rows are still without predecessor."""
     found = []
     for width in (*stretches, None):
-        keys = [F.col("table_schema"), F.col("table_name")]
+        keys = [F.col(c) for c in TABLE]
         if width is not None:
-            keys.append(F.expr(f"seq div {width}"))
-        w = Window.partitionBy(*keys).orderBy("seq")
+            keys += [F.col("is_state"), F.expr(f"seq div {width}")]
+        w = Window.partitionBy(*keys).orderBy(F.col("is_state").desc(), "seq", "column_fingerprint")
         seen = rows.select(
             "*",
             F.lag("column_fingerprint").over(w).alias("_prev"),
@@ -45,15 +84,15 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
         )
         found.append(
             seen.where(F.col("_open") & (F.col("_prev") != F.col("column_fingerprint"))).select(
-                "seq", "table_schema", "table_name", "_prev", "_prev_names", "column_fingerprint", "column_names"
+                "seq", *TABLE, "_prev", "_prev_names", "column_fingerprint", "column_names"
             )
         )
         edges = seen.where(F.col("_prev").isNull() | F.col("_last"))
         rows = edges.select(
-            "seq", "table_schema", "table_name", "column_fingerprint", "column_names",
+            "seq", *TABLE, "is_state", "column_fingerprint", "column_names",
             (F.col("_open") & F.col("_prev").isNull()).alias("_open"),
         )
-    return describe(reduce(DataFrame.unionByName, found))
+    return reduce(DataFrame.unionByName, found)
 
 
 def describe(transitions: DataFrame) -> DataFrame:
@@ -77,9 +116,11 @@ def column_diff(a: Column, b: Column) -> Column:
 
 def latest_snapshots(snapshots: DataFrame) -> DataFrame:
     """The last snapshot of each table. Rows are folded per distinct schema before they are compared."""
-    keys = ("table_schema", "table_name")
-    folded = snapshots.groupBy(*keys, "column_fingerprint", "column_names").agg(F.max("seq").alias("seq"))
-    last = F.max_by(F.struct("seq", "column_fingerprint", "column_names"), "seq")
-    return folded.groupBy(*keys).agg(last.alias("_s")).select(
-        "_s.seq", *keys, "_s.column_fingerprint", "_s.column_names"
+    if "is_state" not in snapshots.columns:
+        snapshots = snapshots.withColumn("is_state", F.lit(False))
+    folded = snapshots.groupBy(*TABLE, "column_fingerprint", "column_names").agg(
+        F.max(F.struct((~F.col("is_state")).alias("later"), "seq")).alias("at")
     )
+    order = F.struct("at", "column_fingerprint")
+    last = F.max_by(F.struct("at.seq", "column_fingerprint", "column_names"), order)
+    return folded.groupBy(*TABLE).agg(last.alias("_s")).select("_s.seq", *TABLE, "_s.column_fingerprint", "_s.column_names")

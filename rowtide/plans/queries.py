@@ -436,7 +436,7 @@ def counts_nested(spark, sf):
 
 @query
 def heartbeat_windows(spark, sf):
-    beats = accounting.heartbeat(_order_records(spark, sf), "1 day", ["public.orders", "public.customers"])
+    beats = accounting.heartbeat(_order_records(spark, sf), "1 day")
     return beats.select(
         "event", F.unix_millis("window_end").alias("window_end_ms"), "received", "emitted", "dropped", "per_table",
         "uptime_seconds",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,23 +15,40 @@ from rowtide.operators.control import _bounded
 _COLUMNS = """
 select table_schema, table_name, column_name as name, ordinal_position as ordinal,
        is_nullable = 'YES' as is_nullable, data_type, udt_name, character_maximum_length as char_max_len
-from information_schema.columns"""
+from information_schema.columns join information_schema.tables using (table_catalog, table_schema, table_name)
+where table_type = 'BASE TABLE'"""
 _IDENTITIES = """
 select s.nspname as table_schema, t.relname as table_name, t.relreplident::text as relreplident
-from pg_catalog.pg_class t join pg_catalog.pg_namespace s on s.oid = t.relnamespace"""
+from pg_catalog.pg_class t join pg_catalog.pg_namespace s on s.oid = t.relnamespace where t.relkind in ('r', 'p')"""
 _ENUMS = """
 select typname as enum_type, enumlabel as label, enumsortorder as sort_order
 from pg_catalog.pg_enum e join pg_catalog.pg_type y on y.oid = e.enumtypid"""
 _ATTRIBUTES = """
 select s.nspname as table_schema, t.relname as table_name, a.attname as column, a.attnum::int as attnum
 from pg_catalog.pg_attribute a join pg_catalog.pg_class t on t.oid = a.attrelid
-join pg_catalog.pg_namespace s on s.oid = t.relnamespace where a.attnum > 0"""
+join pg_catalog.pg_namespace s on s.oid = t.relnamespace
+where t.relkind in ('r', 'p') and a.attnum > 0"""
 _INDEXES = """
 select s.nspname as table_schema, t.relname as table_name, i.relname as index_name,
        x.indisprimary as is_primary, x.indisunique as is_unique, x.indkey::int2[]::int[] as indkey
 from pg_catalog.pg_index x join pg_catalog.pg_class t on t.oid = x.indrelid
 join pg_catalog.pg_class i on i.oid = x.indexrelid
-join pg_catalog.pg_namespace s on s.oid = t.relnamespace"""
+join pg_catalog.pg_namespace s on s.oid = t.relnamespace where t.relkind in ('r', 'p')"""
+
+# Tables named in one query; more are read by several, which run side by side.
+TABLES_PER_QUERY = 500
+
+
+def catalog_queries(name: str, tables: Sequence[tuple[str, str]] | None = None) -> list[str]:
+    """The SQL that reads one catalog frame, for these tables only; ordinary and partitioned tables otherwise."""
+    if tables is None or name == "enums":
+        return [_QUERIES[name]]
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    columns = "table_schema, table_name" if name == "columns" else "s.nspname, t.relname"
+    keys = [f"({quote(s)}, {quote(t)})" for s, t in sorted(set(tables))]
+    chunks = [keys[i : i + TABLES_PER_QUERY] for i in range(0, len(keys), TABLES_PER_QUERY)]
+    return [f"{_QUERIES[name]} and ({columns}) in ({', '.join(c)})" for c in chunks] or [f"{_QUERIES[name]} and false"]
+
 
 
 def read_catalog(
@@ -42,10 +60,12 @@ def read_catalog(
 ) -> Catalog:
     """Catalog frames from JDBC options, or from a directory of parquet extracts.
 
-    A directory holds ``columns``, ``identities``, ``enums``, ``attributes`` and ``indexes``.
+    The database is asked for the ``tables`` only; extracts are narrowed to them here. A directory holds
+    ``columns``, ``identities``, ``enums``, ``attributes`` and ``indexes``.
     """
     if jdbc is not None:
-        read = lambda name: spark.read.format("jdbc").options(**jdbc).option("query", _QUERIES[name]).load()
+        one = lambda sql: spark.read.format("jdbc").options(**jdbc).option("query", sql).load()
+        read = lambda name: reduce(DataFrame.unionByName, map(one, catalog_queries(name, tables)))
     else:
         read = lambda name: spark.read.parquet(f"{path}/{name}")
     frames = {name: read(name) for name in _QUERIES}

@@ -112,13 +112,14 @@ def snapshot_feed(
 def with_snapshot(feed: DataFrame, snapshot: DataFrame, mode: str = "never", has_offsets: bool = False) -> DataFrame:
     """The snapshot ahead of the feed, as the mode says.
 
-    ``when_needed`` takes the snapshot unless there are stored offsets to resume from.
+    A snapshot is taken once: ``initial``, ``initial_only`` and ``when_needed`` leave it out when there are
+    stored offsets to resume from. ``initial_only`` has no more records then.
     """
     if mode not in SNAPSHOT_MODES:
         raise ValueError(f"snapshot mode must be one of {SNAPSHOT_MODES}, got {mode!r}")
     if mode == "initial_only":
-        return snapshot
-    if mode == "initial" or (mode == "when_needed" and not has_offsets):
+        return snapshot.where(F.lit(False)) if has_offsets else snapshot
+    if mode in ("initial", "when_needed") and not has_offsets:
         return union_feeds(snapshot, feed)
     return feed
 

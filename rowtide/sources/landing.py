@@ -34,11 +34,10 @@ def land(feed: DataFrame, path: str, mode: str = "append", rebalance: bool = Tru
     as its size asks for, and neither ends in crumbs of files. Leave that out for a feed whose splits
     already hold one table each.
 
-    The text of a record is kept only where no contract can make an event of it: where it is not
-    JSON, or has no column schema.
+    The text of every record is kept: a later contract may reject it, and rejects carry their text. It is a
+    column of its own that nothing else reads.
     """
-    lost = F.col("unparseable") | F.col("columns").isNull()
-    parsed = parsed_columns(drop_control(feed)).withColumn("value", F.when(lost, F.col("value")))
+    parsed = parsed_columns(drop_control(feed))
     keyed = parsed.withColumns({"source_schema": F.col("table_schema"), "source_table": F.col("table_name")})
     if rebalance:
         keyed = keyed.hint("rebalance", "source_schema", "source_table")

@@ -12,9 +12,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from rowtide.contract import TableContract
+from rowtide.contract import TableContract, require_sound
 from rowtide.operators import accounting
 from rowtide.operators.assemble import EVENT_COLUMNS, REJECT_COLUMNS, events, records
 from rowtide.streaming.schema_change import carry_changes
@@ -41,6 +41,8 @@ def run_stream(
     committed when it returns.
     """
 
+    require_sound(feed.sparkSession, contracts)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         here = f"{target}/{RECORDS}/batch_id={batch_id}"
@@ -87,13 +89,29 @@ def events_stream(feed: DataFrame, contracts: Sequence[TableContract], **options
     return events(records(feed, contracts, **options))
 
 
-def dedup_stream(evts: DataFrame, delay: str) -> DataFrame:
-    """Streaming events without replays that arrive within ``delay`` of event time of each other."""
-    return evts.withWatermark("true_tstamp", delay).dropDuplicatesWithinWatermark(["event_id"])
+def dedup_stream(evts: DataFrame, horizon: str | None = None) -> DataFrame:
+    """Streaming events without replays; an event that was not seen before always passes.
+
+    Ids are kept in the state for ``horizon``, counted from their arrival, or for ever. Arrival is the time
+    of the micro-batch, which only moves forward, so no event is ever too late, whatever its commit time
+    says. A replay that arrives after the horizon passes again; the state rows given up are in the query's
+    progress.
+    """
+    if horizon is None:
+        return evts.dropDuplicates(["event_id"])
+    arrived = evts.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", horizon)
+    return arrived.dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived")
+
 
+def write_events(
+    evts: DataFrame, target: str, format: str = "parquet", batch_id: int | None = None, **options: str
+) -> None:
+    """Write a batch of events: files, partitioned by table, or Kafka with the event id as key.
 
-def write_events(evts: DataFrame, target: str, format: str = "parquet", **options: str) -> None:
-    """Write a batch of events: files, partitioned by table, or Kafka with the event id as key."""
+    With a ``batch_id``, as ``on_batch`` gets it, files go to a directory of the batch, and a batch that is
+    run again replaces them. Without it files are appended, and Kafka always is: there, delivery is at least
+    once and ``event_id`` tells replays apart.
+    """
     if format == "kafka":
         as_json = F.to_json(F.struct(*evts.columns), {"ignoreNullFields": "false"})
         rows = evts.select(F.col("event_id").alias("key"), as_json.alias("value"))
@@ -101,17 +119,63 @@ def write_events(evts: DataFrame, target: str, format: str = "parquet", **option
         return
     keys = ("table_schema", "table_name")
     rows = evts.hint("rebalance", *keys)
-    rows.write.mode("append").partitionBy(*keys).format(format).options(**options).save(target)
+    mode, path = ("append", target) if batch_id is None else ("overwrite", f"{target}/batch_id={batch_id}")
+    rows.write.mode(mode).partitionBy(*keys).format(format).options(**options).save(path)
+
+
+def read_totals(spark: SparkSession, target: str) -> dict[str, int]:
+    """Received, emitted and dropped records of all finished batches of ``run_stream``, restarts included."""
+    row = read_flow(spark, target).agg(
+        F.sum("n"), F.sum(F.when(F.col("drop_reason").isNull(), F.col("n"))), F.sum(F.when(F.col("drop_reason").isNotNull(), F.col("n")))
+    )
+    return dict(zip(("received", "emitted", "dropped"), (n or 0 for n in row.first()), strict=True))
+
+
+class FlowCounters(StreamingQueryListener):
+    """Totals of ``events_stream`` queries, added up as their batches end; register it with ``spark.streams``.
+
+    ``total`` has them by query id, which stays over restarts. A batch that is reported again counts once.
+    """
+
+    def __init__(self):
+        self.total: dict[str, dict[str, int]] = {}
+        self._last: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        progress, key = event.progress, str(event.progress.id)
+        if progress.batchId <= self._last.get(key, -1):
+            return
+        metrics = [row for name, row in progress.observedMetrics.items() if name.startswith("flow-")]
+        if metrics:
+            self._last[key] = progress.batchId
+        total = self.total.setdefault(key, {"received": 0, "emitted": 0, "dropped": 0})
+        for row in metrics:
+            for k in total:
+                total[k] += row[k]
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
 
 
 def live_totals(query: StreamingQuery) -> dict[str, int]:
-    """Received, emitted and dropped records of a running stream of ``events_stream``.
+    """Received, emitted and dropped records of a short run of ``events_stream``.
 
-    Summed over the batches the query still remembers; the last one alone may be an empty batch.
+    Spark remembers the progress of the last batches only. Where some are forgotten this refuses to give a
+    number; ``FlowCounters`` and ``read_totals`` count without an end.
     """
     total = {"received": 0, "emitted": 0, "dropped": 0}
-    for progress in query.recentProgress:
-        for name, row in progress.observedMetrics.items():
+    progress = query.recentProgress
+    first = min((p.batchId for p in progress), default=0)
+    if first > 0:
+        raise ValueError("progress of older batches is gone; use FlowCounters or read_totals")
+    for p in progress:
+        for name, row in p.observedMetrics.items():
             if name.startswith("flow-"):
                 for k in total:
                     total[k] += row[k]

@@ -4,7 +4,7 @@ The state is a small table: the last snapshot of each source table, one version
 a batch the batch operator does the work; the state only joins in as one earlier row per table. No
 record goes through Python, and a busy table adds no more state than a quiet one. Batch ids are
 consecutive, also over restarts, so a batch finds its state under the id before its own; versions
-older than that can be removed at any time.
+older than that are removed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from rowtide.operators.schema_change import latest_snapshots, schema_changes
 
 SNAPSHOT = "seq bigint, table_schema string, table_name string, column_fingerprint string, column_names array<string>"
-FORMER = -(1 << 62)
 
 
 def carry_changes(spark: SparkSession, recs: DataFrame, target: str, batch_id: int) -> None:
@@ -24,10 +23,17 @@ def carry_changes(spark: SparkSession, recs: DataFrame, target: str, batch_id: i
         "seq", "table_schema", "table_name", "column_fingerprint", "column_names"
     )
     former = _state(spark, target, batch_id)
-    # The state of a table stands before everything the batch brings.
-    rows = former.withColumn("seq", F.lit(FORMER)).unionByName(now)
+    # The state of a table stands before everything the batch brings, whatever its seq.
+    rows = former.withColumn("is_state", F.lit(True)).unionByName(now.withColumn("is_state", F.lit(False)))
     schema_changes(rows).write.mode("overwrite").parquet(f"{target}/schema_changes/batch_id={batch_id}")
     latest_snapshots(rows).write.mode("overwrite").parquet(f"{target}/schema_state/batch_id={batch_id}")
+    # A batch that is run again needs the state before its own; anything older is done with.
+    _remove(spark, f"{target}/schema_state/batch_id={batch_id - 2}")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _state(spark: SparkSession, target: str, batch_id: int) -> DataFrame:

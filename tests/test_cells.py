@@ -62,6 +62,9 @@ def test_chain(spark, text, transforms, want):
         ("ab", "(?:(x)|a)()b", 2, ""),
         ("", "^$", 0, ""),
         ("aXb", "(?i)x(y)?", 1, None),
+        ("😀user@", "@(.*)$", 1, ""),
+        ("😀\n😀xaab", "(x?)b", 1, ""),
+        ("é😀b", "(a)?b", 1, None),
     ],
 )
 def test_extract_tells_empty_from_absent(spark, text, pattern, group, want):

@@ -279,3 +279,18 @@ def test_observed_catalog_can_be_checked_for_drift(spark):
         ("extra_column", "customer_id", "integer"), ("extra_column", "total", "text"), ("missing_column", "totl", "total"),
         ("transform_type", "at", "timestamp without time zone"),
     ]
+
+
+def test_catalog_is_asked_for_the_tables_only():
+    from rowtide.sources import catalog
+
+    tables = [("public", "o'rders"), ("public", "a"), ("public", "a")]
+    for name in ("columns", "identities", "attributes", "indexes"):
+        (sql,) = catalog.catalog_queries(name, tables)
+        assert sql.endswith("in (('public', 'a'), ('public', 'o''rders'))")
+        assert ("'BASE TABLE'" if name == "columns" else "t.relkind in ('r', 'p')") in sql
+        many = [("public", f"t{i}") for i in range(2 * catalog.TABLES_PER_QUERY + 1)]
+        assert len(catalog.catalog_queries(name, many)) == 3
+        assert catalog.catalog_queries(name, [])[0].endswith("and false")
+        assert " in (('" not in catalog.catalog_queries(name)[0]
+    assert catalog.catalog_queries("enums", tables) == catalog.catalog_queries("enums")

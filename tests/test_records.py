@@ -269,7 +269,8 @@ def test_heartbeat_against_a_loop(spark):
     accounting_stretch = accounting.STRETCH
     try:
         accounting.STRETCH = 7
-        beats = accounting.heartbeat(recs, "60 seconds", ["public.orders"]).orderBy("window_end").collect()
+        beats = accounting.heartbeat(recs, "60 seconds").orderBy("window_end").collect()
+        one = accounting.heartbeat(recs, "60 seconds", ["public.customers"]).orderBy("window_end").collect()
         by_table = accounting.heartbeat_by_table(recs, "60 seconds").orderBy("window_end").collect()
     finally:
         accounting.STRETCH = accounting_stretch
@@ -283,6 +284,10 @@ def test_heartbeat_against_a_loop(spark):
     assert [(b.received, b.emitted, b.dropped, b.uptime_seconds) for b in beats] == want
     assert beats[-1].per_table == json.dumps({"public.orders": {"c": want[-1][1]}}, separators=(",", ":"))
     assert by_table[-1].n == want[-1][1]
+    assert [b.received for b in one] == [b.received for b in beats] and {b.per_table for b in one} == {"{}"}
+    for b, t in zip(beats, ticks, strict=True):
+        n = sum(1 for u, good in rows if u <= t and good)
+        assert json.loads(b.per_table) == ({"public.orders": {"c": n}} if n else {})
     assert recs.where(F.col("drop_reason").isNull()).count() == want[-1][1]
 
 
@@ -297,10 +302,86 @@ def test_landed_feed_gives_the_same_records(spark, tmp_path):
     land(f, str(tmp_path / "landed"))
     landed = records(read_landed(spark, str(tmp_path / "landed")), CONTRACTS)
     direct = records(f, CONTRACTS)
-    keep = [c for c in direct.columns if c != "value"]
+    keep = direct.columns
     assert sorted(map(str, landed.select(*keep).collect())) == sorted(map(str, direct.select(*keep).collect()))
+    assert landed.where("drop_reason is not null and value is null").isEmpty()
     assert landed.where("drop_reason = 'unparseable'").first().value == "junk"
     one = read_landed(spark, str(tmp_path / "landed"), [("public", "nope")])
     assert one.count() == 1
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "source_table" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+
+
+def test_heartbeats_of_many_tables_against_a_loop(spark):
+    import random
+    from collections import defaultdict
+
+    rnd = random.Random(8)
+    names = ["orders", 'qu"ote', "a b", "z"]
+    contracts = [TableContract("public", n, "iglu:com.example/x/jsonschema/1-0-0", ("id",), ("id",)) for n in names[:3]]
+    values = [
+        envelope(rnd.choice("cr"), ts_ms=1714400000000 + rnd.randrange(0, 9_000_000), table=rnd.choice(names), lsn=i)
+        for i in range(200)
+    ]
+    recs = records(feed(spark, values), contracts)
+    before = accounting.STRETCH
+    try:
+        accounting.STRETCH = 5
+        beats = accounting.heartbeat(recs, "60 seconds").orderBy("window_end").collect()
+    finally:
+        accounting.STRETCH = before
+    rows = []
+    for v in values:
+        p = json.loads(v)["payload"]
+        rows.append((p["source"]["ts_ms"] // 60000, p["source"]["table"], p["op"]))
+    ticks = sorted({t for t, _, _ in rows})
+    assert len(beats) == len(ticks)
+    for b, t in zip(beats, ticks, strict=True):
+        want = defaultdict(lambda: defaultdict(int))
+        for u, table, op in rows:
+            if u <= t and table != "z":
+                want[f"public.{table}"][op] += 1
+        assert json.loads(b.per_table) == want
+        assert b.received == sum(u <= t for u, _, _ in rows)
+
+
+def test_heartbeats_read_the_feed_once(spark, sf):
+    from rowtide.plans.queries import REGISTRY
+
+    for name in ("heartbeat_windows", "heartbeat_by_table"):
+        plan = REGISTRY[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1, name
+
+
+def test_bad_transforms_are_refused_before_the_first_row(spark):
+    from rowtide.contract import ColumnSpec, ContractError, check_patterns
+
+    def contract(**t):
+        ((name, params),) = t.items()
+        columns = ("id", ColumnSpec("status", transforms=({name: params},)))
+        return TableContract("public", "orders", "iglu:com.example/o/jsonschema/1-0-0", ("id",), columns)
+
+    bad = [
+        {"regex_replace": {"pattern": "(a)", "replacement": "$2"}}, {"regex_replace": {"pattern": "a", "replacement": "$"}},
+        {"regex_replace": {"pattern": "a", "replacement": "x\\"}}, {"regex_replace": {"pattern": "(a", "replacement": ""}},
+        {"regex_replace": {"pattern": "(?<n>a)", "replacement": "${m}"}}, {"regex_extract": {"pattern": "(?:a)", "group": 1}},
+        {"regex_extract": {"pattern": r"[(]\Q(\E\(", "group": 1}},
+    ]
+    good = [
+        {"regex_replace": {"pattern": "(a)", "replacement": "$1$0\\$"}}, {"regex_replace": {"pattern": "(?<n>a)", "replacement": "${n}"}},
+        {"regex_replace": {"pattern": "((a)|b)", "replacement": "$21"}}, {"regex_extract": {"pattern": "(?<!x)(a)", "group": 1}},
+    ]
+    f = feed(spark, [envelope("c", after={**ROW, "status": "aab"})])
+    for inline in (0, 1000):
+        for t in bad:
+            with pytest.raises(ContractError):
+                records(f, [contract(**t)], inline_columns=inline)
+        for t in good:
+            assert records(f, [contract(**t)], inline_columns=inline).where("drop_reason is null").count() == 1
+    assert len(check_patterns(spark, [contract(**t) for t in [*bad, *good]])) == len(bad)
+
+
+def test_snapshot_is_taken_once(spark):
+    snap, live = feed(spark, ["s"]), feed(spark, ["l"])
+    sizes = {m: with_snapshot(live, snap, m, has_offsets=True).count() for m in ("never", "initial", "initial_only", "when_needed")}
+    assert sizes == {"never": 1, "initial": 1, "initial_only": 0, "when_needed": 1}

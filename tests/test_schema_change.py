@@ -5,7 +5,7 @@ import pytest
 from envelopes import COLUMNS, envelope, feed
 
 from rowtide.operators.envelope import parse, schema_snapshots
-from rowtide.operators.schema_change import latest_snapshots, schema_changes
+from rowtide.operators.schema_change import fold, latest_snapshots, schema_changes
 
 SNAPSHOT = "seq bigint, table_schema string, table_name string, column_fingerprint string, column_names array<string>"
 
@@ -60,6 +60,34 @@ def test_any_cut_gives_what_a_loop_gives(spark, stretches):
     assert _found(schema_changes(_snapshots(spark, rows), stretches)) == _loop(rows)
 
 
+def test_ties_and_state_rows(spark):
+    """Rows with one seq go by fingerprint; a state row stands before all others, whatever its seq."""
+    h = lambda v: hashlib.sha256(v.encode()).hexdigest()
+    rows = [(5, "t", "a", False), (5, "t", "b", False), (9, "t", "a", False), (9, "t", "c", True), (0, "u", "a", False), (7, "u", "a", True)]
+    data = [(seq, "s", t, h(v), [v], state) for seq, t, v, state in rows]
+    df = spark.createDataFrame(data, SNAPSHOT + ", is_state boolean")
+    first, second = sorted("ab", key=h)
+    moves = ["c", first, second, *(["a"] if second == "b" else [])]
+    seqs = [None, 5, 5, 9]
+    want = sorted((seqs[i], "s.t", [moves[i]], [moves[i - 1]]) for i in range(1, len(moves)))
+    for stretches in ((), (3,), (1, 4), (1000, 5000)):
+        assert _found(schema_changes(df, stretches)) == want
+    got = {r.table_name: r.column_names for r in latest_snapshots(df).collect()}
+    assert got == {"t": ["a"], "u": ["a"]}
+
+
+def test_one_schema_per_stretch_is_folded_in_the_tasks(spark):
+    """Of a feed whose stretches have one schema each, a task sends one row for each stretch."""
+    rows = spark.range(0, 40_000, 1, 4).selectExpr(
+        "id seq", "'s' table_schema", "'t' table_name", "if(id < 20000, 'f', 'g') column_fingerprint", "array('a') column_names"
+    )
+    folded = fold(rows, 10_000)
+    assert folded.count() == 4
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and "partial_min" in plan.split("Exchange")[1] and "Sort" not in plan
+    assert schema_changes(rows, (10_000, 100_000)).count() == 1
+
+
 def test_reads_and_rejected_records_advance_the_detector(spark):
     more = [*COLUMNS, ("country", "string", None, True)]
     values = [

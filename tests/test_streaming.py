@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import time
 
 import pytest
 from envelopes import COLUMNS, envelope
@@ -12,6 +13,7 @@ from rowtide.operators.envelope import parse, schema_snapshots
 from rowtide.operators.schema_change import schema_changes
 from rowtide.sources.feed import read_feed
 from rowtide.streaming.run import (
+    FlowCounters,
     dedup_stream,
     events_stream,
     live_totals,
@@ -19,6 +21,7 @@ from rowtide.streaming.run import (
     read_flow,
     read_rejected,
     read_schema_changes,
+    read_totals,
     run_stream,
     write_events,
 )
@@ -149,6 +152,68 @@ def test_stream_dedup(spark, tmp_path):
     assert _ids(spark.table("once")) == _ids(dedup(events(records(feed, [ORDERS]))))
 
 
+def test_stream_dedup_never_drops_a_first_delivery(spark, tmp_path):
+    """Events far behind the others, without commit time, and replays that come late: the same as in a batch."""
+    row = {"id": 1, "customer_id": 1, "status": "s", "total": "1"}
+    times = [1714400000000, 1714407200000, 1714400000000 - 9 * 3600_000, None, 1714414400000, 1714403600000]
+    values = [envelope("c", after={**row, "id": i}, lsn=i, ts_ms=t) for i, t in enumerate(times)]
+    values += [values[2], values[3], values[0], values[5]]
+    for horizon in (None, "1 hour"):
+        name = "kept_" + (horizon or "ever").replace(" ", "_")
+        here = tmp_path / name
+        _files(here / "in", values, 2)
+        source = read_feed(spark, str(here / "in"), format="json", streaming=True, max_per_trigger=1)
+        q = (
+            dedup_stream(events_stream(source, [ORDERS]), horizon)
+            .writeStream.format("memory").queryName(name).trigger(availableNow=True)
+            .option("checkpointLocation", str(here / "cp")).start()
+        )
+        q.awaitTermination()
+        feed = read_feed(spark, str(here / "in"), format="json")
+        assert _ids(spark.table(name)) == _ids(dedup(events(records(feed, [ORDERS]))))
+        dropped = [s["numRowsDroppedByWatermark"] for p in q.recentProgress for s in p["stateOperators"]]
+        assert not any(dropped)
+
+
+def test_totals_survive_restarts_and_forgotten_progress(spark, tmp_path):
+    values = _values()
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    for part in (values[:8], values[8:]):
+        _files(tmp_path / "in", part, 3, first=0 if len(part) == 8 else 8)
+        source = read_feed(spark, str(tmp_path / "in"), format="json", streaming=True, max_per_trigger=1)
+        run_stream(source, [ORDERS], out, cp, available_now=True).awaitTermination()
+    assert read_totals(spark, out) == {"received": 21, "emitted": 10, "dropped": 11}
+    assert len(glob.glob(f"{out}/schema_state/batch_id=*")) == 2
+
+    counters = FlowCounters()
+    spark.streams.addListener(counters)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        source = read_feed(spark, str(tmp_path / "in"), format="json", streaming=True, max_per_trigger=1)
+        q = events_stream(source, [ORDERS]).writeStream.format("noop").trigger(availableNow=True)
+        q = q.option("checkpointLocation", str(tmp_path / "cp2")).start()
+        q.awaitTermination()
+        with pytest.raises(ValueError, match="FlowCounters"):
+            live_totals(q)
+        for _ in range(50):
+            if counters.total.get(str(q.id), {}).get("received") == 21:
+                break
+            time.sleep(0.2)
+        assert counters.total[str(q.id)] == {"received": 21, "emitted": 10, "dropped": 11}
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+        spark.streams.removeListener(counters)
+
+
+def test_events_of_a_batch_that_runs_again_are_replaced(spark, tmp_path):
+    _files(tmp_path / "in", _values(), 100)
+    evts = events(records(read_feed(spark, str(tmp_path / "in"), format="json"), [ORDERS]))
+    for _ in range(2):
+        write_events(evts, str(tmp_path / "events"), batch_id=7)
+    assert _ids(spark.read.parquet(str(tmp_path / "events"))) == _ids(evts)
+
+
 def test_write_events_as_files(spark, tmp_path):
     _files(tmp_path / "in", _values(), 100)
     evts = events(records(read_feed(spark, str(tmp_path / "in"), format="json"), [ORDERS]))
