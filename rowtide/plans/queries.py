@@ -538,21 +538,21 @@ def replica_findings(spark, sf):
 @query
 def drift_summary(spark, sf):
     contract, cat = _fleet(spark, sf)
-    out = drift.drift_summary(contract, drift.findings(contract, cat))
+    out = drift.drift_summary(contract, cat)
     return out.select("contract_id", "errors", "warnings", "tables", "footer", _long("exit_code"))
 
 
 @query
 def drift_lines(spark, sf):
     contract, cat = _fleet(spark, sf)
-    lines = drift.drift_lines(contract, drift.findings(contract, cat), cat)
+    lines = drift.drift_lines(contract, cat)
     return lines.select("contract_id", "table_schema", "table_name", _long("section"), "line")
 
 
 @query
 def drift_ok_tables(spark, sf):
     contract, cat = _fleet(spark, sf)
-    return drift.ok_tables(contract, drift.findings(contract, cat), cat).drop("table_pos")
+    return drift.ok_tables(contract, cat).drop("table_pos")
 
 
 @query

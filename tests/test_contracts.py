@@ -52,9 +52,8 @@ def _contract(name, *columns, schema="public", pk=("id",), uri=None):
 
 def _report(spark, contracts, cat):
     contract = contract_df(spark, contracts)
-    found = drift.findings(contract, cat)
-    lines = drift.drift_lines(contract, found, cat).orderBy(*drift.REPORT_ORDER).collect()
-    return [r.line for r in lines], drift.drift_summary(contract, found).first()
+    lines = drift.drift_lines(contract, cat).orderBy(*drift.REPORT_ORDER).collect()
+    return [r.line for r in lines], drift.drift_summary(contract, cat).first()
 
 
 def test_drift_report(spark):
@@ -120,7 +119,7 @@ def test_many_contracts_in_one_job(spark):
     a = contract_df(spark, [_contract("clean_table", "id", "name")], "a")
     b = contract_df(spark, [_contract("clean_table", "id"), _contract("gone", "x")], "b")
     both = a.unionByName(b)
-    got = {r.contract_id: (r.errors, r.warnings, r.tables) for r in drift.drift_summary(both, drift.findings(both, cat)).collect()}
+    got = {r.contract_id: (r.errors, r.warnings, r.tables) for r in drift.drift_summary(both, cat).collect()}
     assert got == {"a": (0, 0, 1), "b": (1, 1, 2)}
 
 
@@ -294,3 +293,11 @@ def test_catalog_is_asked_for_the_tables_only():
         assert catalog.catalog_queries(name, [])[0].endswith("and false")
         assert " in (('" not in catalog.catalog_queries(name)[0]
     assert catalog.catalog_queries("enums", tables) == catalog.catalog_queries("enums")
+
+
+def test_drift_joins_contract_and_catalog_once(spark, sf):
+    from rowtide.plans.queries import REGISTRY
+
+    for name in ("drift_lines", "drift_summary", "drift_ok_tables"):
+        plan = REGISTRY[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") <= 4, name
