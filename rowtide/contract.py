@@ -198,13 +198,28 @@ def check_patterns(spark: SparkSession, contracts: Iterable[TableContract]) -> l
 
     All patterns are compiled by the regex engine that Spark uses, in one job.
     """
-    wanted = {
-        (x.pattern, x.group, x.replacement): f"{t.schema}.{t.name}.{c.name}"
-        for t in contracts
-        for c in t.columns
-        for x in c.transforms
-        if x.pattern is not None
-    }
+    return _problems(
+        spark,
+        {
+            (x.pattern, x.group, x.replacement): f"{t.schema}.{t.name}.{c.name}"
+            for t in contracts
+            for c in t.columns
+            for x in c.transforms
+            if x.pattern is not None
+        },
+    )
+
+
+def check_pattern_rows(contract: DataFrame) -> list[str]:
+    """``check_patterns`` for contracts as rows. Only the distinct transforms come to the driver."""
+    each = contract.select(
+        F.concat_ws(".", "table_schema", "table_name", "column").alias("at"), F.explode("transforms").alias("t")
+    ).where("t.pattern is not null")
+    distinct = each.groupBy("t.pattern", "t.grp", "t.replacement").agg(F.min("at").alias("at")).collect()
+    return _problems(contract.sparkSession, {(r.pattern, r.grp, r.replacement): r["at"] for r in distinct})
+
+
+def _problems(spark: SparkSession, wanted: Mapping[tuple, str]) -> list[str]:
     if not wanted:
         return []
     rows = spark.createDataFrame([(p,) for p in sorted({p for p, _, _ in wanted})], "pattern string")
@@ -229,8 +244,12 @@ def check_patterns(spark: SparkSession, contracts: Iterable[TableContract]) -> l
 _SOUND: set[TableContract] = set()
 
 
-def require_sound(spark: SparkSession, contracts: Iterable[TableContract]) -> None:
-    """Refuse contracts whose transforms would fail on data. What was found sound once is not looked at again."""
+def require_sound(spark: SparkSession, contracts: Iterable[TableContract] | DataFrame) -> None:
+    """Refuse contracts whose transforms would fail on data. Objects that were found sound once are not looked at again."""
+    if isinstance(contracts, DataFrame):
+        if problems := check_pattern_rows(contracts):
+            raise ContractError("; ".join(problems))
+        return
     fresh = [t for t in contracts if any(x.pattern is not None for c in t.columns for x in c.transforms)]
     fresh = [t for t in fresh if t not in _SOUND]
     if fresh:

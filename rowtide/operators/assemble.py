@@ -45,7 +45,7 @@ def classify(parsed: DataFrame, contracts: Sequence[TableContract], inline_colum
 
 def records(
     feed: DataFrame,
-    contracts: Sequence[TableContract],
+    contracts: Sequence[TableContract] | DataFrame,
     *,
     app_id: str = "cdc",
     connector: str = "postgres",
@@ -60,7 +60,8 @@ def records(
     schema changes are then cheap column reads of it. The flow totals are also observed as the
     records pass, under a metric named ``flow-...``. ``with_names`` adds what the id is made of:
     ``canonical_name``, and the key as ``pk``. A feed landed by ``rowtide.sources.landing`` is taken
-    as it is, without parsing.
+    as it is, without parsing. ``contracts`` are objects, or rows as of ``contract_df``, which may be a
+    fleet's and do not pass through the driver.
     """
     require_sound(feed.sparkSession, contracts)
     r = router(contracts, inline_columns)

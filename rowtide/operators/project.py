@@ -15,14 +15,19 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract
 from rowtide.functions.cells import apply_chain, apply_chain_rows
-from rowtide.operators.control import _bounded
 from rowtide.operators.envelope import cell
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
-# Above this many emitted columns over all tables, contracts are joined instead of inlined.
+# Above this many emitted columns over all tables, contracts are joined instead of inlined. Both give the same
+# records; it is about the size of the generated code only.
 INLINE_COLUMNS = 200
 
+# Contracts of up to so many bytes of text are broadcast. Larger ones are joined by table and a salt, so that the
+# records of a busy table are spread over this many tasks.
+BROADCAST_BYTES = 8 << 20
+SALTS = 32
+
 
 def plain_number(v: Column) -> Column:
     """A fractional number in its double form, so that ``1.0`` keeps its fraction in JSON text.
@@ -126,7 +131,16 @@ class JoinedRouter:
             pk = list(dict.fromkeys(t.primary_key))
             rows.append((t.schema, t.name, i, t.schema_uri, t.app_id, pk, sorted(pk), specs))
         header = parsed.sparkSession.createDataFrame(rows, self._HEADER)
-        return parsed.join(_bounded(header, len(rows)), ["table_schema", "table_name"], "left")
+        return self._join(parsed, header, broadcast=len(repr(rows)) <= BROADCAST_BYTES)
+
+    @staticmethod
+    def _join(parsed: DataFrame, header: DataFrame, broadcast: bool) -> DataFrame:
+        keys = ["table_schema", "table_name"]
+        if broadcast:
+            return parsed.join(F.broadcast(header), keys, "left")
+        salt = F.pmod(F.xxhash64("key", "seq"), F.lit(SALTS)).cast("int")
+        copies = header.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return parsed.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")
 
     def bad_cell(self) -> Column:
         def bad(image: str) -> Column:
@@ -155,7 +169,48 @@ class JoinedRouter:
         return F.to_json(F.map_from_entries(F.transform(names, entry)), KEEP_NULLS)
 
 
-def router(contracts: Sequence[TableContract], inline_columns: int = INLINE_COLUMNS):
+class RowsRouter(JoinedRouter):
+    """Contracts that are a DataFrame (``rowtide.contract.contract_df``); none of them comes to the driver.
+
+    How large they are is only known when they are read, so the join carries no hint: the planner broadcasts the
+    table-level rows if they are small, and the salt holds if they are not.
+    """
+
+    def __init__(self, contract: DataFrame):
+        self.contract = contract
+
+    def route(self, parsed: DataFrame) -> DataFrame:
+        return self._join(parsed, header_of(self.contract), broadcast=False)
+
+
+def header_of(contract: DataFrame) -> DataFrame:
+    """A row per table of contracts as rows. A table told twice has its last contract; an output name produced twice
+    keeps its first place and its last column."""
+    keys = ["table_schema", "table_name"]
+    last = contract.groupBy(*keys).agg(
+        F.max("table_pos").alias("table_pos"),
+        F.max_by(F.struct("schema_uri", "app_id", "primary_key"), "table_pos").alias("h"),
+    )
+    emitted = contract.where(F.col("column").isNotNull() & ~F.col("exclude")).groupBy(*keys, "table_pos", "output_name").agg(
+        F.min("col_pos").alias("pos"), F.max_by(F.struct("column", "transforms"), "col_pos").alias("c")
+    )
+    spec = F.struct(F.col("c.column").alias("name"), F.col("output_name").alias("out"), F.col("c.transforms").alias("transforms"))
+    specs = emitted.groupBy(*keys, "table_pos").agg(F.array_sort(F.collect_list(F.struct("pos", spec.alias("s")))).alias("specs"))
+    joined = last.join(specs, [*keys, "table_pos"], "left")
+    return joined.select(
+        *keys,
+        F.col("table_pos").alias("route"),
+        "h.schema_uri",
+        F.col("h.app_id").alias("table_app_id"),
+        F.array_distinct("h.primary_key").alias("pk_names"),
+        F.array_sort(F.array_distinct("h.primary_key")).alias("pk_sorted"),
+        F.coalesce(F.transform("specs", lambda r: r["s"]), F.array()).alias("specs"),
+    )
+
+
+def router(contracts: Sequence[TableContract] | DataFrame, inline_columns: int = INLINE_COLUMNS):
+    if isinstance(contracts, DataFrame):
+        return RowsRouter(contracts)
     emitted = sum(len(t.emitted) for t in contracts)
     return InlineRouter(contracts) if emitted <= inline_columns else JoinedRouter(contracts)
 

@@ -387,6 +387,22 @@ EXPECTED: dict[str, str] = {
     "tx_type_guard": _changes("SELECT seq, op FROM ch WHERE reason = 'transform_type'"),
     "op_payload": _changes("SELECT seq, op, payload FROM oe"),
     "both_images": _changes("SELECT seq, 'N' AS before_status, st AS after_status FROM ch WHERE reason IS NULL AND op = 'u'"),
+    "route_by_contract_rows": _changes(
+        """SELECT tbl AS table_name, uri AS schema_uri, count(*) AS n, CAST(sum(length(payload)) AS BIGINT) AS payload_chars
+        FROM e0 GROUP BY tbl, uri"""
+    ),
+    "feed_partitions": _changes(
+        """, own AS (SELECT coalesce(lsn, -1) AS seq, tbl, fp,
+          CASE WHEN k >= 400 THEN 'id,customer_id,status,total,country' ELSE 'id,customer_id,status,total' END AS names
+          FROM ch WHERE fp IS NOT NULL),
+        step AS (SELECT *, lag(fp) OVER w AS prev, lag(names) OVER w AS prev_names FROM own
+          WINDOW w AS (PARTITION BY tbl ORDER BY seq, fp))
+        SELECT seq, 'public.' || tbl AS "table", prev AS previous_fingerprint, fp AS current_fingerprint,
+          array_to_string(list_sort(list_filter(string_split(names, ','), lambda x: NOT list_contains(string_split(prev_names, ','), x))), ',') AS added_columns,
+          array_to_string(list_sort(list_filter(string_split(prev_names, ','), lambda x: NOT list_contains(string_split(names, ','), x))), ',') AS removed_columns
+        FROM step WHERE prev <> fp"""
+    ),
+    "landed_rejects": _changes("SELECT seq, reason AS drop_reason, true AS has_text FROM ch WHERE reason IS NOT NULL"),
     "route_by_table": _changes(
         """SELECT tbl AS table_name, uri AS schema_uri, count(*) AS n, CAST(sum(length(payload)) AS BIGINT) AS payload_chars
         FROM e0 GROUP BY tbl, uri"""

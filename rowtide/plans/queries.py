@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.contract import CellTransform, ColumnSpec, TableContract
+from rowtide.contract import CellTransform, ColumnSpec, TableContract, contract_df
 from rowtide.functions import lsn_text, slugify
 from rowtide.functions.cells import apply_chain
 from rowtide.operators import accounting, assemble, catalog, control, drift, lint, scaffold
@@ -17,7 +17,9 @@ from rowtide.operators.schema_change import latest_snapshots, schema_changes
 from rowtide.plans import feeds, fleet
 from rowtide.plans.feeds import APP_ID, CONTRACTS, CUSTOMERS, ORDERS
 from rowtide.sources.catalog import observed_columns
-from rowtide.sources.feed import snapshot_feed, union_feeds, with_snapshot
+from rowtide.session import shared_folder
+from rowtide.sources.feed import commit_order, snapshot_feed, union_feeds, with_snapshot
+from rowtide.sources.landing import land, read_landed
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -71,6 +73,24 @@ def feed_scan(spark, sf):
     return f.select("seq", "destination", "key", F.col("value").isNotNull().alias("has_value"))
 
 
+@query
+def feed_partitions(spark, sf):
+    # The same offsets in four partitions: the order of changes is that of the log.
+    dealt = feeds.orders_feed(spark, sf).select(
+        F.expr("seq div 16").alias("seq"), "destination", "key", "value", F.expr("cast(seq div 4 % 4 as int)").alias("partition")
+    )
+    found = schema_changes(schema_snapshots(commit_order(parse(control.drop_control(dealt)))))
+    return found.select("seq", "table", "previous_fingerprint", "current_fingerprint", _joined("added_columns"), _joined("removed_columns"))
+
+
+@query
+def landed_rejects(spark, sf):
+    folder = shared_folder(spark)
+    land(feeds.orders_feed(spark, sf), folder)
+    lost = assemble.rejected(assemble.records(read_landed(spark, folder), CONTRACTS, app_id=APP_ID))
+    return lost.select("seq", "drop_reason", F.col("value").isNotNull().alias("has_text"))
+
+
 @query
 def include_tables(spark, sf):
     kept = control.include_tables(_changes(spark, sf), [ORDERS])
@@ -331,6 +351,13 @@ def both_images(spark, sf):
     return updates.select("seq", at("before"), at("after"))
 
 
+@query
+def route_by_contract_rows(spark, sf):
+    recs = assemble.records(feeds.shop_feed(spark, sf), contract_df(spark, CONTRACTS), app_id=APP_ID)
+    per = assemble.events(recs).groupBy("table_name", "schema_uri")
+    return per.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).alias("payload_chars"))
+
+
 @query
 def route_by_table(spark, sf):
     per = assemble.events(_shop_records(spark, sf)).groupBy("table_name", "schema_uri")

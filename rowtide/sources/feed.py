@@ -34,7 +34,8 @@ def read_feed(
     """A feed from files with the feed's columns (parquet, json, orc, csv), or from Kafka.
 
     ``max_per_trigger`` bounds a micro-batch: files for a file source, offsets for Kafka. A slow sink
-    then holds the source back, and nothing is dropped.
+    then holds the source back, and nothing is dropped. A Kafka feed also has its ``partition``; offsets count
+    inside it, so for tables that are spread over several partitions see ``commit_order``.
     """
     reader = spark.readStream if streaming else spark.read
     if kafka is not None:
@@ -46,12 +47,23 @@ def read_feed(
             F.col("topic").alias("destination"),
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
+            "partition",
         )
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     return reader.format(format).schema(FEED_SCHEMA).load(path)
 
 
+def commit_order(parsed: DataFrame) -> DataFrame:
+    """Parsed changes with the commit position as ``seq``.
+
+    Offsets of different partitions say nothing about each other and repeat; the log position of the database orders
+    the changes of a table wherever they were delivered. Records without one come first, and records at the same
+    position go by what the operators break ties with. Replays of a change keep its place.
+    """
+    return parsed.withColumn("seq", F.coalesce("lsn_num", F.lit(-1).cast("bigint")))
+
+
 def union_feeds(*feeds: DataFrame) -> DataFrame:
     """Several feeds as one.
 

@@ -385,3 +385,30 @@ def test_snapshot_is_taken_once(spark):
     snap, live = feed(spark, ["s"]), feed(spark, ["l"])
     sizes = {m: with_snapshot(live, snap, m, has_offsets=True).count() for m in ("never", "initial", "initial_only", "when_needed")}
     assert sizes == {"never": 1, "initial": 1, "initial_only": 0, "when_needed": 1}
+
+
+def test_contracts_as_rows_give_the_same_records(spark, monkeypatch):
+    from rowtide.contract import ColumnSpec, ContractError, contract_df
+    from rowtide.operators import project
+
+    twice = TableContract(
+        "public", "twice", "iglu:com.example/t/jsonschema/1-0-0", ("b", "a", "b"),
+        (ColumnSpec("a", rename="x"), "id", ColumnSpec("b", rename="x", transforms=("trim",)), ColumnSpec("c", exclude=True)), app_id="own",
+    )
+    bare = TableContract("public", "bare", "iglu:com.example/b/jsonschema/1-0-0", (), ())
+    contracts = [*CONTRACTS, twice, bare]
+    values = [
+        envelope("c", after={**ROW, "total": 1.0}), envelope("u", before=ROW), envelope("d", before=ROW, after=None),
+        envelope("c", table="nope"), envelope("c", has_after_schema=False), "junk", None, envelope("c", table="bare"),
+        envelope("c", table="twice", after={"a": "1", "id": 3, "b": " q ", "c": "z"}), envelope("c", table="twice", after={"b": 4}),
+    ]
+    f = feed(spark, values)
+    want = sorted(map(str, records(f, contracts, per_table_app_id=True, with_names=True).collect()))
+    rows = contract_df(spark, contracts)
+    assert sorted(map(str, records(f, rows, per_table_app_id=True, with_names=True).collect())) == want
+    monkeypatch.setattr(project, "BROADCAST_BYTES", 0)
+    salted = records(f, contracts, inline_columns=0, per_table_app_id=True, with_names=True)
+    assert sorted(map(str, salted.collect())) == want
+    columns = (ColumnSpec("id", transforms=({"regex_replace": {"pattern": "(a)", "replacement": "$2"}},)),)
+    with pytest.raises(ContractError):
+        records(f, contract_df(spark, [TableContract("s", "t", "u", ("id",), columns)]))
