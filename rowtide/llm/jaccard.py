@@ -511,6 +511,27 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked(table(spark, sf_dir, "documents"))
 
 
+OP1_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(1, len(words) - 3) + 1),
+    lambda i: array_to_string(words[i:i + 3], ' '))) AS shingle FROM texts WHERE len(words) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y
+  ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM ways UNION SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT t.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(t.doc_id, l.b) AS component_id
+FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id LEFT JOIN least l ON l.a = t.doc_id
+"""
+
+
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents whose component has one with a smaller doc_id; all columns stay."""
     groups = linked(docs, **options).where("component_id is null or doc_id is null or doc_id != component_id")

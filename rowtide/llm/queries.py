@@ -21,7 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": mixing.op10_mixing,
 }
 ORACLE: dict[str, str] = {
+    "op1_jaccard": jaccard.OP1_SQL,
     "op3_neardup": neardup.OP3_SQL,
+    "op5_substrings": substrings.OP5_SQL,
     "op9_licenses": licenses.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
 }

@@ -316,3 +316,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, longest: bool = False)
 
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP5_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), cut AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS passage
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM texts)
+), later AS (
+  SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) AS place FROM cut) WHERE place > 1
+), covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+each AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS word FROM texts),
+marked AS (SELECT e.*, c.i IS NOT NULL AS gone FROM each e LEFT JOIN covered c ON c.doc_id = e.doc_id AND c.i = e.i),
+kept AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY doc_id
+)
+SELECT t.doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""

@@ -115,4 +115,4 @@ def test_query_equals_sql(spark, sf):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     got = sorted(map(tuple, jaccard.op1_jaccard(spark, sf).collect()))
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    assert got == sorted(brute(rows))
+    assert got == sorted(brute(rows)) == sorted(con.execute(jaccard.OP1_SQL).fetchall())

@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -86,4 +87,7 @@ def test_smallest_places():
 
 def test_query_on_the_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    assert sorted(map(tuple, substrings.op5_substrings(spark, sf).collect())) == sorted(brute(rows))
+    got = sorted(map(tuple, substrings.op5_substrings(spark, sf).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    assert got == sorted(brute(rows)) == sorted(con.execute(substrings.OP5_SQL).fetchall())
