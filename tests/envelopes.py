@@ -4,7 +4,7 @@ import json
 
 COLUMNS = [("id", "int32", None, False), ("customer_id", "int32", None, True), ("status", "string", None, True),
            ("total", "string", None, True)]
-ROW = {"id": 42, "customer_id": 1, "status": "pending", "total": "99.00"}
+ROW = {"id": 7, "customer_id": 31, "status": "open", "total": "12.50"}
 
 
 def block(columns=COLUMNS, after=True):
@@ -22,7 +22,7 @@ def block(columns=COLUMNS, after=True):
 
 
 def envelope(op="c", before=None, after=ROW, columns=COLUMNS, has_after_schema=True, **source):
-    src = {"connector": "postgresql", "db": "orders_db", "schema": "public", "table": "orders", "ts_ms": 1714400000000,
+    src = {"connector": "postgresql", "db": "sales_db", "schema": "public", "table": "orders", "ts_ms": 1714400000000,
            "lsn": 23000000, "txId": 99, "snapshot": "false", **source}
     src = {k: v for k, v in src.items() if v != "ABSENT"}
     payload = {"before": before, "after": after, "source": src, "op": op, "ts_ms": 1, "transaction": None}

@@ -38,12 +38,12 @@ def _catalog(spark, *args, **kw):
 
 
 DRIFTED = {
-    "clean_table": [("id", "bigint", "int8"), ("name", "text", "text")],
-    "missing_and_extra": [("id", "bigint", "int8"), ("email", "text", "text"),
-                          ("created_at", "timestamp with time zone", "timestamptz")],
-    "replica_and_type": [("id", "bigint", "int8"), ("amount_cents", "integer", "int4")],
+    "bills": [("id", "bigint", "int8"), ("name", "text", "text")],
+    "members": [("id", "bigint", "int8"), ("email", "text", "text"),
+                          ("joined_on", "timestamp with time zone", "timestamptz")],
+    "refunds": [("id", "bigint", "int8"), ("fee_units", "integer", "int4")],
 }
-IDENTITIES = {"clean_table": "f", "missing_and_extra": "f", "replica_and_type": "d"}
+IDENTITIES = {"bills": "f", "members": "f", "refunds": "d"}
 
 
 def _contract(name, *columns, schema="public", pk=("id",), uri=None):
@@ -58,25 +58,25 @@ def _report(spark, contracts, cat):
 
 def test_drift_report(spark):
     contracts = [
-        _contract("clean_table", "id", "name"),
-        _contract("missing_and_extra", "id", "email", "user_email"),
-        _contract("replica_and_type", "id", ColumnSpec("amount_cents", transforms=("lowercase",))),
+        _contract("bills", "id", "name"),
+        _contract("members", "id", "email", "user_email"),
+        _contract("refunds", "id", ColumnSpec("fee_units", transforms=("lowercase",))),
     ]
     lines, summary = _report(spark, contracts, _catalog(spark, DRIFTED, IDENTITIES))
     assert lines == [
-        "[OK]    public.clean_table — 2 columns, REPLICA IDENTITY FULL",
-        "[ERROR] public.missing_and_extra.user_email — configured column not found in database",
-        "[WARN]  public.missing_and_extra.created_at — present in database, not in config",
-        "[ERROR] public.replica_and_type.amount_cents — transform 'lowercase' requires a string column; db type is \"integer\"",
-        "[WARN]  public.replica_and_type — REPLICA IDENTITY 'default' (not FULL); UPDATE/DELETE 'before' carries only the "
-        "primary key. To fix: ALTER TABLE public.replica_and_type REPLICA IDENTITY FULL;",
+        "[OK]    public.bills — 2 columns, REPLICA IDENTITY FULL",
+        "[ERROR] public.members.user_email — configured column not found in database",
+        "[WARN]  public.members.joined_on — present in database, not in config",
+        "[ERROR] public.refunds.fee_units — transform 'lowercase' requires a string column; db type is \"integer\"",
+        "[WARN]  public.refunds — REPLICA IDENTITY 'default' (not FULL); UPDATE/DELETE 'before' carries only the "
+        "primary key. To fix: ALTER TABLE public.refunds REPLICA IDENTITY FULL;",
     ]
     assert summary.footer == "validate: 2 errors, 2 warnings across 3 tables" and summary.exit_code == 1
 
 
 def test_warnings_alone_are_no_error(spark):
     lines, summary = _report(
-        spark, [_contract("replica_and_type", "id", "amount_cents")], _catalog(spark, DRIFTED, IDENTITIES)
+        spark, [_contract("refunds", "id", "fee_units")], _catalog(spark, DRIFTED, IDENTITIES)
     )
     assert len(lines) == 1 and (summary.errors, summary.warnings, summary.exit_code) == (0, 1, 0)
 
@@ -89,11 +89,11 @@ def test_missing_table_is_one_error(spark):
 
 def test_missing_sorted_and_transforms_after_them(spark):
     contract = _contract(
-        "replica_and_type", "zz", "aa", ColumnSpec("amount_cents", transforms=("uppercase", "lowercase")),
+        "refunds", "zz", "aa", ColumnSpec("fee_units", transforms=("uppercase", "lowercase")),
         ColumnSpec("hidden", exclude=True), "id",
     )
-    lines, summary = _report(spark, [contract], _catalog(spark, DRIFTED, {"replica_and_type": "f"}))
-    assert [x.split(" — ")[0].split(".")[-1] for x in lines] == ["aa", "hidden", "zz", "amount_cents", "amount_cents"]
+    lines, summary = _report(spark, [contract], _catalog(spark, DRIFTED, {"refunds": "f"}))
+    assert [x.split(" — ")[0].split(".")[-1] for x in lines] == ["aa", "hidden", "zz", "fee_units", "fee_units"]
     assert "'lowercase'" in lines[3] and "'uppercase'" in lines[4]
     assert summary.errors == 5
 
@@ -116,8 +116,8 @@ def test_suggestions(spark, wanted, have, want):
 
 def test_many_contracts_in_one_job(spark):
     cat = _catalog(spark, DRIFTED, IDENTITIES)
-    a = contract_df(spark, [_contract("clean_table", "id", "name")], "a")
-    b = contract_df(spark, [_contract("clean_table", "id"), _contract("gone", "x")], "b")
+    a = contract_df(spark, [_contract("bills", "id", "name")], "a")
+    b = contract_df(spark, [_contract("bills", "id"), _contract("gone", "x")], "b")
     both = a.unionByName(b)
     got = {r.contract_id: (r.errors, r.warnings, r.tables) for r in drift.drift_summary(both, cat).collect()}
     assert got == {"a": (0, 0, 1), "b": (1, 1, 2)}
@@ -126,7 +126,7 @@ def test_many_contracts_in_one_job(spark):
 SAMPLE = {
     "orders": [("id", "integer", "int4"), ("customer_id", "integer", "int4"), ("status", "USER-DEFINED", "order_status_enum"),
                ("total", "numeric", "numeric", True), ("tags", "ARRAY", "_text", True), ("meta", "jsonb", "jsonb", True),
-               ("created_at", "timestamp with time zone", "timestamptz")],
+               ("joined_on", "timestamp with time zone", "timestamptz")],
     "line_items": [("tenant_id", "integer", "int4"), ("id", "integer", "int4"), ("sku", "character varying", "varchar", False, 64)],
     "contacts": [("email", "text", "text"), ("name", "text", "text", True)],
     "events_log": [("payload", "jsonb", "jsonb", True), ("logged_at", "timestamp with time zone", "timestamptz")],
@@ -181,7 +181,7 @@ def test_starter_artefacts(spark):
     assert orders["properties"]["op"] == {"type": "string", "enum": ["c", "u", "d", "r"]}
     after = orders["properties"]["after"]
     assert after == orders["properties"]["before"] and after["type"] == ["object", "null"]
-    assert after["required"] == ["id", "customer_id", "status", "created_at"]
+    assert after["required"] == ["id", "customer_id", "status", "joined_on"]
     assert after["properties"] == {
         "id": {"type": "integer"},
         "customer_id": {"type": "integer"},
@@ -189,7 +189,7 @@ def test_starter_artefacts(spark):
         "total": {"type": ["string", "null"]},
         "tags": {"type": ["array", "null"], "items": {"type": "string"}},
         "meta": {},
-        "created_at": {"type": "string", "format": "date-time"},
+        "joined_on": {"type": "string", "format": "date-time"},
     }
     assert "required" not in docs["schemas/com.acme/only_identity_change/jsonschema/1-0-0"]["properties"]["after"]
 

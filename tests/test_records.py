@@ -122,7 +122,7 @@ def test_lineage(spark):
     print_ = hashlib.sha256(text.encode()).hexdigest()
     a, b, c = (r.cdc_source for r in got)
     assert a.asDict() == {
-        "connector": "postgres", "db": "orders_db", "schema": "public", "table": "orders", "lsn": None, "txid": None,
+        "connector": "postgres", "db": "sales_db", "schema": "public", "table": "orders", "lsn": None, "txid": None,
         "is_snapshot": True, "ts_ms": 1714400000000, "column_fingerprint": print_,
     }
     assert (b.schema, b.db, b.lsn, b.txid, b.is_snapshot, b.ts_ms) == (None, "", None, None, False, 0)
