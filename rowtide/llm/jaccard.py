@@ -381,11 +381,28 @@ def _apart(regions: DataFrame, percent: int, n: int, parts: int) -> DataFrame:
             differ[1:-1] = keys[order][1:] != keys[order][:-1]
             own = order[differ[1:] & differ[:-1]]
             ids, count = np.unique(docs[own[many[own] == 0]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(count)], ["doc", "own"])
+            part = ids.view(np.uint64) % np.uint64(parts)
+            order = np.argsort(part, kind="stable")
+            cuts = [at for at in np.split(order, np.nonzero(np.diff(part[order]))[0] + 1) if len(at)]
+            packed = [pa.array([c[at].tobytes() for at in cuts], pa.binary()) for c in (ids, count.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array([int(part[at[0]]) for at in cuts], pa.int32()), *packed], ["part", "docs", "own"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: list[list[np.ndarray]] = [[], []]
+        for batch in batches:
+            for row in zip(batch.column(1), batch.column(2), strict=True):
+                for to, value in zip(got, row, strict=True):
+                    to.append(np.frombuffer(value.as_py(), np.int64))
+        if got[0]:
+            docs, own = map(np.concatenate, got)
+            ids, at = np.unique(docs, return_inverse=True)
+            total = np.zeros(len(ids), np.int64)
+            np.add.at(total, at, own)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["doc", "own"])
 
     placed = regions.select("region", "doc", "packed").mapInArrow(cut, "part int, keys binary, docs binary, many binary")
-    own = placed.repartitionById(parts, F.col("part")).mapInArrow(single, "doc long, own long")
-    own = own.groupBy("doc").agg(F.sum("own").alias("own"))
+    found = placed.repartitionById(parts, F.col("part")).mapInArrow(single, "part int, docs binary, own binary")
+    own = found.repartitionById(parts, F.col("part")).mapInArrow(summed, "doc long, own long")
     gone = own.join(regions.select("doc", "n_shingles"), "doc").where(f"100 * own > {100 - percent} * n_shingles").select("doc")
     return regions.join(gone, "doc", "left_anti")
 
