@@ -10,7 +10,8 @@ A null or empty text has no sentences. Rows are treated by themselves; columns b
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,9 +118,6 @@ RULES = (
     ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd-name",)),
     ("Unlicense", ("unlicense",)),
 )
-#: Every known sentence has one of these words; texts without any are not cut up.
-HINT = r"(?i)licen[cs]|copyright|copies|warrant|permi[ts]|redistribution|public domain|neither the name|all rights|under (?:the )?(?:terms of )?(?:the )?(?:cc|creative)"
-
 #: Replacements that normalise a lower-cased sentence, in this order. The patterns mean the same in Java's and RE2's syntax.
 STEPS = (
     (r"creative commons attribution", "cc by"),
@@ -143,9 +141,30 @@ STEPS = (
     (r"^under apache license 2\.0$", "under apache license version 2.0"),
     (r"^under (cc by[a-z\-]*) ([0-9.]+)( international)?( license)?$", "under {1} {2}"),
 )
+#: What STEPS can put into a sentence that had nothing of the kind. All else in a normal form stands in the lower-cased text
+#: as it is: the steps, and the cutting into sentences and lines, join no letters or digits that something parted.
+MADE = ("cc", "by", "-nc", "-sa", "-nd", "license", "gnu", "general", "public", "version")
 BORDER, LINE = "\x02", "\x01"
 
 
+def hint_of(known: Iterable[str]) -> str:
+    """A pattern found in every lower-cased text with a sentence that ``normalised`` turns into one of ``known``: the longest
+    word of each that the steps cannot make, or the word license in the forms that they make it of."""
+
+    def needed(sentence: str) -> str:
+        words = {w: re.escape(w) for w in sentence.split() if not any(m in w for m in MADE)}
+        if "license" in sentence.split():
+            words["license"] = "licen[cs]e|gpl"
+        rare = [w for w in words if w != "under"] or list(words)
+        return words[max(rare, key=len)] if rare else ""  # an empty pattern is in every text
+
+    return "|".join(sorted({needed(s) for s in known}))
+
+
+#: Texts without it are not cut up, and sentences without it not normalised.
+HINT = hint_of(SENTENCES.values())
+
+
 def _java(replacement: str) -> str:
     return replacement.replace("{", "$").replace("}", "")
 
@@ -169,10 +188,12 @@ def scan(
     docs: DataFrame,
     known: Mapping[str, str] = SENTENCES,
     rules: Sequence[tuple[str, Sequence[str]]] = RULES,
-    hint: str = HINT,
+    hint: str | None = None,
 ) -> DataFrame:
     """(doc_id, n_sentences, sentence_ids, licenses) of each row: known sentences in their order, and licences in theirs,
-    both joined by commas."""
+    both joined by commas. ``hint`` is a pattern that lower-cased texts with known sentences have; by default it is told
+    from ``known``."""
+    hint = hint_of(known.values()) if hint is None else hint
     ids = F.create_map(*(F.lit(x) for name, sentence in known.items() for x in (sentence, name)))
     name_of = lambda s: F.try_element_at(ids, normalised(s))
 
@@ -181,7 +202,7 @@ def scan(
         lines = F.when(sentence.contains(LINE), F.transform(F.split(sentence, LINE), name_of))
         return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.coalesce(lines, F.array()))
 
-    hinted = F.when(F.col("text").rlike(hint), F.col("text"))
+    hinted = F.when(F.lower("text").rlike(hint), F.lower("text"))
     found = F.coalesce(F.flatten(F.transform(F.filter(sentences(hinted), lambda s: s.rlike(hint)), names)), F.array())
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     docs = docs.select("doc_id", F.filter(found, lambda name: name.isNotNull()).alias("names"))

@@ -85,6 +85,31 @@ def test_every_sentence_is_normal_hinted_and_in_a_rule(spark):
     assert all(a not in b for i, a in enumerate(runs) for b in runs[i + 1 :])
 
 
+# Forms before normalisation, among them such as a filter for words of the normal form would miss.
+FORMS = [
+    ("Released under the GPL v3.", "GPL-3.0-only"), ("Distributed under the terms of the GNU GPL version 2", "GPL-2.0-only"),
+    ("Released under a CC BY 4.0.", "CC-BY-4.0"), ("Made available under\nCC BY 4.0.", "CC-BY-4.0"),
+    ("Published under a Creative Commons Attribution 4.0 International.", "CC-BY-4.0"), ("# under\n# the GPL 2.0", "GPL-2.0-only"),
+    ("Provided under the\n * CC0 1.0.", "CC0-1.0"), ("Available under an MIT\n  licence.", "MIT"), ("Under a GPLv3", ""),
+    ("This is free and unencumbered software released into the public\ndomain.", "Unlicense"), ("\u212a. Under the GPL 3", "GPL-3.0-only"),
+]
+
+
+def test_the_hint_takes_forms_before_normalisation(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(FORMS)], "doc_id long, text string")
+    for got, by in ((licenses.scan(df), "hint"), (licenses.scan(df, hint=""), "no hint")):
+        assert {r.doc_id: r.licenses for r in got.collect()} == {i: name for i, (_, name) in enumerate(FORMS)}, by
+    both = spark.createDataFrame([(1, "All\nrights\n reserved.")], "doc_id long, text string")
+    assert licenses.scan(both).first().sentence_ids == "rights-reserved"
+    own = licenses.scan(df, known={"x": "under cc by 4.0", "y": "under v"}, rules=())
+    assert own.where("n_sentences = 1").count() == 3
+
+
+def test_the_hint_loses_no_sentence(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert sorted(map(tuple, licenses.scan(docs).collect())) == sorted(map(tuple, licenses.scan(docs, hint="").collect()))
+
+
 def test_plan_is_native_and_has_no_shuffle(spark, sf):
     plan = licenses.op9_licenses(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
