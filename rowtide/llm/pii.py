@@ -47,6 +47,8 @@ IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Where a shorter number can end: with a group, and before what is no letter or digit.
+IBAN_END = re.compile(r"(?<=[A-Z0-9])(?![A-Za-z0-9])")
 SSN = re.compile(r"[0-9](?<![0-9-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?0?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9.-])")
 WORDS = re.compile(r"\w+")
@@ -68,6 +70,21 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Of each candidate the longest part from its start, ending with a group, that holds mod 97; a shorter part has 15
+    characters at least. The search goes on behind it or, where none holds, at the next word."""
+    at = 0
+    while m := IBAN.search(text, at):
+        ends = {e.start() for e in IBAN_END.finditer(text, m.start() + 15, m.end() + 1)} | {m.end()}
+        at = m.start() + 1
+        for end in sorted((e for e in ends if e <= m.end()), reverse=True):
+            number = text[m.start() : end].replace(" ", "")
+            if (len(number) >= 15 or end == m.end()) and mod97(number):
+                yield m.start(), end
+                at = end
+                break
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """From each at sign: the run of local characters before it, as far as no match took them, and the domain."""
     done, at = 0, text.find("@")
@@ -113,9 +130,7 @@ def score(text: str, kind: str, start: int, end: int, checked: bool = False) ->
 def added_spans(text: str, base: list[Span]) -> list[tuple[Span, float]]:
     """Spans of further kinds that reach the threshold and touch no base span."""
     found = []
-    for m in IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            found.append((("iban", *m.span()), score(text, "iban", *m.span(), checked=True)))
+    found += [(("iban", *s), score(text, "iban", *s, checked=True)) for s in ibans(text)]
     for m in SSN.finditer(text):
         found.append((("ssn", *m.span()), score(text, "ssn", *m.span())))
     for m in CARD.finditer(text):

@@ -56,6 +56,19 @@ def test_checks_and_context_decide_on_further_kinds():
     assert near > far
 
 
+def test_ibans_end_before_capital_words_and_numbers():
+    numbers = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT611904300234573201", "AT61 1904 3002 3457 3201",
+               "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00", "BE68539007547034", "PL61 1090 1014 0000 0712 1981 2874"]
+    for number in numbers:
+        for after in ("", " BIC", " 2024-05-01", " SWIFT code", " ABCD EFGH IJKL", " BIC X", "."):
+            got = [s for s, _ in pii.find(f"to {number}{after}")[1] if s[0] == "iban"]
+            assert got == [("iban", 3, 3 + len(number))], (number, after)
+            assert pii.masked(f"to {number}{after}").startswith("to <IBAN>")
+    text = "AB12 3456 7890 " + " ".join(numbers)
+    got = [s for s, _ in pii.find(text)[1] if s[0] == "iban"]
+    assert [text[a:b] for _, a, b in got] == numbers
+
+
 def test_masking():
     assert pii.masked("to a@b.cd, card 4111 1111 1111 1111!") == "to <EMAIL>, card <CARD>!"
     assert pii.masked("none") == "none"
