@@ -94,16 +94,12 @@ def _lines(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
             yield Layer("".join(chars), lo, hi)
 
 
-def _percent(m: re.Match) -> list[tuple[str, int, int]] | None:
+def _percent(m: re.Match) -> list[tuple[str, int, int]]:
     if m[1]:
         return [("%", *m.span())]
-    try:
-        text = bytes.fromhex(m.group().replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
     out, at = [], m.start()
-    for c in text:
-        width = 3 * len(c.encode())
+    for c in _text(bytes.fromhex(m.group().replace("%", ""))):
+        width = 3 * _width(c)
         out.append((c, at, at + width))
         at += width
     return out
@@ -116,12 +112,21 @@ def _escape(m: re.Match) -> list[tuple[str, int, int]] | None:
     return [(chr(code), *m.span())]
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+def _text(data: bytes) -> str:
+    """As UTF-8; each byte that is none becomes one lone surrogate."""
+    return data.decode("utf-8", "surrogateescape")
+
+
+def _width(c: str) -> int:
+    return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
+
+
+def _worth(text: str) -> bool:
+    """Whether a decoded text counts as a layer: it has something that is scanned for or could be unwrapped, or most of it
+    can be read. Nothing is found in or below any other text."""
+    if scan(text) or PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text):
+        return True
+    return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
 
 
 def _inflated(data: bytes) -> bytes | None:
@@ -147,8 +152,8 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         while (unpacked := _inflated(data)) is not None and hash(unpacked) not in packed:
             data = unpacked
             packed.add(hash(data))
-        text = _readable(data)
-        if not text:
+        text = _text(data)
+        if not _worth(text):
             continue
         if packed:  # bytes of compressed data stand for no part of the text: the whole run is the source
             lo, hi = layer.span(start, start + len(run))
@@ -156,7 +161,7 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             continue
         lo, hi, at = [], [], 0
         for c in text:
-            end = at + len(c.encode())
+            end = at + _width(c)
             lo.append(layer.lo[start + at * 4 // 3])
             hi.append(layer.hi[start + min(len(run), (end * 4 + 2) // 3) - 1])
             at = end
@@ -180,7 +185,7 @@ def find(text: str | None) -> tuple[list[Span], list[Span], int]:
     work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
     while work:
         for layer in unwrapped(work.popleft()):
-            key = hashlib.sha256(layer.text.encode()).digest() + bytes(f"{layer.lo[0]}:{layer.hi[-1]}", "ascii")
+            key = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest() + bytes(f"{layer.lo[0]}:{layer.hi[-1]}", "ascii")
             if key in seen:
                 continue
             seen.add(key)

@@ -52,6 +52,21 @@ def test_nested_layers_map_back():
     assert secrets.find(text)[1] == [("assign", 2, len(text))]
 
 
+def test_layers_with_odd_characters_are_scanned():
+    secret = b"token=abcdef123"
+    for odd in ("\0", "\f", "\ufeff", "\xa0", "\xad", "👩\u200d💻", b"\xff", b"\xe9t\xe9", bytes(range(128, 256)) * 9):
+        odd = odd if isinstance(odd, bytes) else odd.encode()
+        for data in (odd + b" " + secret, secret + b" " + odd, odd + b" " + urllib.parse.quote(secret, safe="").encode()):
+            coded = [base64.b64encode(data).decode(), base64.b64encode(gzip.compress(data)).decode(),
+                     "".join(f"%{b:02x}" for b in data)]
+            for c in coded:
+                every = secrets.find(f"é {c} after")[1]
+                assert every and all(k == "assign" and 2 <= a < b <= 2 + len(c) for k, a, b in every), (odd, c)
+    every = secrets.find("x %ff%74oken%3dabcdef %ff")[1]
+    assert every == [("assign", 5, 21)]
+    assert secrets.find("internationalization and counterrevolutionary words")[2] == 0
+
+
 def test_cycles_and_deep_nesting_end():
     assert secrets.find("%25" * 3)[1] == []
     assert secrets.find("a%" + "25" * 100_000 + "41")[2] <= 3
