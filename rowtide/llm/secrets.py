@@ -11,13 +11,12 @@ and ids stay, columns besides ``doc_id`` and ``text`` are left out.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import hashlib
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,7 +36,23 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # would be a layer of its own.
 PERCENT = re.compile(r"(%(?:25)+)(?=[0-9A-Fa-f]{2})|(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\(?:u005[cC])+(?=[uUx])|\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# A run goes on over line breaks; with them, the first part may be short. Runs of fewer than 16 characters are dropped.
+BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=[\x20\t]*\r?\n))(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)*+"
+)
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+LEAST_RUN = 16
+STANDARD = str.maketrans("-_", "+/")
+#: Two bytes that zlib data may begin with, and three that gzip data do.
+PACKED = re.compile(
+    b"|".join(
+        [rb"\x1f(?=\x8b\x08)"]
+        + [
+            re.escape(bytes([a])) + b"(?=[" + b"".join(b"\\x%02x" % b for b in range(256) if (a * 256 + b) % 31 == 0) + b"])"
+            for a in range(8, 128, 16)
+        ]
+    )
+)
 #: A compressed layer that unpacks to more characters is not opened, so that a crafted text can't fill the memory.
 LARGEST_LAYER = 64_000_000
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, layers long"
@@ -124,50 +139,80 @@ def _width(c: str) -> int:
 def _worth(text: str) -> bool:
     """Whether a decoded text counts as a layer: it has something that is scanned for or could be unwrapped, or most of it
     can be read. Nothing is found in or below any other text."""
-    if scan(text) or PERCENT.search(text) or ESCAPE.search(text) or BASE64.search(text):
+    if scan(text) or PERCENT.search(text) or ESCAPE.search(text) or next(_runs(text), None):
         return True
     return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
 
 
-def _inflated(data: bytes) -> bytes | None:
-    if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0):
-        return None
+def _inflated(data: bytes) -> tuple[bytes, int] | None:
+    """What the data unpack to, and how much of them that took."""
     unpack = zlib.decompressobj(47)
     try:
         out = unpack.decompress(data, LARGEST_LAYER)
     except zlib.error:
         return None
-    return out if unpack.eof else None
+    return (out, len(data) - len(unpack.unused_data)) if unpack.eof else None
 
 
-def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer.text):
-        run = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4))
-        except binascii.Error:
+def _unpacked(data: bytes) -> Iterator[str]:
+    """Texts of the compressed data that begin anywhere in ``data``, and of those in them."""
+    done = 0
+    for m in PACKED.finditer(data):
+        if m.start() < done or (got := _inflated(data[m.start() :])) is None:
             continue
-        start, packed = m.start(), set()
-        while (unpacked := _inflated(data)) is not None and hash(unpacked) not in packed:
-            data = unpacked
-            packed.add(hash(data))
+        done = m.start() + got[1]
+        seen = set()
+        while got is not None and hash(got[0]) not in seen:
+            if _worth(text := _text(got[0])):
+                yield text
+            seen.add(hash(got[0]))
+            got = _inflated(got[0]) if PACKED.match(got[0]) else None
+
+
+def _runs(text: str) -> Iterator[list[range]]:
+    """Of each run of base64 characters, its parts on each line."""
+    for m in BASE64.finditer(text):
+        parts = [range(*p.span()) for p in RUN.finditer(text, *m.span())]
+        if sum(map(len, parts)) >= LEAST_RUN:
+            yield parts
+
+
+def _decoded(layer: Layer, places: Sequence[int], phases: Sequence[int]) -> Iterator[Layer]:
+    """The base64 characters at these places, from the first, second, ... of them on."""
+    whole = "".join(layer.text[i] for i in places) if isinstance(places, list) else layer.text[places.start : places.stop]
+    whole = whole.translate(STANDARD)
+    for phase in phases:
+        run = whole[phase : len(whole) - ((len(whole) - phase) % 4 == 1)]
+        data = binascii.a2b_base64(run + "=" * (-len(run) % 4))
+        # bytes of compressed data stand for no part of the text: the whole run is the source
+        first, last = layer.lo[places[0]], layer.hi[places[-1]]
+        for text in _unpacked(data):
+            yield Layer(text, [first] * len(text), [last] * len(text))
         text = _text(data)
         if not _worth(text):
             continue
-        if packed:  # bytes of compressed data stand for no part of the text: the whole run is the source
-            lo, hi = layer.span(start, start + len(run))
-            yield Layer(text, [lo] * len(text), [hi] * len(text))
-            continue
         lo, hi, at = [], [], 0
         for c in text:
             end = at + _width(c)
-            lo.append(layer.lo[start + at * 4 // 3])
-            hi.append(layer.hi[start + min(len(run), (end * 4 + 2) // 3) - 1])
+            lo.append(layer.lo[places[phase + at * 4 // 3]])
+            hi.append(layer.hi[places[phase + min(len(run), (end * 4 + 2) // 3) - 1]])
             at = end
         yield Layer(text, lo, hi)
 
 
+def _base64(layer: Layer) -> Iterator[Layer]:
+    """Data may begin at any character of a run, behind a path or a name; groups of four then begin at one of four places.
+    Lines are decoded together and, as each could be a value of its own, one by one."""
+    for parts in _runs(layer.text):
+        if len(parts) == 1:
+            yield from _decoded(layer, parts[0], range(4))
+            continue
+        for part in parts:
+            if len(part) >= LEAST_RUN:
+                yield from _decoded(layer, part, range(1))
+        yield from _decoded(layer, [i for part in parts for i in part], range(4))
+
+
 def unwrapped(layer: Layer) -> Iterator[Layer]:
     if "%" in layer.text:
         yield from _lines(layer, PERCENT, _percent)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import urllib.parse
+import zlib
 
 from rowtide.llm import secrets
 
@@ -67,6 +68,38 @@ def test_layers_with_odd_characters_are_scanned():
     assert secrets.find("internationalization and counterrevolutionary words")[2] == 0
 
 
+def found_in(text, part):
+    """Whether a secret is found, all of them within a part of the text."""
+    at, every = text.index(part), secrets.find(text)[1]
+    return bool(every) and all(k == "assign" and at <= a < b <= at + len(part) for k, a, b in every)
+
+
+def test_wrapped_base64():
+    rng = random.Random(2)
+    noise = lambda n: "".join(rng.choice("abcdefgh ,.éß😀") for _ in range(n))
+    for width in (20, 64, 76):
+        for size in (0, 30, 52, 200, 900):
+            data = f"{noise(size)} token=abcdef123, {noise(size)}".encode()
+            for packed in (data, gzip.compress(data), zlib.compress(data)):
+                coded = base64.b64encode(packed).decode()
+                for sep in ("\n", "\r\n", "\n  "):
+                    lines = sep.join(coded[i : i + width] for i in range(0, len(coded), width))
+                    assert found_in(f"é here:\n{lines}\n. after", lines), (width, size, sep)
+                    assert found_in(f"é key = {coded[:10]}{sep}{lines[10:]} after", coded[:10] + sep + lines[10:])
+    wrapped = base64.b64encode(b"a token=abcdef1234567").decode()
+    assert ("assign", 2, 29) in secrets.find(f"{wrapped[:14]}\n{wrapped[14:]}")[1]  # the break is a place of its own
+    one, two = (base64.b64encode(b"token=abcdef" + x).decode().rstrip("=") for x in (b"1", b"23"))
+    assert {("assign", 0, len(one)), ("assign", len(one) + 1, len(one) + 1 + len(two))} <= set(secrets.find(f"{one}\n{two}")[1])
+
+
+def test_base64_behind_characters_of_its_class():
+    data = b"words, token=abcdef123, words"
+    for packed in (data, gzip.compress(data), zlib.compress(data), zlib.compress(data, wbits=9)):
+        coded = base64.b64encode(packed).decode()
+        for before in ("/data/", "v1_", "blob-", "x", "ab", "abc", "/a/b-c_d/" * 9):
+            assert found_in(f"é {before}{coded} after", before + coded), (packed, before)
+
+
 def test_cycles_and_deep_nesting_end():
     assert secrets.find("%25" * 3)[1] == []
     assert secrets.find("a%" + "25" * 100_000 + "41")[2] <= 3
