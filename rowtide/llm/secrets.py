@@ -12,11 +12,12 @@ and ids stay, columns besides ``doc_id`` and ``text`` are left out.
 from __future__ import annotations
 
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,8 +54,11 @@ PACKED = re.compile(
         ]
     )
 )
-#: A compressed layer that unpacks to more characters is not opened, so that a crafted text can't fill the memory.
-LARGEST_LAYER = 64_000_000
+# No token, escape or base64 run has such a character: what stands before and behind it can be scanned apart.
+CUT = re.compile(r"""[\s\S]*[^A-Za-z0-9+/_.=%\\{}&#;:"'\s-]""")
+#: Compressed data are read in pieces of so many bytes, and their text is scanned in pieces of so many characters, or
+#: more up to the next place where it can be cut; no layer is too large.
+FEED, PIECE = 1 << 16, 1 << 20
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, layers long"
 
 Span = tuple[str, int, int]
@@ -66,11 +70,26 @@ def scan(text: str) -> list[Span]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+class Same:
+    """One position for all characters of a text."""
+
+    def __init__(self, at: int):
+        self.at = at
+
+    def __getitem__(self, index: int | slice) -> int | tuple[()]:
+        return () if isinstance(index, slice) else self.at
+
+
 class Layer:
-    """A text, and for each of its characters the span of the original text it comes from."""
+    """A text, and for each of its characters the span of the original text it comes from. A layer that goes on with
+    another one's text does not count."""
+
+    def __init__(self, text: str, lo: list[int] | range | Same, hi: list[int] | range | Same, counts: bool = True):
+        self.text, self.lo, self.hi, self.counts = text, lo, hi, counts
 
-    def __init__(self, text: str, lo: list[int] | range, hi: list[int] | range):
-        self.text, self.lo, self.hi = text, lo, hi
+    @property
+    def same(self) -> bool:
+        return isinstance(self.lo, Same)
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         return self.lo[start], self.hi[end - 1]
@@ -106,7 +125,7 @@ def _lines(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
             chars.append(layer.text[at:done])
             lo += layer.lo[at:done]
             hi += layer.hi[at:done]
-            yield Layer("".join(chars), lo, hi)
+            yield Layer("".join(chars), *((layer.lo, layer.hi) if layer.same else (lo, hi)))
 
 
 def _percent(m: re.Match) -> list[tuple[str, int, int]]:
@@ -136,37 +155,90 @@ def _width(c: str) -> int:
     return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
 
 
-def _worth(text: str) -> bool:
-    """Whether a decoded text counts as a layer: it has something that is scanned for or could be unwrapped, or most of it
-    can be read. Nothing is found in or below any other text."""
-    if scan(text) or PERCENT.search(text) or ESCAPE.search(text) or next(_runs(text), None):
-        return True
-    return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
+def _rich(text: str) -> bool:
+    """Whether a text has something that is scanned for or could be unwrapped; nothing is found in or below any other."""
+    return bool(scan(text) or PERCENT.search(text) or ESCAPE.search(text) or next(_runs(text), None))
 
 
-def _inflated(data: bytes) -> tuple[bytes, int] | None:
-    """What the data unpack to, and how much of them that took."""
-    unpack = zlib.decompressobj(47)
-    try:
-        out = unpack.decompress(data, LARGEST_LAYER)
-    except zlib.error:
-        return None
-    return (out, len(data) - len(unpack.unused_data)) if unpack.eof else None
+def _readable(text: str) -> bool:
+    return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
 
 
-def _unpacked(data: bytes) -> Iterator[str]:
-    """Texts of the compressed data that begin anywhere in ``data``, and of those in them."""
+def _inflated(chunks: Iterable[bytes], ends: list[int]) -> Iterator[bytes]:
+    """What gzip or zlib data unpack to, member after member; ``ends`` gets where each whole member ended."""
+    unpack, data, fed = None, b"", 0
+    for chunk in chunks:
+        data, fed = data + chunk, fed + len(chunk)
+        while data:
+            if unpack is None:
+                data = data.lstrip(b"\0") if ends else data  # gzip files may be padded
+                if len(data) < 3:
+                    break
+                if not PACKED.match(data):
+                    return
+                unpack = zlib.decompressobj(47)
+            more = True
+            while more:
+                try:
+                    out = unpack.decompress(data, PIECE)
+                except zlib.error:
+                    return
+                if out:
+                    yield out
+                data = unpack.unconsumed_tail
+                more = not unpack.eof and (bool(data) or len(out) == PIECE)
+            if unpack.eof:
+                data, unpack = unpack.unused_data, None
+                ends.append(fed - len(data))
+
+
+def _pieces(chunks: Iterable[bytes]) -> Iterator[str]:
+    """The text of the bytes, cut where no token is cut."""
+    decode = codecs.getincrementaldecoder("utf-8")("surrogateescape").decode
+    held, size = [], 0
+    for chunk in chunks:
+        text = decode(chunk)
+        held.append(text)
+        size += len(text)
+        if size >= PIECE and (m := CUT.match(text)):
+            yield "".join([*held[:-1], text[: m.end()]])
+            held = [text[m.end() :]]
+            size = len(held[0])
+    if text := "".join([*held, decode(b"", True)]):
+        yield text
+
+
+def _unpacked(data: bytes) -> Iterator[tuple[str, bool]]:
+    """Texts of the compressed data that begin anywhere in ``data``, and of those in them; whether one counts as a layer."""
     done = 0
     for m in PACKED.finditer(data):
-        if m.start() < done or (got := _inflated(data[m.start() :])) is None:
-            continue
-        done = m.start() + got[1]
-        seen = set()
-        while got is not None and hash(got[0]) not in seen:
-            if _worth(text := _text(got[0])):
-                yield text
-            seen.add(hash(got[0]))
-            got = _inflated(got[0]) if PACKED.match(got[0]) else None
+        depth, seen = 1, set()
+        while m.start() >= done:
+            ends, head, digest = [[] for _ in range(depth)], b"", hashlib.sha256()
+            chunks = (data[i : i + FEED] for i in range(m.start(), len(data), FEED))
+            for e in ends:
+                chunks = _inflated(chunks, e)
+
+            def noted(chunks: Iterator[bytes] = chunks) -> Iterator[bytes]:
+                nonlocal head
+                for chunk in chunks:
+                    head = head if len(head) > 2 else head + chunk[:3]
+                    digest.update(chunk)
+                    yield chunk
+
+            first, told = None, False
+            for text in _pieces(noted()):
+                first = text if first is None else first
+                if _rich(text):
+                    yield text, not told
+                    told = True
+            if first and not told and ends[-1] and _readable(first):
+                yield first, True
+            if digest.digest() in seen or not PACKED.match(head):
+                done = ends[0][-1] + m.start() if ends[0] else done
+                break
+            seen.add(digest.digest())
+            depth += 1
 
 
 def _runs(text: str) -> Iterator[list[range]]:
@@ -177,19 +249,22 @@ def _runs(text: str) -> Iterator[list[range]]:
             yield parts
 
 
-def _decoded(layer: Layer, places: Sequence[int], phases: Sequence[int]) -> Iterator[Layer]:
-    """The base64 characters at these places, from the first, second, ... of them on."""
-    whole = "".join(layer.text[i] for i in places) if isinstance(places, list) else layer.text[places.start : places.stop]
-    whole = whole.translate(STANDARD)
+def _decoded(layer: Layer, parts: list[range], phases: Sequence[int]) -> Iterator[Layer]:
+    """The base64 characters of these parts, from the first, second, ... of them on."""
+    whole = "".join(layer.text[p.start : p.stop] for p in parts).translate(STANDARD)
+    places = parts[0] if len(parts) == 1 or layer.same else [i for p in parts for i in p]
+    # bytes of compressed data stand for no part of the text: the whole run is the source
+    first, last = Same(layer.lo[parts[0][0]]), Same(layer.hi[parts[-1][-1]])
     for phase in phases:
         run = whole[phase : len(whole) - ((len(whole) - phase) % 4 == 1)]
         data = binascii.a2b_base64(run + "=" * (-len(run) % 4))
-        # bytes of compressed data stand for no part of the text: the whole run is the source
-        first, last = layer.lo[places[0]], layer.hi[places[-1]]
-        for text in _unpacked(data):
-            yield Layer(text, [first] * len(text), [last] * len(text))
+        for text, counts in _unpacked(data):
+            yield Layer(text, first, last, counts)
         text = _text(data)
-        if not _worth(text):
+        if not _rich(text) and not _readable(text):
+            continue
+        if layer.same:
+            yield Layer(text, first, last)
             continue
         lo, hi, at = [], [], 0
         for c in text:
@@ -204,13 +279,11 @@ def _base64(layer: Layer) -> Iterator[Layer]:
     """Data may begin at any character of a run, behind a path or a name; groups of four then begin at one of four places.
     Lines are decoded together and, as each could be a value of its own, one by one."""
     for parts in _runs(layer.text):
-        if len(parts) == 1:
-            yield from _decoded(layer, parts[0], range(4))
-            continue
-        for part in parts:
-            if len(part) >= LEAST_RUN:
-                yield from _decoded(layer, part, range(1))
-        yield from _decoded(layer, [i for part in parts for i in part], range(4))
+        if len(parts) > 1:
+            for part in parts:
+                if len(part) >= LEAST_RUN:
+                    yield from _decoded(layer, [part], range(1))
+        yield from _decoded(layer, parts, range(4))
 
 
 def unwrapped(layer: Layer) -> Iterator[Layer]:
@@ -234,7 +307,7 @@ def find(text: str | None) -> tuple[list[Span], list[Span], int]:
             if key in seen:
                 continue
             seen.add(key)
-            layers += 1
+            layers += layer.counts
             every.update((k, *layer.span(a, b)) for k, a, b in scan(layer.text))
             work.append(layer)
     return sorted(base, key=order), sorted(every, key=order), layers

@@ -100,6 +100,38 @@ def test_base64_behind_characters_of_its_class():
             assert found_in(f"é {before}{coded} after", before + coded), (packed, before)
 
 
+def test_compressed_layers_of_any_size_and_number_of_members():
+    secret = b"token=abcdef123"
+    rng = random.Random(4)
+    words = "".join(rng.choice("abc \n=,éß😀") for _ in range(40_000)).encode() + b"," * 1_100_000
+    coded_secret = base64.b64encode(gzip.compress(secret) * 2)
+    coded = base64.b64encode(gzip.compress(b"\0" * 64_000_100 + secret)).decode()
+    assert secrets.find(coded)[1] == [("assign", 0, len(coded.rstrip("=")))]
+    for data in (words + secret + words, b"a" * 3_000_000 + b", " + coded_secret, b"x" * 2_000_000 + b" " + secret,
+                 urllib.parse.quote(secret, safe="").encode() + b"," * 2_000_000):
+        for packed in (gzip.compress(data), zlib.compress(data), gzip.compress(gzip.compress(data))):
+            coded = base64.b64encode(packed).decode()
+            every = secrets.find(f"é {coded} after")[1]
+            assert ("assign", 2, 2 + len(coded.rstrip("="))) in every
+    members = gzip.compress(b"some words") + gzip.compress(b"to") + b"\0\0" + gzip.compress(b"ken=abcdef") + gzip.compress(b"123")
+    for packed in (members, gzip.compress(members), gzip.compress(b"") + members):
+        base, every, n = secrets.find(base64.b64encode(packed).decode())
+        assert [k for k, _, _ in every] == ["assign"]
+
+
+def test_pieces_cut_no_token(monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE", 40)
+    rng = random.Random(6)
+    parts = ["password", "token", " ", "   ", "=", ": ", '"', "abc", "hunter22", ", ", "(", "é", "😀", "\n", "%3D", "%20", "\\u003d", "&#x3d;",
+             "AKIA" + "Z9" * 8, "deadbeef" * 3, base64.b64encode(b"token=abcdef7").decode()]
+    for _ in range(300):
+        text = "".join(rng.choice(parts) for _ in range(60))
+        pieces = list(secrets._pieces(text.encode()[i : i + 7] for i in range(0, 9999, 7)))
+        assert "".join(pieces) == text
+        whole, cut = ({s[0] for t in texts for s in secrets.find(t)[1]} for texts in ([text], pieces))
+        assert whole == cut, text
+
+
 def test_cycles_and_deep_nesting_end():
     assert secrets.find("%25" * 3)[1] == []
     assert secrets.find("a%" + "25" * 100_000 + "41")[2] <= 3
