@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, jaccard, licenses, mixing, neardup, pii, quality, secrets, sketch, substrings
+from rowtide.llm import bpe, infill, jaccard, licenses, merkle, mixing, neardup, pii, quality, secrets, sketch, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -19,6 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": bpe.op8_bpe,
     "op9_licenses": licenses.op9_licenses,
     "op10_mixing": mixing.op10_mixing,
+    "op11_infill": infill.op11_infill,
+    "op13_merkle": merkle.op13_merkle,
 }
 ORACLE: dict[str, str] = {
     "op1_jaccard": jaccard.OP1_SQL,
@@ -26,4 +28,6 @@ ORACLE: dict[str, str] = {
     "op5_substrings": substrings.OP5_SQL,
     "op9_licenses": licenses.OP9_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_infill": infill.OP11_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
