@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowtide.llm import bpe, infill, jaccard, licenses, merkle, mixing, neardup, pii, quality, secrets, sketch, substrings
+from rowtide.llm import bpe, infill, jaccard, licenses, merkle, mixing, neardup, pii, quality, routed, secrets, sketch, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": licenses.op9_licenses,
     "op10_mixing": mixing.op10_mixing,
     "op11_infill": infill.op11_infill,
+    "op12_routed": routed.op12_routed,
     "op13_merkle": merkle.op13_merkle,
 }
 ORACLE: dict[str, str] = {
