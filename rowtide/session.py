@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,10 +46,13 @@ def local_session(cores: int | str = 8, app: str = "rowtide", memory: str | None
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the shared checkpoint folder; it goes when the driver ends.
 
-    Only where the session names no such folder, as in tests, a temporary one is made and set.
+    Only where the session names no such folder and all tasks run in this process, as in tests, a temporary one is
+    made and set. On a cluster a folder of this machine would not be shared, so there it is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="rowtide-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     folder = f"{base.rstrip('/')}/rowtide-{uuid.uuid4().hex}"
