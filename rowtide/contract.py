@@ -137,6 +137,19 @@ def contract_df(spark: SparkSession, contracts: Sequence[TableContract], contrac
     return spark.createDataFrame(rows, CONTRACT_SCHEMA)
 
 
+def contract_versions(
+    spark: SparkSession, versions: Iterable[tuple[int, Sequence[TableContract]]], contract_id: str = "default"
+) -> DataFrame:
+    """Contracts with the commit position each is in force from, as rows with ``valid_from``.
+
+    ``records`` takes them in place of plain contracts; a table need not be in every version.
+    """
+    out = spark.createDataFrame([], CONTRACT_SCHEMA + ", valid_from bigint")
+    for start, contracts in versions:
+        out = out.unionByName(contract_df(spark, contracts, contract_id).withColumn("valid_from", F.lit(start).cast("bigint")))
+    return out
+
+
 def groups_of(pattern: str) -> tuple[int, set[str]]:
     """The number of capturing groups of a Java pattern, and the names of those that have one.
 

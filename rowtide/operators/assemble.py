@@ -61,7 +61,8 @@ def records(
     records pass, under a metric named ``flow-...``. ``with_names`` adds what the id is made of:
     ``canonical_name``, and the key as ``pk``. A feed landed by ``rowtide.sources.landing`` is taken
     as it is, without parsing. ``contracts`` are objects, or rows as of ``contract_df``, which may be a
-    fleet's and do not pass through the driver.
+    fleet's and do not pass through the driver; rows with ``valid_from``, as of ``contract_versions``, are in force
+    from that commit position on.
     """
     require_sound(feed.sparkSession, contracts)
     r = router(contracts, inline_columns)

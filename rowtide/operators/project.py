@@ -15,18 +15,21 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract
 from rowtide.functions.cells import apply_chain, apply_chain_rows
+from rowtide.operators.asof import as_of
 from rowtide.operators.envelope import cell
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
+TABLE = ("table_schema", "table_name")
 
 # Above this many emitted columns over all tables, contracts are joined instead of inlined. Both give the same
 # records; it is about the size of the generated code only.
 INLINE_COLUMNS = 200
 
 # Contracts of up to so many bytes of text are broadcast. Larger ones are joined by table and a salt, so that the
-# records of a busy table are spread over this many tasks.
+# records of a busy table are spread over tasks: as many as the session's shuffle has, as long as the copies of the
+# contracts stay within a bound.
 BROADCAST_BYTES = 8 << 20
-SALTS = 32
+SALTED_BYTES = 4 << 30
 
 
 def plain_number(v: Column) -> Column:
@@ -131,15 +134,16 @@ class JoinedRouter:
             pk = list(dict.fromkeys(t.primary_key))
             rows.append((t.schema, t.name, i, t.schema_uri, t.app_id, pk, sorted(pk), specs))
         header = parsed.sparkSession.createDataFrame(rows, self._HEADER)
-        return self._join(parsed, header, broadcast=len(repr(rows)) <= BROADCAST_BYTES)
+        return self._join(parsed, header, len(repr(rows)))
 
     @staticmethod
-    def _join(parsed: DataFrame, header: DataFrame, broadcast: bool) -> DataFrame:
-        keys = ["table_schema", "table_name"]
-        if broadcast:
-            return parsed.join(F.broadcast(header), keys, "left")
-        salt = F.pmod(F.xxhash64("key", "seq"), F.lit(SALTS)).cast("int")
-        copies = header.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    def _join(parsed: DataFrame, header: DataFrame, size: int, keys: Sequence[str] = TABLE) -> DataFrame:
+        if size <= BROADCAST_BYTES:
+            return parsed.join(F.broadcast(header), list(keys), "left")
+        tasks = int(parsed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = max(2, min(tasks, SALTED_BYTES // max(1, size)))
+        salt = F.pmod(F.xxhash64("key", "seq"), F.lit(salts)).cast("int")
+        copies = header.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         return parsed.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left").drop("_salt")
 
     def bad_cell(self) -> Column:
@@ -172,21 +176,41 @@ class JoinedRouter:
 class RowsRouter(JoinedRouter):
     """Contracts that are a DataFrame (``rowtide.contract.contract_df``); none of them comes to the driver.
 
-    How large they are is only known when they are read, so the join carries no hint: the planner broadcasts the
-    table-level rows if they are small, and the salt holds if they are not.
+    Their size is measured where they are, before the join is chosen.
     """
 
     def __init__(self, contract: DataFrame):
         self.contract = contract
 
     def route(self, parsed: DataFrame) -> DataFrame:
-        return self._join(parsed, header_of(self.contract), broadcast=False)
+        header = header_of(self.contract)
+        return self._join(parsed, header, text_size(header))
 
 
-def header_of(contract: DataFrame) -> DataFrame:
-    """A row per table of contracts as rows. A table told twice has its last contract; an output name produced twice
+class VersionedRouter(RowsRouter):
+    """Contracts that are a DataFrame with ``valid_from``, the commit position from which a table's contract is this one.
+
+    A record takes the version in force at its commit position; at a border that is the new one. Before a table's first
+    version it has no contract. A record without a commit position takes the last version. The version found is a key like
+    another, so a busy table with many versions is spread by them too.
+    """
+
+    def route(self, parsed: DataFrame) -> DataFrame:
+        header = header_of(self.contract, (*TABLE, "valid_from"))
+        size = text_size(header)
+        placed = as_of(parsed, self.contract, TABLE, "lsn_num", "valid_from")
+        return self._join(placed, header, size, (*TABLE, "valid_from"))
+
+
+def text_size(header: DataFrame) -> int:
+    """Bytes of these rows as JSON text."""
+    return header.agg(F.sum(F.octet_length(F.to_json(F.struct(*header.columns))))).first()[0] or 0
+
+
+def header_of(contract: DataFrame, keys: Sequence[str] = TABLE) -> DataFrame:
+    """A row per table, or per table and version, of contracts as rows. A table told twice has its last contract; an output name produced twice
     keeps its first place and its last column."""
-    keys = ["table_schema", "table_name"]
+    keys = list(keys)
     last = contract.groupBy(*keys).agg(
         F.max("table_pos").alias("table_pos"),
         F.max_by(F.struct("schema_uri", "app_id", "primary_key"), "table_pos").alias("h"),
@@ -210,7 +234,7 @@ def header_of(contract: DataFrame) -> DataFrame:
 
 def router(contracts: Sequence[TableContract] | DataFrame, inline_columns: int = INLINE_COLUMNS):
     if isinstance(contracts, DataFrame):
-        return RowsRouter(contracts)
+        return VersionedRouter(contracts) if "valid_from" in contracts.columns else RowsRouter(contracts)
     emitted = sum(len(t.emitted) for t in contracts)
     return InlineRouter(contracts) if emitted <= inline_columns else JoinedRouter(contracts)
 

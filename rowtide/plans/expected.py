@@ -403,6 +403,40 @@ EXPECTED: dict[str, str] = {
         FROM step WHERE prev <> fp"""
     ),
     "landed_rejects": _changes("SELECT seq, reason AS drop_reason, true AS has_text FROM ch WHERE reason IS NOT NULL"),
+    "route_by_contract_version": _changes(
+        """, v AS (
+          SELECT 'orders' AS tbl, 23000320 AS valid_from, 'iglu:com.example/orders_change/jsonschema/1-0-0' AS uri
+          UNION ALL SELECT 'orders', 23008000, 'iglu:com.example/orders_change/jsonschema/1-1-0'
+          UNION ALL SELECT 'customers', 0, 'iglu:com.example/customers_change/jsonschema/1-0-0'
+          UNION ALL SELECT 'customers', 90000008000, 'iglu:com.example/customers_change/jsonschema/2-0-0'
+          UNION ALL SELECT 'line_items', 200000000000 + 256 * p_partkey, 'iglu:com.example/line_items_change/jsonschema/1-0-' || p_partkey FROM part),
+        rec AS (
+          SELECT ch.seq, ch.tbl, ch.lsn, ch.reason, oe.payload, CASE WHEN ch.op IN ('c', 'r') THEN '{"op":"' || ch.op || '","after":{"id":' || k || ',"state":"' || lower(st) || '"}}'
+            WHEN ch.op = 'u' THEN '{"op":"u","before":{"id":' || k || ',"state":"n"},"after":{"id":' || k || ',"state":"' || lower(st) || '"}}'
+            ELSE '{"op":"d","before":{"id":' || k || ',"state":"n"}}' END AS newer FROM ch LEFT JOIN oe ON oe.seq = ch.seq
+          UNION ALL SELECT seq, tbl, lsn, NULL, payload, regexp_replace(payload, ',"emailAddress":"[^"]*"', '') FROM ce
+          UNION ALL SELECT seq, tbl, lsn, NULL, payload, payload FROM le),
+        routed AS (SELECT rec.*, v.uri, v.valid_from FROM rec ASOF LEFT JOIN v ON rec.tbl = v.tbl AND rec.lsn >= v.valid_from),
+        told AS (
+          SELECT seq, tbl, uri, CASE WHEN reason IN ('unparseable', 'missing_after_schema') THEN reason WHEN uri IS NULL THEN 'unconfigured_table'
+              ELSE reason END AS reason,
+            CASE WHEN tbl = 'line_items' AND valid_from // 256 % 2 = (200000000000 // 256) % 2
+                THEN regexp_replace(payload, ',"linenumber":.*\}\}$', '}}')
+              WHEN tbl = 'line_items' THEN regexp_replace(payload, '"orderkey":[0-9]+,', '')
+              WHEN uri LIKE '%/1-1-0' OR uri LIKE '%/2-0-0' THEN newer ELSE payload END AS payload FROM routed)
+        SELECT tbl AS table_name, uri AS schema_uri, reason AS drop_reason, count(*) AS n,
+          CAST(sum(CASE WHEN reason IS NULL THEN length(payload) END) AS BIGINT) AS payload_chars, min(seq) AS first_seq, max(seq) AS last_seq
+        FROM told GROUP BY ALL"""
+    ),
+    "transactions": _changes(
+        """, a AS (
+          SELECT txid, lsn, 'public.' || tbl AS tbl, op, ts, seq FROM ch WHERE txid IS NOT NULL
+          UNION ALL SELECT txid, lsn, 'public.line_items', op, ts, seq FROM le)
+        SELECT 'orders_db' AS db, txid, min(lsn) AS first_lsn, max(lsn) AS last_lsn, min(ts) AS first_ts_ms, max(ts) AS last_ts_ms,
+          string_agg(DISTINCT tbl, ',' ORDER BY tbl) AS tables, count(DISTINCT (tbl, op, lsn)) AS changes,
+          count(*) - count(DISTINCT (tbl, op, lsn)) AS replays, min(seq) AS first_seq, max(seq) AS last_seq
+        FROM a GROUP BY txid, lsn >= 200000000000"""
+    ),
     "route_by_table": _changes(
         """SELECT tbl AS table_name, uri AS schema_uri, count(*) AS n, CAST(sum(length(payload)) AS BIGINT) AS payload_chars
         FROM e0 GROUP BY tbl, uri"""

@@ -11,7 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowtide.contract import ColumnSpec, TableContract
+from rowtide.contract import ColumnSpec, TableContract, contract_versions
 from rowtide.session import configure, spread
 from rowtide.sources.feed import FEED_COLUMNS, union_feeds
 
@@ -207,3 +207,29 @@ def line_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shop_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three feeds."""
     return union_feeds(orders_feed(spark, sf_dir), customers_feed(spark, sf_dir), line_items_feed(spark, sf_dir))
+
+
+def shop_contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contracts of the shop as they were over time: two versions of orders and customers, and one of line items for each
+    part, so that they grow with the tables. Orders have none before the order with key 40."""
+    state = ColumnSpec("status", rename="state", transforms=("trim", "lowercase"))
+    later_orders = TableContract(
+        "public", "orders", "iglu:com.example/orders_change/jsonschema/1-1-0", ("id",), (ColumnSpec("id"), state)
+    )
+    later_customers = TableContract(
+        "public", "customers", "iglu:com.example/customers_change/jsonschema/2-0-0", ("id",), (ColumnSpec("id"), ColumnSpec("full_name"))
+    )
+    by_hand = [(23000000 + 8 * 40, [ORDERS]), (0, [CUSTOMERS]), (23000000 + 8 * 1000, [later_orders]), (90000000000 + 16 * 500, [later_customers])]
+    fixed = contract_versions(spark, by_hand)
+    k = F.col("p_partkey")
+    none = F.lit(None).cast("string")
+    chain = F.array().cast(fixed.schema["transforms"].dataType)
+    names = F.when(k % 2 == 0, F.array(F.lit("orderkey"))).otherwise(F.array(F.lit("linenumber"), F.lit("quantity")))
+    line_items = table(spark, sf_dir, "part").select(
+        F.lit("default").alias("contract_id"), F.lit(2).alias("table_pos"), F.lit("public").alias("table_schema"),
+        F.lit("line_items").alias("table_name"),
+        F.concat(F.lit("iglu:com.example/line_items_change/jsonschema/1-0-"), k.cast("string")).alias("schema_uri"),
+        F.array(F.lit("orderkey"), F.lit("linenumber")).alias("primary_key"), none.alias("app_id"),
+        F.posexplode(names).alias("col_pos", "column"), (k * 256 + 200000000000).alias("valid_from"),
+    ).select("*", none.alias("rename"), F.col("column").alias("output_name"), F.lit(False).alias("exclude"), chain.alias("transforms"))
+    return fixed.unionByName(line_items)

@@ -14,6 +14,7 @@ from rowtide.operators import accounting, assemble, catalog, control, drift, lin
 from rowtide.operators.envelope import cell, parse, schema_snapshots, true_timestamp, with_fingerprint
 from rowtide.operators.project import KEEP_NULLS, project
 from rowtide.operators.schema_change import latest_snapshots, schema_changes
+from rowtide.operators.transactions import transactions as find_transactions
 from rowtide.plans import feeds, fleet
 from rowtide.plans.feeds import APP_ID, CONTRACTS, CUSTOMERS, ORDERS
 from rowtide.sources.catalog import observed_columns
@@ -364,6 +365,24 @@ def route_by_table(spark, sf):
     return per.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).alias("payload_chars"))
 
 
+@query
+def route_by_contract_version(spark, sf):
+    recs = assemble.records(feeds.shop_feed(spark, sf), feeds.shop_contract_versions(spark, sf), app_id=APP_ID)
+    return recs.groupBy("table_name", "schema_uri", "drop_reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("payload")).alias("payload_chars"), F.min("seq").alias("first_seq"),
+        F.max("seq").alias("last_seq"),
+    )
+
+
+# Transactions
+
+
+@query
+def transactions(spark, sf):
+    parsed = parse(control.drop_control(feeds.shop_feed(spark, sf)))
+    return find_transactions(parsed, gap=1 << 30).withColumn("tables", F.array_join("tables", ","))
+
+
 # Identity
 
 
