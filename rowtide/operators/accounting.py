@@ -45,6 +45,75 @@ def rejects_by_reason(recs: DataFrame) -> DataFrame:
     )
 
 
+def reject_cube(recs: DataFrame) -> DataFrame:
+    """Rejected records by reason, table and operation, and by every choice of these: ``drop_reason, table, op, level, n``.
+
+    ``level`` tells which columns are summed over: 4 for the reason, 2 for the table and 1 for the operation, added up; 7 is
+    the total. A null column at a level that does not sum over it is a value: records whose operation can't be told. The
+    records are counted once, in the tasks; only counts are laid out over the levels.
+    """
+    counted = recs.where(F.col("drop_reason").isNotNull()).groupBy(
+        "drop_reason", F.concat_ws(".", "table_schema", "table_name").alias("table"), "op"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.cube("drop_reason", "table", "op").agg(F.grouping_id().alias("level"), F.sum("_n").alias("n"))
+
+
+# Size of the sketches: the standard error of a distinct count is 1.04 / 2 ** (LG_K / 2), under 1 %; the rank error of a
+# quantile at K = 200 is 1.33 %.
+LG_K = 14
+K = 200
+
+
+def flow_sketches(recs: DataFrame, key: str | Column, interval: str = "1 day", arrived: Column | None = None) -> DataFrame:
+    """Mergeable sketches of accepted records: ``table, window_end, n, keys, lag``.
+
+    ``keys`` is a sketch of the distinct values of ``key``; ``lag`` one of the milliseconds between commit and ``arrived``,
+    of records that have a commit time, null without ``arrived``. Rows of different batches, intervals or tables are put
+    together with ``merged_sketches``, and read with ``read_sketches``; a row has a bounded size whatever it has seen.
+    """
+    key = F.col(key) if isinstance(key, str) else key
+    dated = F.when(F.col("true_tstamp") > F.timestamp_millis(F.lit(0)), F.unix_millis("true_tstamp"))
+    behind = F.lit(None).cast("bigint") if arrived is None else F.unix_millis(arrived) - dated
+    seen = recs.where(F.col("drop_reason").isNull()).select(
+        F.concat_ws(".", "table_schema", "table_name").alias("table"),
+        F.window("true_tstamp", interval)["end"].alias("window_end"),
+        key.cast("string").alias("_key"),
+        behind.alias("_behind"),
+    )
+    lag = F.kll_sketch_agg_bigint("_behind", K)
+    return seen.groupBy("table", "window_end").agg(
+        F.count(F.lit(1)).alias("n"), F.hll_sketch_agg("_key", LG_K).alias("keys"), F.when(F.count("_behind") > 0, lag).alias("lag")
+    )
+
+
+def merged_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Rows of ``flow_sketches`` put together by some of their columns.
+
+    They hold what a sketch of all records would; estimates stay within the stated errors, but may differ a little with the
+    order of merging.
+    """
+    return sketches.groupBy(*by).agg(
+        F.sum("n").alias("n"), F.hll_union_agg("keys").alias("keys"),
+        F.when(F.count("lag") > 0, F.kll_merge_agg_bigint("lag")).alias("lag"),
+    )
+
+
+def read_sketches(sketches: DataFrame, quantiles: Sequence[float] = (0.5, 0.99)) -> DataFrame:
+    """Estimates in place of sketches: ``keys``, and ``lag_50``, ``lag_99`` ... in milliseconds."""
+    rest = [c for c in sketches.columns if c not in ("keys", "lag")]
+    lag = [
+        F.when(F.col("lag").isNotNull(), F.kll_sketch_get_quantile_bigint("lag", F.lit(float(q)))).alias(f"lag_{q * 100:g}") for q in quantiles
+    ]
+    return sketches.select(*rest, F.hll_sketch_estimate("keys").alias("keys"), *lag)
+
+
+def distinct_keys(recs: DataFrame, key: str | Column) -> DataFrame:
+    """The exact count: ``table, keys``. Every distinct key is shuffled once."""
+    key = F.col(key) if isinstance(key, str) else key
+    seen = recs.where(F.col("drop_reason").isNull()).select(F.concat_ws(".", "table_schema", "table_name").alias("table"), key.alias("_key"))
+    return seen.groupBy("table").agg(F.count_distinct("_key").alias("keys"))
+
+
 def heartbeat(recs: DataFrame, interval: str = "60 seconds", tables: Sequence[str] | None = None) -> DataFrame:
     """Cumulative totals at the end of each interval of event time that saw a record.
 

@@ -437,6 +437,13 @@ EXPECTED: dict[str, str] = {
           count(*) - count(DISTINCT (tbl, op, lsn)) AS replays, min(seq) AS first_seq, max(seq) AS last_seq
         FROM a GROUP BY txid, lsn >= 200000000000"""
     ),
+    "reject_cube": _changes(
+        """SELECT reason AS drop_reason, sch || '.' || tbl AS "table", op, GROUPING(reason, sch || '.' || tbl, op) AS level, count(*) AS n
+        FROM flow WHERE reason IS NOT NULL GROUP BY CUBE (reason, sch || '.' || tbl, op)"""
+    ),
+    "distinct_keys_by_table": _changes(
+        """SELECT 'public.' || tbl AS "table", count(*) AS n, count(DISTINCT pk) AS keys, true AS near, true AS lag_near FROM e GROUP BY tbl"""
+    ),
     "route_by_table": _changes(
         """SELECT tbl AS table_name, uri AS schema_uri, count(*) AS n, CAST(sum(length(payload)) AS BIGINT) AS payload_chars
         FROM e0 GROUP BY tbl, uri"""

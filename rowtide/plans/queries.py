@@ -500,6 +500,30 @@ def rejects_by_reason(spark, sf):
     return accounting.rejects_by_reason(_shop_records(spark, sf))
 
 
+@query
+def reject_cube(spark, sf):
+    cube = accounting.reject_cube(_shop_records(spark, sf))
+    return cube.select("drop_reason", "table", "op", _long("level"), "n")
+
+
+@query
+def distinct_keys_by_table(spark, sf):
+    recs = assemble.records(feeds.shop_feed(spark, sf), CONTRACTS, app_id=APP_ID, with_names=True)
+    # Sketches of a week each, put together again; each change arrives as many seconds late as its seq says.
+    late = F.col("seq") % 1000 * 1000
+    arrived = F.timestamp_millis(F.unix_millis("true_tstamp") + late)
+    sketches = accounting.merged_sketches(accounting.flow_sketches(recs, "pk", "7 days", arrived), "table")
+    told = accounting.read_sketches(sketches, (0.5,)).withColumnRenamed("keys", "estimate")
+    at = F.concat_ws(".", "table_schema", "table_name").alias("table")
+    rank = recs.where(F.col("drop_reason").isNull()).select(at, late.alias("late")).join(told.select("table", "lag_50"), "table")
+    rank = rank.groupBy("table").agg(F.avg((F.col("late") < F.col("lag_50")).cast("int")).alias("below"),
+                                     F.avg((F.col("late") <= F.col("lag_50")).cast("int")).alias("upto"))
+    near = F.abs(F.col("estimate") - F.col("keys")) <= 4 * 0.0082 * F.col("keys")
+    middle = (F.col("below") <= 0.5 + 4 * 0.0133) & (F.col("upto") >= 0.5 - 4 * 0.0133)
+    both = accounting.distinct_keys(recs, "pk").join(told, "table").join(rank, "table")
+    return both.select("table", "n", "keys", near.alias("near"), middle.alias("lag_near"))
+
+
 @query
 def event_summary(spark, sf):
     return accounting.event_summary(assemble.events(_order_records(spark, sf)))
