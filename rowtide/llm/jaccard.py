@@ -7,13 +7,16 @@ the regions they are near to; regions are cut again until one task can compare w
 Pivots cannot part documents that share nothing: each is at distance 1 from all others, and every border would run
 through all of them. So an exact cut comes first. The range of hashes is cut into more parts than two linked sets
 of a size can have differences; some part is then equal in both, and not empty. Documents with an equal part are put
-in one block. Blocks are what connects, not pairs: a task sends one document on for each part's content and keeps
-the others by a link to it, so content that any share of the documents has reaches a reducer once for each chunk.
+in one block. Blocks are what connects, not pairs: a task sends one set on for each part's content and keeps
+the others by a link to it, so content that any share of the documents has reaches a reducer once for each chunk. Two sets
+with many equal parts are told to be linked where the first of these meet, not at each, however many reducers there are.
+
+Everything works on distinct sets, numbered as they are written; ids of documents come in again at the end.
 
 Words are lower-cased (A-Z) runs of anything but ASCII blanks. A text of fewer words than ``N`` is one n-gram; an empty
 or null text has none, is linked with nothing and is its own component. Sets are of 64-bit hashes. Null ids come
-first. Rows with equal sets are linked, also when they share an id. Other columns are left out; an empty table gives no
-rows.
+first. Rows are linked by their texts only: rows with equal sets are, rows that share an id and nothing else are not. Other
+columns are left out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rowtide.llm.common import Words, components, mix, reducers, shelve, ship, table, windows
@@ -44,6 +47,9 @@ PIVOTS = 16
 PROGRESS = 0.7
 #: Sizes of a class of signatures, each this times the last.
 CLASS = 1.5
+#: Ranges of the signatures; of each range a set's smallest one is where it meets others that have it as smallest, too.
+RANGES = 4
+NONE = np.uint64(2**64 - 1)
 NO_ID = -(2**63)
 
 
@@ -73,7 +79,7 @@ def _borders(parts: int) -> np.ndarray:
 
 
 def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Hashes of the contents of the parts, in the set's class and, if a partner can be in it, the next one.
+    """Hashes of the contents of the parts, in the set's class and in those above it that a partner can be in.
 
     With ``parts - k`` equal parts at least, one of them is not empty unless a set has as many empty parts; sets
     that do share a signature of their own.
@@ -82,7 +88,8 @@ def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(members))])
     classes = _classes(percent)
     at = next(i for i, c in enumerate(classes) if n <= c[0])
-    for i in (at, at + 1) if n * 100 // percent > classes[at][0] else (at,):
+    last = next(i for i, c in enumerate(classes) if n * 100 // percent <= c[0])  # of the largest partner
+    for i in range(at, last + 1):
         _, k, parts = classes[i]
         if not k:
             continue
@@ -119,59 +126,118 @@ def _stars(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[new], heads, links[:, 0], links[:, 1]
 
 
+def _firsts(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows (key, owner), sorted by key: the owners, and for each its smallest key in every range."""
+    names = np.unique(owners)
+    out = np.full((len(names), RANGES), NONE)
+    for r in range(RANGES):
+        here = np.nonzero(keys >> np.uint64(62) == r)[0]
+        owner, first = np.unique(owners[here], return_index=True)
+        out[np.searchsorted(names, owner), r] = keys[here[first]]
+    return names, out
+
+
+def _told(keys: np.ndarray, docs: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the sets with a key in common, of rows (key, set, the set's smallest keys).
+
+    At a key, the sets that have it as smallest of its range are linked to one of them. Of all others with the key only those
+    are linked that have no smallest key in common: these are connected where that key is.
+    """
+    order = np.lexsort((docs, keys))
+    keys, docs, firsts = keys[order], docs[order], firsts[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    apart = ~((firsts == firsts[head]) & (firsts != NONE)).any(axis=1) & (docs != docs[head])
+    pairs = [np.stack([docs[apart], docs[head[apart]]])]
+    own = np.nonzero((firsts == keys[:, None]).any(axis=1))[0]
+    if len(own):
+        begin = np.ones(len(own), bool)
+        begin[1:] = keys[own[1:]] != keys[own[:-1]]
+        hub = own[np.maximum.accumulate(np.where(begin, np.arange(len(own)), 0))]
+        other = docs[own] != docs[hub]
+        pairs.append(np.stack([docs[own[other]], docs[hub[other]]]))
+    root: dict[int, int] = {}
+
+    def find(i: int) -> int:
+        while (up := root.get(i, i)) != i:
+            root[i] = i = root.get(up, up)
+        return i
+
+    out = []
+    for a, b in np.unique(np.concatenate(pairs, axis=1), axis=1).T.tolist():
+        x, y = find(a), find(b)
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            out.append((a, b))
+    out = np.array(out, np.int64).reshape(-1, 2)
+    return out[:, 0], out[:, 1]
+
+
+def _set_hash(members: np.ndarray) -> np.int64:
+    return np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)
+
+
 def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """(node, component): the documents that share a block with others, and the block's smallest document."""
+    """(node, component): the hashes of sets that share a block with others, and the block's smallest hash. Sets of one hash
+    are in one block, which costs a comparison and no result."""
     parts = reducers(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, kept, size = Words(lower=True), [], 0
+        words, kept, size = Words(lower=True), {}, 0
 
         def out() -> pa.RecordBatch:
-            keys, ids, a, b = _stars(np.concatenate([k for k, _ in kept]), np.concatenate([np.full(len(k), d) for k, d in kept]))
+            keys, heads, a, b = _stars(np.concatenate(list(kept.values())), np.concatenate([np.full(len(k), d) for d, k in kept.items()]))
+            names, firsts = _firsts(keys, heads)
+            place = np.searchsorted(names, heads)
             part = (keys >> np.uint64(32)) % np.uint64(parts)
             order = np.argsort(part, kind="stable")
             borders = np.nonzero(np.diff(part[order]))[0] + 1
-            rows = [(int(part[at[0]]), keys[at].tobytes(), ids[at].tobytes()) for at in np.split(order, borders) if len(at)]
+            rows = []
+            for at in np.split(order, borders):
+                some, index = np.unique(place[at], return_inverse=True)
+                rows.append((int(part[at[0]]), keys[at].tobytes(), index.astype(np.int32).tobytes(), names[some].tobytes(), firsts[some].tobytes()))
             if len(a):
-                rows.append((int(a[0]) % parts, None, np.concatenate([a, b]).tobytes()))
+                rows.append((int(a[0]) % parts, None, None, np.concatenate([a, b]).tobytes(), None))
+            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                ["part", "keys", "docs"],
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "keys", "at", "docs", "firsts"]
             )
 
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            for text in batch.column(0):
                 got = signatures(members, percent) if len(members := grams(words.hashes(text.as_py()), n)) else members
-                if len(got):
-                    doc = doc.as_py()
-                    kept.append((got, np.int64(NO_ID if doc is None else doc)))
+                if len(got) and (node := int(_set_hash(members))) not in kept:
+                    kept[node] = got
                     size += len(members)
                 if size >= CHUNK:
                     yield out()
-                    kept, size = [], 0
+                    kept, size = {}, 0
         if kept:
             yield out()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, docs = [], []
+        keys, docs, firsts = [], [], []
         for batch in batches:
-            for k, d in zip(batch.column(1), batch.column(2), strict=True):
+            for k, at, d, f in zip(*(batch.column(i) for i in range(1, 5)), strict=True):
                 k, d = k.as_py(), np.frombuffer(d.as_py(), np.int64)
                 if k is None:
                     yield pa.RecordBatch.from_arrays([pa.array(d[: len(d) // 2]), pa.array(d[len(d) // 2 :])], ["a", "b"])
                 else:
+                    at = np.frombuffer(at.as_py(), np.int32)
                     keys.append(np.frombuffer(k, np.uint64))
-                    docs.append(d)
+                    docs.append(d[at])
+                    firsts.append(np.frombuffer(f.as_py(), np.uint64).reshape(-1, RANGES)[at])
         if keys:
-            _, _, a, b = _stars(np.concatenate(keys), np.concatenate(docs))
+            a, b = _told(np.concatenate(keys), np.concatenate(docs), np.concatenate(firsts))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    placed = docs.mapInArrow(cut, "part int, keys binary, docs binary")
+    placed = docs.select("text").mapInArrow(cut, "part int, keys binary, at binary, docs binary, firsts binary")
     return components(placed.repartitionById(parts, F.col("part")).mapInArrow(join, "a long, b long"))
 
 
 def _prints(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, doc, n_shingles, key): ``key`` stands for the set, null if it is empty."""
+    """(doc_id, doc, n_shingles, key, hash, digest): ``key`` stands for the set, null if it is empty, ``digest`` for the text."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
@@ -181,11 +247,12 @@ def _prints(docs: DataFrame, n: int) -> DataFrame:
                 [
                     batch.column(0), batch.column(0).fill_null(NO_ID), pa.array(map(len, sets), pa.int64()),
                     pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets], pa.string()),
+                    pa.array([int(_set_hash(s)) for s in sets], pa.int64()), batch.column(2),
                 ],
-                ["doc_id", "doc", "n_shingles", "key"],
+                ["doc_id", "doc", "n_shingles", "key", "hash", "digest"],
             )
 
-    return docs.mapInArrow(go, "doc_id long, doc long, n_shingles long, key string")
+    return docs.mapInArrow(go, "doc_id long, doc long, n_shingles long, key string, hash long, digest string")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -193,9 +260,9 @@ def _packed(docs: DataFrame) -> DataFrame:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             texts = pa.array([pack.compress((t.as_py() or "").encode()) for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).fill_null(NO_ID), texts], ["doc", "packed"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).fill_null(NO_ID), batch.column(2), texts], ["id", "digest", "packed"])
 
-    return docs.mapInArrow(go, "doc long, packed binary")
+    return docs.mapInArrow(go, "id long, digest string, packed binary")
 
 
 class _Sets:
@@ -480,18 +547,22 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(sizes.where("docs > 1"), "region")
 
 
-def linked(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+def grouped(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
+    """(doc_id, n_shingles, digest, group, least, known) of each row of ``docs`` (doc_id, text): the number of its component,
+    null for an empty set, and the component's smallest id, nulls first (``NO_ID``) and nulls left out."""
     ship(docs.sparkSession)
-    docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
+    docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "md5(cast(text as string)) digest")
     parts = reducers(docs)
     prints = shelve(_prints(docs, n))
-    sets = prints.where("key is not null").groupBy("key").agg(F.min("doc").alias("node"), F.first("n_shingles").alias("n_shingles"))
-    sets = shelve(sets)
-    blocks = _blocks(docs, percent, n).withColumnRenamed("node", "doc")
-    members = blocks.join(sets.select(F.col("node").alias("doc"), "n_shingles").groupBy("doc").agg(F.max("n_shingles").alias("n_shingles")), "doc")
-    members = _sized(members.select(F.col("component").cast("string").alias("region"), "doc", "n_shingles"))
-    regions = shelve(members.join(_packed(docs), "doc").select("region", "doc", "n_shingles", "packed", "docs", "grams"))
+    one = F.min(F.struct("doc", "digest")).alias("one")  # a row that has the set
+    sets = prints.where("key is not null").groupBy("key").agg(
+        F.first("n_shingles").alias("n_shingles"), F.first("hash").alias("hash"), one, F.min("doc").alias("least"), F.min("doc_id").alias("known")
+    )
+    sets = shelve(sets.withColumn("node", F.monotonically_increasing_id()))
+    blocks = _blocks(docs, percent, n).select(F.col("node").alias("hash"), F.col("component").cast("string").alias("region"))
+    members = blocks.join(sets, "hash").select("region", F.col("node").alias("doc"), "n_shingles", F.col("one.doc").alias("id"), "one.digest")
+    texts = _sized(members).join(_packed(docs), ["id", "digest"])
+    regions = shelve(texts.select("region", "doc", "n_shingles", "packed", "docs", "grams").dropDuplicates(["doc"]))
 
     small = (F.col("docs") <= REGION) & (F.col("grams") <= REGION_GRAMS)
     found = [_compared(regions.where(small), percent, n, parts)]
@@ -517,11 +588,17 @@ def linked(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
         links = links.unionByName(more)
     joined = components(links)
 
-    by_key = sets.join(joined, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
-    out = prints.join(by_key, "key", "left")
-    component = F.coalesce("component", "doc")
+    own = sets.join(joined, "node", "left").select("key", F.coalesce("component", "node").alias("group"), "least", "known")
+    least = own.groupBy("group").agg(F.min("least").alias("least"), F.min("known").alias("known"))
+    by_key = own.select("key", "group").join(least, "group")
+    return prints.join(by_key, "key", "left").select("doc_id", "doc", "n_shingles", "digest", "group", "least", "known")
+
+
+def linked(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+    component = F.coalesce("least", "doc")
     component = F.when(component != NO_ID, component)
-    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+    return grouped(docs, percent, n).select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -550,7 +627,19 @@ FROM texts t LEFT JOIN sizes s ON s.doc_id = t.doc_id LEFT JOIN least l ON l.a =
 
 
 def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents whose component has one with a smaller doc_id; all columns stay."""
-    groups = linked(docs, **options).where("component_id is null or doc_id is null or doc_id != component_id")
-    gone = groups.where("doc_id is not null and component_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` without the documents whose component has one with a smaller doc_id; all columns stay.
+
+    Rows of the smallest id that share a component all stay. Rows without an id go if one of their component has an id; of a
+    component without any id one row stays. Documents without words stay.
+    """
+    groups = grouped(docs, **options)
+    rows = docs.select(F.struct("*").alias("row"))  # whatever its columns are called
+    rows = rows.select("row", F.col("row.doc_id").cast("long").alias("id"), F.md5(F.col("row.text").cast("string")).alias("digest"))
+    gone = groups.where("group is not null and doc_id != known").select(F.col("doc_id").alias("id"), "digest").distinct()
+    named = rows.where("id is not null").join(gone, ["id", "digest"], "left_anti").select("row.*")
+    of = groups.where("doc_id is null and group is not null").select("digest", "group", "known").distinct()
+    nameless = rows.where("id is null").join(of, "digest", "left")
+    first = F.row_number().over(Window.partitionBy("group").orderBy("digest"))
+    wordless = nameless.where("group is null").select("row.*")  # these are no component
+    alone = nameless.where("group is not null and known is null").withColumn("first", first).where("first = 1").select("row.*")
+    return named.unionByName(wordless).unionByName(alone)

@@ -116,3 +116,69 @@ def test_query_equals_sql(spark, sf):
     got = sorted(map(tuple, jaccard.op1_jaccard(spark, sf).collect()))
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert got == sorted(brute(rows)) == sorted(con.execute(jaccard.OP1_SQL).fetchall())
+
+
+@pytest.mark.parametrize("region", [12, 16_384])
+def test_repeated_and_null_ids_lose_no_link_in_large_regions(spark, monkeypatch, region):
+    """Several texts with one id, rows without id, and whole rows repeated, in regions that are cut."""
+    monkeypatch.setattr(jaccard, "REGION", region)
+    monkeypatch.setattr(jaccard, "PIVOTS", 4)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = " ".join(word() for _ in range(70))
+    rows = [(3, f"{passage} {' '.join(word() for _ in range(25 + 10 * i))}") for i in range(4)]
+    rows += [(None, f"{passage} {' '.join(word() for _ in range(30))}") for _ in range(20)]
+    rows += [(100 + i, f"{passage} {' '.join(word() for _ in range(30))}") for i in range(30)]
+    rows += [(500 + i, rows[i][1] + " more words") for i in range(12)]
+    rows += rng.sample(rows, 20) + [rows[6]] * 15
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, jaccard.linked(df).collect()), key=order) == sorted(brute(rows), key=order)
+
+
+@pytest.mark.parametrize("percent", [40, 50, 60, 85])
+def test_signatures_meet_at_every_legal_size(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(1200):
+        n = int(rng.choice([4, 5, 7, 10, 20, 61, 200, 700]))
+        b = np.unique(rng.integers(0, 2**64, int(rng.integers(n, n * 100 // percent + 1)), np.uint64))
+        a = np.sort(rng.choice(b, min(n, len(b)), replace=False))  # a subset, as small as it may be
+        if 100 * len(a) >= percent * len(b) and len(a) < len(b):
+            assert len(np.intersect1d(jaccard.signatures(a, percent), jaccard.signatures(b, percent)))
+
+
+def test_links_are_told_where_sets_first_meet():
+    """Connectivity over all reducers is that of equal keys, and close sets are told a few times, whatever the reducers."""
+    rng = np.random.default_rng(7)
+    owners, keys = [], []
+    for group in range(40):
+        base = rng.integers(0, 2**64, 60, np.uint64)
+        for i in range(8):
+            own = np.concatenate([base[rng.random(60) < 0.9], rng.integers(0, 2**64, 6, np.uint64)])
+            keys.append(own)
+            owners.append(np.full(len(own), 100 * group + i))
+    keys, owners = np.concatenate(keys), np.concatenate(owners)
+    order_ = np.argsort(keys, kind="stable")
+    keys, owners = keys[order_], owners[order_]
+    names, firsts = jaccard._firsts(keys, owners)
+    firsts, told = firsts[np.searchsorted(names, owners)], {}
+    for reducers in (4, 256):
+        part, links = (keys >> np.uint64(32)) % np.uint64(reducers), []
+        for p in range(reducers):
+            here = part == p
+            links += list(zip(*jaccard._told(keys[here], owners[here], firsts[here]), strict=True))
+        root = {int(d): int(d) for d in names}
+        for a, b in links * 8:  # enough rounds for groups of eight
+            root[int(a)] = root[int(b)] = min(root[int(a)], root[int(b)])
+        assert all(root[d] == d // 100 * 100 for d in root)
+        told[reducers] = len(links)
+    assert told[256] <= 5 * len(names)
+
+
+def test_first_of_each_with_null_and_repeated_ids(spark):
+    a, b, c = "a b c d e", "one two three four five", "six seven eight nine ten"
+    rows = [(None, a), (None, a), (7, a), (8, a), (7, a), (None, b), (None, b), (None, b), (3, c), (3, a), (4, c), (None, None), (None, ""), (9, None)]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, _group int")
+    got = jaccard.first_of_each(df)
+    assert got.columns == df.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
+    assert kept == sorted([(3, a), (None, b), (3, c), (None, None), (None, ""), (9, None)], key=repr)
