@@ -48,7 +48,7 @@ PROGRESS = 0.7
 #: Sizes of a class of signatures, each this times the last.
 CLASS = 1.5
 #: Ranges of the signatures; of each range a set's smallest one is where it meets others that have it as smallest, too.
-RANGES = 4
+RANGES = 2
 NONE = np.uint64(2**64 - 1)
 NO_ID = -(2**63)
 
@@ -82,7 +82,8 @@ def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Hashes of the contents of the parts, in the set's class and in those above it that a partner can be in.
 
     With ``parts - k`` equal parts at least, one of them is not empty unless a set has as many empty parts; sets
-    that do share a signature of their own.
+    that do share a signature of their own. Of more than ``k`` signatures the ``k + 1`` smallest are enough: if all of these
+    were in parts that differ, too many would.
     """
     n, out = len(members), []
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(members))])
@@ -96,7 +97,8 @@ def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         cuts = np.concatenate([[0], np.searchsorted(members, _borders(parts)), [n]])
         full = np.nonzero(np.diff(cuts))[0]
         salt = mix(np.uint64(i << 40) + full.astype(np.uint64) + np.uint64(1))
-        out.append(mix((sums[cuts[full + 1]] - sums[cuts[full]]) ^ salt))
+        own = mix((sums[cuts[full + 1]] - sums[cuts[full]]) ^ salt)
+        out.append(own if len(own) <= k else np.partition(own, k)[: k + 1])
         if parts - len(full) >= parts - k:
             out.append(mix(np.array([(i << 40) + (1 << 39)], np.uint64)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -131,7 +133,7 @@ def _firsts(keys: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarra
     names = np.unique(owners)
     out = np.full((len(names), RANGES), NONE)
     for r in range(RANGES):
-        here = np.nonzero(keys >> np.uint64(62) == r)[0]
+        here = np.nonzero(keys >> np.uint64(63) == r)[0]
         owner, first = np.unique(owners[here], return_index=True)
         out[np.searchsorted(names, owner), r] = keys[here[first]]
     return names, out
@@ -196,7 +198,10 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
             rows = []
             for at in np.split(order, borders):
                 some, index = np.unique(place[at], return_inverse=True)
-                rows.append((int(part[at[0]]), keys[at].tobytes(), index.astype(np.int32).tobytes(), names[some].tobytes(), firsts[some].tobytes()))
+                # a set that is there several times is told once
+                index = index.astype(np.int32).tobytes() if 2 * len(some) < len(at) else None
+                some = place[at] if index is None else some
+                rows.append((int(part[at[0]]), keys[at].tobytes(), index, names[some].tobytes(), firsts[some].tobytes()))
             if len(a):
                 rows.append((int(a[0]) % parts, None, None, np.concatenate([a, b]).tobytes(), None))
             kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
@@ -224,7 +229,8 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
                 if k is None:
                     yield pa.RecordBatch.from_arrays([pa.array(d[: len(d) // 2]), pa.array(d[len(d) // 2 :])], ["a", "b"])
                 else:
-                    at = np.frombuffer(at.as_py(), np.int32)
+                    at = at.as_py()
+                    at = slice(None) if at is None else np.frombuffer(at, np.int32)
                     keys.append(np.frombuffer(k, np.uint64))
                     docs.append(d[at])
                     firsts.append(np.frombuffer(f.as_py(), np.uint64).reshape(-1, RANGES)[at])
