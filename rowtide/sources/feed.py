@@ -89,8 +89,8 @@ def snapshot_feed(
 ) -> DataFrame:
     """Existing rows of a table as read (``r``) envelopes.
 
-    The schema block is taken from the DataFrame's types. Without ``seq`` the rows are numbered below
-    zero, ahead of any change.
+    The schema block is taken from the DataFrame's types. Without ``seq`` a row's place is a hash of its key, below zero and
+    so ahead of any change, the same on every run.
     """
     fields = [f.name for f in table.schema]
     block = _schema_block(table.schema, primary_key)
@@ -112,7 +112,7 @@ def snapshot_feed(
         F.lit('{"schema":' + block + ',"payload":{"before":null,"after":'), row,
         F.lit(',"source":'), source, F.lit(',"op":"r"}}'),
     )
-    order = F.monotonically_increasing_id() - F.lit(1 << 62) if seq is None else seq
+    order = F.shiftright(F.xxhash64(*primary_key), 2) - F.lit(1 << 62) if seq is None else seq
     return table.select(
         order.cast("bigint").alias("seq"),
         F.lit(f"{destination_prefix}.{schema}.{name}").alias("destination"),

@@ -17,6 +17,8 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from rowtide.contract import TableContract, require_sound
 from rowtide.operators import accounting
 from rowtide.operators.assemble import EVENT_COLUMNS, REJECT_COLUMNS, events, records
+from rowtide.operators.schema_change import TABLE
+from rowtide.streaming.compaction import pack, read_packed
 from rowtide.streaming.schema_change import carry_changes
 
 RECORDS, CHANGES, FLOW, STATE = "records", "schema_changes", "flow", "schema_state"
@@ -33,12 +35,14 @@ def run_stream(
     available_now: bool = False,
     interval: str = "10 seconds",
     on_batch: Callable[[DataFrame, int], None] | None = None,
+    pack_every: int | None = None,
 ) -> StreamingQuery:
     """Start the stream. ``target`` and ``checkpoint`` are directories every executor can reach.
 
     After a restart with the same checkpoint the stream goes on after the last finished batch.
     ``on_batch`` gets the events of each batch, to hand them to another sink; offsets are only
-    committed when it returns.
+    committed when it returns. With ``pack_every`` the directories of closed batches are packed into few files every so
+    many batches; the readers below then take what is packed and what is not.
     """
 
     require_sound(feed.sparkSession, contracts)
@@ -56,6 +60,11 @@ def run_stream(
         flow.unionByName(lost).write.mode("overwrite").parquet(f"{target}/{FLOW}/batch_id={batch_id}")
         if on_batch is not None:
             on_batch(events(written), batch_id)
+        if pack_every and batch_id and batch_id % pack_every == 0:
+            # batches below this one are closed: they will not be run again
+            pack(spark, target, RECORDS, batch_id, by=("outcome",), day=F.struct(*TABLE, F.to_date("true_tstamp")))
+            pack(spark, target, CHANGES, batch_id)
+            pack(spark, target, FLOW, batch_id)
 
     writer = feed.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
@@ -71,16 +80,16 @@ def read_rejected(spark: SparkSession, target: str) -> DataFrame:
 
 
 def _outcome(spark: SparkSession, target: str, outcome: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/{RECORDS}").where(F.col("outcome") == outcome)
+    return read_packed(spark, target, RECORDS).where(F.col("outcome") == outcome)
 
 
 def read_schema_changes(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(f"{target}/{CHANGES}").drop("batch_id")
+    return read_packed(spark, target, CHANGES)
 
 
 def read_flow(spark: SparkSession, target: str) -> DataFrame:
     """Counts over all batches: accepted per table and operation, rejected per table and reason."""
-    rows = spark.read.parquet(f"{target}/{FLOW}")
+    rows = read_packed(spark, target, FLOW)
     return rows.groupBy("table", "op", "drop_reason").agg(F.sum("n").alias("n"))
 
 
