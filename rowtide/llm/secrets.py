@@ -1,24 +1,31 @@
 """Secrets, also inside nested encodings.
 
-A worklist starts with the text itself. Each layer is scanned; its encoded parts (percent and backslash escapes,
-base64, and gzip or zlib data inside base64) are unwrapped to further layers until none is new: a layer with a text that the
-same part of the document had before is not taken again, so cycles end. Every character of a layer knows the part
-of the original text it came from, so that findings are reported as spans of the original.
-
-A null text counts as empty. Spans are code points, the end exclusive. Rows are treated one by one: repeated rows
+A worklist starts with the text itself. Each layer is scanned; its encoded parts (percent and backslash escapes, character
+references, base64, and gzip, zlib or bzip2 data inside any of these, raw deflate data inside base64) are unwrapped to further
+layers until none is new: a layer with a text that the same part of the document had before is not taken again, so cycles
+end. Every character of a layer can be traced to the part of the original text it came from, so that findings are reported as
+spans of the original. Places are worked out when they are asked for, and one layer of each depth is held at a time, so
+that a long text needs a few times its own size.
+
+A null text counts as empty; a table without rows gives none. Spans are code points, the end exclusive. Rows are treated one by one: repeated rows
 and ids stay, columns besides ``doc_id`` and ``text`` are left out.
 """
 
 from __future__ import annotations
 
 import binascii
+import bz2
 import codecs
 import hashlib
 import re
 import zlib
-from collections import deque
+from array import array
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
+from html.entities import html5
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,7 +43,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # A percent sign or backslash that is itself escaped any number of times is taken at once, else each level of it
 # would be a layer of its own.
 PERCENT = re.compile(r"(%(?:25)+)(?=[0-9A-Fa-f]{2})|(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\(?:u005[cC])+(?=[uUx])|\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});")
+ESCAPE = re.compile(
+    r"\\(?:u005[cC])+(?=[uUx])|\\(?:u\{([0-9A-Fa-f]{1,6})\}|u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))|&#[xX]([0-9A-Fa-f]{1,6});"
+    r"|&#(?P<decimal>[0-9]{1,7});|(?P<amp>&(?:amp;)+(?=#))|&(?P<name>[A-Za-z][A-Za-z0-9]{1,31};)"
+    r"""|\\(?P<short>["'/nrt\\])"""
+)
+SHORT = {"n": "\n", "r": "\r", "t": "\t"}
 # A run goes on over line breaks; with them, the first part may be short. Runs of fewer than 16 characters are dropped.
 BASE64 = re.compile(
     r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=[\x20\t]*\r?\n))(?:[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/_-]++)*+"
@@ -44,10 +56,10 @@ BASE64 = re.compile(
 RUN = re.compile(r"[A-Za-z0-9+/_-]+")
 LEAST_RUN = 16
 STANDARD = str.maketrans("-_", "+/")
-#: Two bytes that zlib data may begin with, and three that gzip data do.
+#: What gzip and bzip2 data begin with, and the pairs of bytes that zlib data may.
 PACKED = re.compile(
     b"|".join(
-        [rb"\x1f(?=\x8b\x08)"]
+        [rb"\x1f(?=\x8b\x08)", rb"B(?=Zh[1-9]1AY&SY)"]
         + [
             re.escape(bytes([a])) + b"(?=[" + b"".join(b"\\x%02x" % b for b in range(256) if (a * 256 + b) % 31 == 0) + b"])"
             for a in range(8, 128, 16)
@@ -56,9 +68,13 @@ PACKED = re.compile(
 )
 # No token, escape or base64 run has such a character: what stands before and behind it can be scanned apart.
 CUT = re.compile(r"""[\s\S]*[^A-Za-z0-9+/_.=%\\{}&#;:"'\s-]""")
+#: Up to the last character that only an escape can stand for, and to the end of its word.
+ESCAPED = re.compile(r"""[\s\S]*[^\x20-\x7e][^\s"'<>]*""")
 #: Compressed data are read in pieces of so many bytes, and their text is scanned in pieces of so many characters, or
 #: more up to the next place where it can be cut; no layer is too large.
-FEED, PIECE = 1 << 16, 1 << 20
+FEED, PIECE = 1 << 12, 1 << 20
+#: So many bytes tell what data are packed with.
+HEAD = 10
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, layers long"
 
 Span = tuple[str, int, int]
@@ -70,29 +86,62 @@ def scan(text: str) -> list[Span]:
     return out + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+class Shifted:
+    """The place of a character of the text itself."""
+
+    def __init__(self, by: int):
+        self.by = by
+
+    def __getitem__(self, index):
+        return index + self.by
+
+
 class Same:
-    """One position for all characters of a text."""
+    """One place for all characters of a text."""
 
     def __init__(self, at: int):
         self.at = at
 
-    def __getitem__(self, index: int | slice) -> int | tuple[()]:
-        return () if isinstance(index, slice) else self.at
+    def __getitem__(self, index):
+        return self.at
+
+
+class Grouped:
+    """The place of the first, or last, base64 character of each character of decoded data.
+
+    ``starts`` has where the characters begin in the data, and its length; none if each is one byte. ``parts`` are the
+    parts of the run on each line, ``size`` is how many base64 characters there are from ``phase`` on.
+    """
+
+    def __init__(self, of, parts: list[range], phase: int, size: int, starts: np.ndarray | None, last: bool):
+        self.of, self.phase, self.size, self.starts, self.last = of, phase, size, starts, last
+        self.begin = np.fromiter((p.start for p in parts), np.int64, len(parts))
+        self.before = np.fromiter(accumulate((len(p) for p in parts[:-1]), initial=0), np.int64, len(parts))
+
+    def __getitem__(self, index):
+        index = np.asarray(index, np.int64) + self.last
+        at = index if self.starts is None else self.starts[index].astype(np.int64)
+        at = self.phase + (np.minimum(self.size, (at * 4 + 2) // 3) - 1 if self.last else at * 4 // 3)
+        part = np.searchsorted(self.before, at, "right") - 1
+        return self.of[self.begin[part] + at - self.before[part]]
+
+
+Places = Shifted | Same | Grouped | np.ndarray
 
 
 class Layer:
     """A text, and for each of its characters the span of the original text it comes from. A layer that goes on with
-    another one's text does not count."""
+    another one's text does not count. ``raw`` tells that its characters may be bytes of compressed data."""
 
-    def __init__(self, text: str, lo: list[int] | range | Same, hi: list[int] | range | Same, counts: bool = True):
-        self.text, self.lo, self.hi, self.counts = text, lo, hi, counts
+    def __init__(self, text: str, lo: Places, hi: Places, counts: bool = True, raw: bool = False):
+        self.text, self.lo, self.hi, self.counts, self.raw = text, lo, hi, counts, raw
 
     @property
     def same(self) -> bool:
         return isinstance(self.lo, Same)
 
     def span(self, start: int, end: int) -> tuple[int, int]:
-        return self.lo[start], self.hi[end - 1]
+        return int(self.lo[start]), int(self.hi[end - 1])
 
     def line(self, at: int, end: int) -> tuple[int, int]:
         """The line around a part of the text."""
@@ -107,25 +156,25 @@ def _lines(layer: Layer, pattern: re.Pattern, decode) -> Iterator[Layer]:
         if first.start() < done:
             continue
         start, done = layer.line(*first.span())
-        chars, lo, hi, at, changed = [], [], [], start, False
+        chars, lo, hi, at = [], array("i"), array("i"), start
         for m in pattern.finditer(layer.text, start, done):
             got = decode(m)
             if got is None:
                 continue
-            changed = True
             chars.append(layer.text[at : m.start()])
-            lo += layer.lo[at : m.start()]
-            hi += layer.hi[at : m.start()]
+            lo.extend(range(at, m.start()))
+            hi.extend(range(at, m.start()))
             for c, a, b in got:
                 chars.append(c)
-                lo.append(layer.lo[a])
-                hi.append(layer.hi[b - 1])
+                lo.append(a)
+                hi.append(b - 1)
             at = m.end()
-        if changed:
+        if at > start:
             chars.append(layer.text[at:done])
-            lo += layer.lo[at:done]
-            hi += layer.hi[at:done]
-            yield Layer("".join(chars), *((layer.lo, layer.hi) if layer.same else (lo, hi)))
+            lo.extend(range(at, done))
+            hi.extend(range(at, done))
+            places = (layer.lo, layer.hi) if layer.same else (layer.lo[np.array(lo)], layer.hi[np.array(hi)])
+            yield Layer("".join(chars), *places, raw=True)
 
 
 def _percent(m: re.Match) -> list[tuple[str, int, int]]:
@@ -140,7 +189,12 @@ def _percent(m: re.Match) -> list[tuple[str, int, int]]:
 
 
 def _escape(m: re.Match) -> list[tuple[str, int, int]] | None:
-    code = int(next(filter(None, m.groups()), "5c"), 16)
+    if m["short"]:
+        return [(SHORT.get(m["short"], m["short"]), *m.span())]
+    if m["name"]:
+        c = html5.get(m["name"], "")
+        return [(c, *m.span())] if len(c) == 1 else None
+    code = 0x26 if m["amp"] else int(m["decimal"]) if m["decimal"] else int(next(filter(None, m.groups()), "5c"), 16)
     if code > 0x10FFFF or 0xD800 <= code <= 0xDFFF:
         return None
     return [(chr(code), *m.span())]
@@ -155,43 +209,79 @@ def _width(c: str) -> int:
     return 1 if "\udc80" <= c <= "\udcff" else len(c.encode())
 
 
+def _starts(text: str, size: int) -> np.ndarray | None:
+    """Where each character of a text begins among the bytes it was read from, and their number."""
+    if len(text) == size:
+        return None
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    width = np.ones(len(codes), np.int8)
+    for least in (0x80, 0x800, 0x10000):
+        width += codes >= least
+    width[(codes >= 0xDC80) & (codes <= 0xDCFF)] = 1
+    starts = np.zeros(len(codes) + 1, np.int32)
+    np.cumsum(width, out=starts[1:])
+    return starts
+
+
 def _rich(text: str) -> bool:
     """Whether a text has something that is scanned for or could be unwrapped; nothing is found in or below any other."""
     return bool(scan(text) or PERCENT.search(text) or ESCAPE.search(text) or next(_runs(text), None))
 
 
 def _readable(text: str) -> bool:
-    return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
+    return sum(n for c, n in Counter(text).items() if c.isprintable() or c.isspace()) >= 0.9 * len(text) > 0
 
 
-def _inflated(chunks: Iterable[bytes], ends: list[int]) -> Iterator[bytes]:
-    """What gzip or zlib data unpack to, member after member; ``ends`` gets where each whole member ended."""
-    unpack, data, fed = None, b"", 0
+def _inflated(chunks: Iterable[bytes], ends: list[int], headless: bool = False) -> Iterator[bytes]:
+    """What gzip, zlib or bzip2 data unpack to, member after member, or one ``headless`` run of deflate data; ``ends`` gets
+    where each whole member ended."""
+    unpack, data, fed = zlib.decompressobj(-15) if headless else None, b"", 0
     for chunk in chunks:
         data, fed = data + chunk, fed + len(chunk)
         while data:
             if unpack is None:
                 data = data.lstrip(b"\0") if ends else data  # gzip files may be padded
-                if len(data) < 3:
+                if len(data) < HEAD:
                     break
-                if not PACKED.match(data):
+                if headless or not PACKED.match(data):
                     return
-                unpack = zlib.decompressobj(47)
+                unpack = bz2.BZ2Decompressor() if data.startswith(b"BZ") else zlib.decompressobj(47)
             more = True
             while more:
                 try:
                     out = unpack.decompress(data, PIECE)
-                except zlib.error:
+                except (zlib.error, OSError):
                     return
                 if out:
                     yield out
-                data = unpack.unconsumed_tail
+                data = getattr(unpack, "unconsumed_tail", b"")
                 more = not unpack.eof and (bool(data) or len(out) == PIECE)
             if unpack.eof:
                 data, unpack = unpack.unused_data, None
                 ends.append(fed - len(data))
 
 
+def _fed(data: bytes, start: int = 0, read: list[int] | None = None) -> Iterator[bytes]:
+    """The bytes in pieces; ``read`` gets how far they were read when another one is asked for."""
+    for i in range(start, len(data), FEED):
+        yield data[i : i + FEED]
+        if read is not None:
+            read.append(min(i + FEED, len(data)))
+
+
+def _headless(data: bytes) -> Iterator[tuple[str, bool]]:
+    """Texts of deflate data without a header. Any bytes may look like them, so they must come to their end."""
+    ends: list[int] = []
+    for _ in _inflated(_fed(data), ends, True):
+        pass
+    if ends:
+        told = False
+        for text in _pieces(_inflated(_fed(data), [], True)):
+            if _rich(text):
+                yield text, not told
+                told = True
+
+
 def _pieces(chunks: Iterable[bytes]) -> Iterator[str]:
     """The text of the bytes, cut where no token is cut."""
     decode = codecs.getincrementaldecoder("utf-8")("surrogateescape").decode
@@ -208,21 +298,27 @@ def _pieces(chunks: Iterable[bytes]) -> Iterator[str]:
         yield text
 
 
-def _unpacked(data: bytes) -> Iterator[tuple[str, bool]]:
-    """Texts of the compressed data that begin anywhere in ``data``, and of those in them; whether one counts as a layer."""
+def _unpacked(data: bytes) -> Iterator[tuple[str, bool, int]]:
+    """Texts of the compressed data that begin anywhere in ``data``, and of those in them; whether one counts as a layer, and
+    where its data begin.
+
+    Data may overlap what looked like data and broke off later, as a head of two bytes is soon met by chance. But where
+    bytes were read for a whole piece beyond a place without a fault, no data begin there; else repetitive bytes would be
+    read again from each of their repeats."""
     done = 0
     for m in PACKED.finditer(data):
         depth, seen = 1, set()
         while m.start() >= done:
             ends, head, digest = [[] for _ in range(depth)], b"", hashlib.sha256()
-            chunks = (data[i : i + FEED] for i in range(m.start(), len(data), FEED))
+            read = [0]
+            chunks = _fed(data, m.start(), read)
             for e in ends:
                 chunks = _inflated(chunks, e)
 
             def noted(chunks: Iterator[bytes] = chunks) -> Iterator[bytes]:
                 nonlocal head
                 for chunk in chunks:
-                    head = head if len(head) > 2 else head + chunk[:3]
+                    head = head if len(head) >= HEAD else head + chunk[:HEAD]
                     digest.update(chunk)
                     yield chunk
 
@@ -230,12 +326,12 @@ def _unpacked(data: bytes) -> Iterator[tuple[str, bool]]:
             for text in _pieces(noted()):
                 first = text if first is None else first
                 if _rich(text):
-                    yield text, not told
+                    yield text, not told, m.start()
                     told = True
             if first and not told and ends[-1] and _readable(first):
-                yield first, True
+                yield first, True, m.start()
             if digest.digest() in seen or not PACKED.match(head):
-                done = ends[0][-1] + m.start() if ends[0] else done
+                done = max(done, ends[0][-1] + m.start() if ends[0] else read[-1] - FEED)
                 break
             seen.add(digest.digest())
             depth += 1
@@ -252,13 +348,16 @@ def _runs(text: str) -> Iterator[list[range]]:
 def _decoded(layer: Layer, parts: list[range], phases: Sequence[int]) -> Iterator[Layer]:
     """The base64 characters of these parts, from the first, second, ... of them on."""
     whole = "".join(layer.text[p.start : p.stop] for p in parts).translate(STANDARD)
-    places = parts[0] if len(parts) == 1 or layer.same else [i for p in parts for i in p]
     # bytes of compressed data stand for no part of the text: the whole run is the source
     first, last = Same(layer.lo[parts[0][0]]), Same(layer.hi[parts[-1][-1]])
     for phase in phases:
         run = whole[phase : len(whole) - ((len(whole) - phase) % 4 == 1)]
-        data = binascii.a2b_base64(run + "=" * (-len(run) % 4))
-        for text, counts in _unpacked(data):
+        size = len(run)
+        data = binascii.a2b_base64(run + "=" * (-size % 4))
+        del run
+        for text, counts, _ in _unpacked(data):
+            yield Layer(text, first, last, counts)
+        for text, counts in _headless(data):
             yield Layer(text, first, last, counts)
         text = _text(data)
         if not _rich(text) and not _readable(text):
@@ -266,13 +365,32 @@ def _decoded(layer: Layer, parts: list[range], phases: Sequence[int]) -> Iterato
         if layer.same:
             yield Layer(text, first, last)
             continue
-        lo, hi, at = [], [], 0
-        for c in text:
-            end = at + _width(c)
-            lo.append(layer.lo[places[phase + at * 4 // 3]])
-            hi.append(layer.hi[places[phase + min(len(run), (end * 4 + 2) // 3) - 1]])
-            at = end
-        yield Layer(text, lo, hi)
+        starts = _starts(text, len(data))
+        del data
+        yield Layer(text, *(Grouped(of, parts, phase, size, starts, of is layer.hi) for of in (layer.lo, layer.hi)))
+
+
+def _packed(layer: Layer) -> Iterator[Layer]:
+    """Compressed data whose bytes were escaped, as bytes or as the characters of the same numbers. What is found comes from
+    where the data begin to where they end; those that were cut off end with the last word with an escape."""
+    cut = m.end() if (m := ESCAPED.match(layer.text)) else 0
+    if not cut:
+        return
+    for code, handler in (("utf-8", "surrogateescape"), ("latin-1", "replace")):
+        try:
+            data = layer.text.encode(code, handler)
+        except UnicodeEncodeError:
+            continue
+        spans = {}
+        for text, counts, at in _unpacked(data):
+            if at not in spans:
+                ends: list[int] = []
+                for _ in _inflated(_fed(data, at), ends):
+                    pass
+                start = len(data[:at].decode(code, handler))
+                end = len(data[: at + ends[-1]].decode(code, handler)) if ends else max(cut, start + 1)
+                spans[at] = Same(layer.lo[start]), Same(layer.hi[end - 1])
+            yield Layer(text, *spans[at], counts)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -289,8 +407,10 @@ def _base64(layer: Layer) -> Iterator[Layer]:
 def unwrapped(layer: Layer) -> Iterator[Layer]:
     if "%" in layer.text:
         yield from _lines(layer, PERCENT, _percent)
-    if "\\" in layer.text or "&#x" in layer.text:
+    if "\\" in layer.text or "&" in layer.text:
         yield from _lines(layer, ESCAPE, _escape)
+    if layer.raw:
+        yield from _packed(layer)
     yield from _base64(layer)
 
 
@@ -300,16 +420,19 @@ def find(text: str | None) -> tuple[list[Span], list[Span], int]:
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = scan(text)
     every, seen, layers = set(base), {hashlib.sha256(text.encode()).digest()}, 0
-    work = deque([Layer(text, range(len(text)), range(1, len(text) + 1))])
+    work = [unwrapped(Layer(text, Shifted(0), Shifted(1)))]
     while work:
-        for layer in unwrapped(work.popleft()):
-            key = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest() + bytes(f"{layer.lo[0]}:{layer.hi[-1]}", "ascii")
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += layer.counts
-            every.update((k, *layer.span(a, b)) for k, a, b in scan(layer.text))
-            work.append(layer)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest() + bytes("%d:%d" % layer.span(0, len(layer.text)), "ascii")
+        if key in seen:
+            continue
+        seen.add(key)
+        layers += layer.counts
+        every.update((k, *layer.span(a, b)) for k, a, b in scan(layer.text))
+        work.append(unwrapped(layer))
     return sorted(base, key=order), sorted(every, key=order), layers
 
 
