@@ -34,6 +34,11 @@ def _mapped(udt: Column, which: int) -> Column:
     return out.otherwise(F.lit(None).cast("string"))
 
 
+def json_form(udt: Column) -> tuple[Column, Column]:
+    """JSON Schema type and format of a database type, null if there is none."""
+    return _mapped(udt, 0), _mapped(udt, 1)
+
+
 def _quoted(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 

@@ -35,6 +35,12 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
     compared in ever wider cuts, in which only the first and last row of a cut go on to the next, so that no
     task orders a whole table.
     """
+    return describe(transitions(snapshots, stretches))
+
+
+def transitions(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES, firsts: bool = False) -> DataFrame:
+    """The rows of ``schema_changes`` with what was before: ``_prev``, ``_prev_names``; with ``firsts`` the first row of each
+    table too, without them. ``column_names`` may be whatever else a schema is to be told by."""
     width = stretches[0] if stretches else None
     folded, keys = shelve(fold(snapshots, width)), _STRETCH
     w = Window.partitionBy(*keys).orderBy("seq", "column_fingerprint")
@@ -48,7 +54,7 @@ def schema_changes(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -
         inside = _cut(snapshots, width).alias("r").join(m, same, "left_semi").withColumn("_prev", prev)
         starts = inside.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("column_fingerprint"))).drop("_prev")
         runs = runs.alias("r").join(m, same, "left_anti").select(*runs.columns).unionByName(starts.select(*runs.columns))
-    return describe(_transitions(runs.drop("stretch").withColumn("_open", F.lit(True)), stretches[1:]))
+    return _transitions(runs.drop("stretch").withColumn("_open", F.lit(True)), stretches[1:], firsts)
 
 
 _STRETCH = [*TABLE, "is_state", "stretch"]
@@ -68,7 +74,7 @@ def fold(snapshots: DataFrame, width: int | None) -> DataFrame:
     return cut.agg(F.min("seq").alias("seq"), F.max("seq").alias("_end"))
 
 
-def _transitions(rows: DataFrame, stretches: Sequence[int]) -> DataFrame:
+def _transitions(rows: DataFrame, stretches: Sequence[int], firsts: bool = False) -> DataFrame:
     """Rows whose predecessor has another fingerprint, with that one's; ``_open`` rows are still without predecessor."""
     found = []
     for width in (*stretches, None):
@@ -92,6 +98,9 @@ def _transitions(rows: DataFrame, stretches: Sequence[int]) -> DataFrame:
             "seq", *TABLE, "is_state", "column_fingerprint", "column_names",
             (F.col("_open") & F.col("_prev").isNull()).alias("_open"),
         )
+    if firsts:
+        none = [F.lit(None).cast(found[0].schema[c].dataType).alias(c) for c in ("_prev", "_prev_names")]
+        found.append(rows.where("_open").select("seq", *TABLE, *none, "column_fingerprint", "column_names"))
     return reduce(DataFrame.unionByName, found)
 
 

@@ -484,6 +484,38 @@ EXPECTED: dict[str, str] = {
           coalesce((SELECT string_agg('col_' || i, ',' ORDER BY 'col_' || i) FROM range(12) r(i)
             WHERE (bits >> i) & 1 = 0 AND (old >> i) & 1 = 1), '') AS removed_columns
         FROM s WHERE old IS NOT NULL AND old <> bits""",
+    "schema_versions": _changes(
+        """, step AS (SELECT *, lag(fp) OVER w AS prev, lag(names) OVER w AS prev_names FROM seen
+          WINDOW w AS (PARTITION BY sch, tbl ORDER BY seq)),
+        moves AS (SELECT *, CASE WHEN prev IS NULL THEN 'first' WHEN names <> prev_names THEN 'addition' ELSE 'model' END AS change
+          FROM step WHERE prev IS NULL OR prev <> fp),
+        n AS (SELECT *, count(*) FILTER (change = 'model') OVER (PARTITION BY sch, tbl ORDER BY seq) AS m FROM moves)
+        SELECT seq, sch AS table_schema, tbl AS table_name,
+          (1 + m) || '-0-' || count(*) FILTER (change = 'addition') OVER (PARTITION BY sch, tbl, m ORDER BY seq) AS version, change,
+          CASE change WHEN 'addition' THEN 'country' ELSE '' END AS added, '' AS dropped,
+          CASE change WHEN 'model' THEN 'total' ELSE '' END AS retyped, '' AS widened, '' AS tightened, '' AS loosened FROM n""",
+        _VERSIONS,
+    ),
+    "schema_version_history": """
+        WITH p AS (SELECT p_partkey AS k, lower(p_type) AS t, lag(p_partkey) OVER (PARTITION BY p_type ORDER BY p_partkey) AS o FROM part),
+        c AS (SELECT k, t, o, i, (k >> i) & 1 = 1 AS has, (o >> i) & 1 = 1 AS had, (k // 16 + i) % 3 AS kind, (o // 16 + i) % 3 AS was,
+          (k + i) % 5 <> 0 AS nul, (o + i) % 5 <> 0 AS nulled, 'col_' || i AS name FROM p, range(8) r(i)),
+        d AS (SELECT k, t, any_value(o) AS o,
+          bool_or(has <> had OR has AND (kind <> was OR nul <> nulled)) AS moved,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (has AND NOT had), '') AS added,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (had AND NOT has), '') AS dropped,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (has AND had AND kind <> was AND NOT (was = 0 AND kind = 1)), '') AS retyped,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (has AND had AND was = 0 AND kind = 1), '') AS widened,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (has AND had AND nulled AND NOT nul), '') AS tightened,
+          coalesce(string_agg(name, ',' ORDER BY name) FILTER (has AND had AND nul AND NOT nulled), '') AS loosened,
+          coalesce(bool_or(has AND NOT had AND NOT nul), false) AS must FROM c GROUP BY k, t),
+        e AS (SELECT *, CASE WHEN o IS NULL THEN 'first' WHEN dropped <> '' OR retyped <> '' THEN 'model'
+          WHEN tightened <> '' OR must THEN 'revision' ELSE 'addition' END AS change FROM d WHERE o IS NULL OR moved),
+        m AS (SELECT *, count(*) FILTER (change = 'model') OVER (PARTITION BY t ORDER BY k) AS m FROM e),
+        r AS (SELECT *, count(*) FILTER (change = 'revision') OVER (PARTITION BY t, m ORDER BY k) AS r FROM m)
+        SELECT k AS seq, 'public' AS table_schema, t AS table_name,
+          (1 + m) || '-' || r || '-' || count(*) FILTER (change = 'addition') OVER (PARTITION BY t, m, r ORDER BY k) AS version,
+          change, added, dropped, retyped, widened, tightened, loosened FROM r""",
     # accounting
     "flow_totals": _changes(
         """SELECT count(*) AS received, count(*) FILTER (reason IS NULL) AS emitted,

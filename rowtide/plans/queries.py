@@ -14,6 +14,7 @@ from rowtide.operators import accounting, assemble, catalog, control, drift, lin
 from rowtide.operators.envelope import cell, parse, schema_snapshots, true_timestamp, with_fingerprint
 from rowtide.operators.project import KEEP_NULLS, project
 from rowtide.operators.schema_change import latest_snapshots, schema_changes
+from rowtide.operators.schema_version import property_snapshots, schema_versions as number_versions
 from rowtide.operators.transactions import transactions as find_transactions
 from rowtide.plans import feeds, fleet
 from rowtide.plans.feeds import APP_ID, CONTRACTS, CUSTOMERS, ORDERS
@@ -461,6 +462,35 @@ def schema_change_diff(spark, sf):
     return found.select("seq", "table", _joined("added_columns"), _joined("removed_columns"))
 
 
+def _versions_of(found):
+    lists = ("added", "dropped", "retyped", "widened", "tightened", "loosened")
+    return found.select("seq", "table_schema", "table_name", "version", "change", *map(_joined, lists))
+
+
+@query
+def schema_versions(spark, sf):
+    """Versions of the shop's tables, as its feed shows them."""
+    return _versions_of(number_versions(property_snapshots(parse(control.drop_control(feeds.shop_feed(spark, sf))))))
+
+
+@query
+def schema_version_history(spark, sf):
+    """Every part as a release of its type's schema: which of eight columns it has, their types and nulls follow from the key."""
+    k = F.col("p_partkey")
+
+    def column(i):
+        kind = F.element_at(F.array(*map(F.lit, ("integer", "number", "string"))), (F.expr("cast(p_partkey div 16 as int)") + i) % 3 + 1)
+        c = F.struct(F.lit(f"col_{i}").alias("field"), kind.alias("kind"), F.lit("").alias("form"), ((k + i) % 5 != 0).alias("nullable"))
+        return F.when(k.bitwiseAND(1 << i) > 0, c)
+
+    props = F.array_compact(F.array(*[column(i) for i in range(8)]))
+    releases = feeds.table(spark, sf, "part").select(
+        k.alias("seq"), F.lit("public").alias("table_schema"), F.lower("p_type").alias("table_name"),
+        F.sha2(F.to_json(props), 256).alias("column_fingerprint"), props.alias("properties"),
+    )
+    return _versions_of(number_versions(releases, stretches=(64, 1024)))
+
+
 # Accounting
 
 
