@@ -69,6 +69,31 @@ def test_ibans_end_before_capital_words_and_numbers():
     assert [text[a:b] for _, a, b in got] == numbers
 
 
+def test_ibans_have_the_length_of_their_country():
+    assert [s for s, _ in pii.find("to de89 3704 0044 0532 0130 00 now")[1]] == [("iban", 3, 30)]
+    assert [s for s, _ in pii.find("to gb82west12345698765432 now")[1]] == [("iban", 3, 25)]
+    assert pii.find("to De89370400440532013000")[1] == []
+    rng, letters, false = random.Random(8), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", 0
+    for _ in range(20_000):
+        code = rng.choice(letters) + rng.choice(letters) + f"{rng.randrange(100):02}"
+        code += "".join(rng.choice(letters + "0123456789" * 3) for _ in range(rng.randint(11, 30)))
+        false += any(s[0] == "iban" for s, _ in pii.find(f"code {code} here")[1])
+    assert false < 20
+
+
+def test_person_numbers_and_words_against():
+    kinds = lambda text: [s[0] for s, _ in pii.find(text)[1]]
+    assert kinds("o cpf 529.982.247-25 dele") == ["cpf"] and kinds("um 529.982.247-25 dele") == ["cpf"]
+    assert kinds("o cpf 529.982.247-26 dele") == [] and kinds("o cpf 111.111.111-11") == []
+    assert kinds("su DNI 12345678Z") == ["dni"] and kinds("su DNI 12345678A") == [] and kinds("lote 12345678Z") == []
+    assert kinds("nir 2 55 08 14 168 025 38") == ["nir"] and kinds("nir 2 55 08 14 168 025 39") == []
+    for never in ("000-12-3456", "666-12-3456", "900-12-3456", "123-00-4567", "123-45-0000"):
+        assert kinds(f"my ssn is {never}") == []
+    assert kinds("my ssn is 078-05-1120") == ["ssn"] and kinds("sample ssn 078-05-1120") == []
+    assert kinds("credit card 378282246310005") == ["account"] and kinds("card model 378282246310005") == []
+    assert kinds("isbn card 4111 1111 1111 1111") == ["card"]  # base spans stay
+
+
 def test_masking():
     assert pii.masked("to a@b.cd, card 4111 1111 1111 1111!") == "to <EMAIL>, card <CARD>!"
     assert pii.masked("none") == "none"
