@@ -328,6 +328,35 @@ EXPECTED: dict[str, str] = {
         UNION ALL SELECT 'public', 'line_items', c.name, c.i, c.i = 3, c.dt, c.udt FROM (SELECT max(l_orderkey) FROM lineitem
           HAVING count(*) > 0), (VALUES (1, 'orderkey', 'bigint', 'int8'), (2, 'linenumber', 'integer', 'int4'),
           (3, 'quantity', 'text', 'text')) c(i, name, dt, udt)""",
+    "landed_catalog": """
+        WITH o AS (
+          SELECT o_orderkey AS k, o_custkey, o_orderstatus, o_totalprice, CASE WHEN o_orderkey % 107 = 13 THEN 'garbage'
+            WHEN o_orderkey % 103 = 11 THEN 'nonstring' WHEN o_orderkey % 101 = 9 THEN 'foreign' WHEN o_orderkey % 97 = 5 THEN 'noschema'
+            WHEN o_orderkey % 89 = 3 THEN 'noimage' WHEN o_orderkey % 10 = 9 THEN 'truncate' ELSE 'ok' END AS kind FROM orders),
+        i AS (SELECT CASE WHEN kind = 'foreign' THEN 'widgets' ELSE 'orders' END AS t, * FROM o
+          WHERE kind IN ('nonstring', 'foreign', 'noschema', 'noimage') OR kind = 'ok' AND k % 10 <> 7)
+        SELECT 'public' AS table_schema, t AS table_name, name, ordinal, is_nullable, data_type, udt_name, conflict FROM (
+          SELECT t, 'id' AS name, 1::BIGINT AS ordinal, bool_or(k IS NULL) AS is_nullable, 'bigint' AS data_type, 'int8' AS udt_name,
+            '' AS conflict FROM i GROUP BY t
+          UNION ALL SELECT t, 'customer_id', 2, bool_or(o_custkey IS NULL), 'bigint', 'int8', '' FROM i GROUP BY t
+          UNION ALL SELECT t, 'status', 3, bool_or(o_orderstatus IS NULL),
+            CASE WHEN bool_and(kind = 'nonstring') THEN 'bigint' ELSE 'text' END,
+            CASE WHEN bool_and(kind = 'nonstring') THEN 'int8' ELSE 'text' END,
+            CASE WHEN bool_or(kind = 'nonstring') AND bool_or(kind <> 'nonstring') THEN 'bigint|text' ELSE '' END FROM i GROUP BY t
+          UNION ALL SELECT t, 'total', 4, bool_or(o_totalprice IS NULL), 'text', 'text', '' FROM i GROUP BY t
+          UNION ALL SELECT 'customers', c.name, c.i, false, c.dt, c.udt, '' FROM (SELECT max(c_custkey) FROM customer
+            HAVING count(*) > 0), (VALUES (1, 'id', 'bigint', 'int8'), (2, 'email', 'text', 'text'),
+            (3, 'full_name', 'text', 'text'), (4, 'password_hash', 'text', 'text')) c(i, name, dt, udt)
+          UNION ALL SELECT 'line_items', c.name, c.i, false, c.dt, c.udt, '' FROM (SELECT max(l_orderkey) FROM lineitem
+            HAVING count(*) > 0), (VALUES (1, 'orderkey', 'bigint', 'int8'), (2, 'linenumber', 'bigint', 'int8'),
+            (3, 'quantity', 'text', 'text')) c(i, name, dt, udt))""",
+    "snapshot_in_chunks": """
+        WITH o AS (
+          SELECT o_orderkey AS id, o_orderstatus AS old, o_orderkey // 256 * 2048 AS base, o_orderkey % 5 = 0 AS changed,
+            o_orderkey // 256 * 2048 + o_orderkey * 37 % 2048 AS pos FROM orders WHERE NOT (o_orderkey % 15 = 0))
+        SELECT id, CASE WHEN changed THEN 'changed' ELSE old END AS status,
+          NOT (changed AND pos > base + 512) AS is_snapshot,
+          CASE WHEN changed AND pos > base + 512 THEN pos ELSE base + 1536 END AS seq FROM o""",
     # filters and rejection
     "drop_tombstones": f"WITH {_FEED} SELECT seq, destination FROM f WHERE has_value",
     "drop_heartbeats": f"WITH {_FEED} SELECT seq, has_value FROM f WHERE destination = 'cdc.public.orders'",

@@ -233,3 +233,41 @@ def shop_contract_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(names).alias("col_pos", "column"), (k * 256 + 200000000000).alias("valid_from"),
     ).select("*", none.alias("rename"), F.col("column").alias("output_name"), F.lit(False).alias("exclude"), chain.alias("transforms"))
     return fixed.unionByName(line_items)
+
+
+#: Keys of a chunk of the moving orders. The log has ``CHUNK * 8`` positions for each chunk, its read is in their middle.
+CHUNK = 256
+
+
+def _moving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders while they are read: every fifth is changed once, at ``at``, and every third of these is deleted by that."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    chunk = F.floor(k / CHUNK).cast("bigint")
+    return o.select(
+        k.alias("id"), F.col("o_orderstatus").alias("old"), chunk.alias("chunk"), (chunk * CHUNK * 8).alias("begin"),
+        F.when(k % 5 == 0, chunk * CHUNK * 8 + k * 37 % (CHUNK * 8)).alias("at"), (k % 3 == 0).alias("gone"),
+    )
+
+
+def moving_orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of the orders while they are read."""
+    o = _moving(spark, sf_dir).where(F.col("at").isNotNull())
+    block = schema_block([("id", "int64", False), ("status", "string", True)])
+    image = lambda status: F.to_json(F.struct("id", status.alias("status")), NULLS)
+    after = F.when(~F.col("gone"), image(F.lit("changed")))
+    op = F.when(F.col("gone"), "d").otherwise("u")
+    source = source_json(F.lit("orders"), F.col("at"), F.col("id"), F.lit(1714400000000), F.lit("false"))
+    return o.select(
+        F.col("at").alias("seq"), F.lit("cdc.public.orders").alias("destination"), F.to_json(F.struct("id")).alias("key"),
+        envelope(block, image(F.col("old")), after, source, op).alias("value"),
+    )
+
+
+def moving_orders_read(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The orders as each chunk's read saw them, and the chunks with the positions noted around their reads."""
+    o = _moving(spark, sf_dir)
+    done = F.coalesce(F.col("at") <= F.col("begin") + CHUNK * 4, F.lit(False))
+    rows = o.where(~(done & F.col("gone"))).select("id", F.when(done, "changed").otherwise(F.col("old")).alias("status"))
+    chunks = o.select("chunk", (F.col("begin") + CHUNK * 2).alias("low"), (F.col("begin") + CHUNK * 6).alias("high")).distinct()
+    return rows, chunks

@@ -11,6 +11,7 @@ from rowtide.contract import CellTransform, ColumnSpec, TableContract, contract_
 from rowtide.functions import lsn_text, slugify
 from rowtide.functions.cells import apply_chain
 from rowtide.operators import accounting, assemble, catalog, control, drift, lint, scaffold
+from rowtide.operators.infer import cell_kinds, landed_columns
 from rowtide.operators.envelope import cell, parse, schema_snapshots, true_timestamp, with_fingerprint
 from rowtide.operators.project import KEEP_NULLS, project
 from rowtide.operators.schema_change import latest_snapshots, schema_changes
@@ -19,6 +20,7 @@ from rowtide.operators.transactions import transactions as find_transactions
 from rowtide.plans import feeds, fleet
 from rowtide.plans.feeds import APP_ID, CONTRACTS, CUSTOMERS, ORDERS
 from rowtide.sources.catalog import observed_columns
+from rowtide.sources.chunks import chunked_snapshot
 from rowtide.session import shared_folder
 from rowtide.sources.feed import commit_order, snapshot_feed, union_feeds, with_snapshot
 from rowtide.sources.landing import land, read_landed
@@ -146,6 +148,29 @@ def observed_catalog(spark, sf):
     return cols.select("table_schema", "table_name", "name", _long("ordinal"), "is_nullable", "data_type", "udt_name")
 
 
+@query
+def landed_catalog(spark, sf):
+    kinds = cell_kinds(parse(control.drop_control(feeds.shop_feed(spark, sf))))
+    cols = landed_columns(kinds).withColumn("conflict", F.coalesce("conflict", F.lit("")))
+    return cols.select("table_schema", "table_name", "name", _long("ordinal"), "is_nullable", "data_type", "udt_name", "conflict")
+
+
+@query
+def snapshot_in_chunks(spark, sf):
+    """The last state of each order after a snapshot in chunks beside its changes."""
+    parsed = parse(feeds.moving_orders_feed(spark, sf))
+    rows, chunks = feeds.moving_orders_read(spark, sf)
+    snapshot = chunked_snapshot(
+        rows, parsed, chunks, db=feeds.DB, schema="public", name="orders", primary_key=("id",), width=feeds.CHUNK
+    )
+    both = commit_order(parse(union_feeds(snapshot, feeds.moving_orders_feed(spark, sf))))
+    row = F.coalesce("after", "before")
+    at = lambda name, kind: F.try_variant_get(cell(row, name), "$", kind).alias(name)
+    both = both.select("seq", "op", "is_snapshot", at("id", "bigint"), at("status", "string"))
+    last = both.groupBy("id").agg(F.max_by(F.struct("op", "status", "is_snapshot", "seq"), "seq").alias("last"))
+    return last.where("last.op <> 'd'").select("id", "last.status", "last.is_snapshot", "last.seq")
+
+
 # Filters and rejection
 
 

@@ -86,14 +86,15 @@ def snapshot_feed(
     seq: Column | None = None,
     destination_prefix: str = "cdc",
     flag: str = "true",
+    leave_out: Sequence[str] = (),
 ) -> DataFrame:
     """Existing rows of a table as read (``r``) envelopes.
 
     The schema block is taken from the DataFrame's types. Without ``seq`` a row's place is a hash of its key, below zero and
-    so ahead of any change, the same on every run.
+    so ahead of any change, the same on every run. Columns in ``leave_out`` serve the other arguments and are no part of the row.
     """
-    fields = [f.name for f in table.schema]
-    block = _schema_block(table.schema, primary_key)
+    fields = [f.name for f in table.schema if f.name not in leave_out]
+    block = _schema_block(T.StructType([table.schema[c] for c in fields]), primary_key)
     row = F.to_json(F.struct(*[_wire(table.schema[c]).alias(c) for c in fields]), {"ignoreNullFields": "false"})
     as_column = lambda v: v if isinstance(v, Column) else F.lit(v)
     source = F.to_json(
