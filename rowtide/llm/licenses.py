@@ -5,6 +5,8 @@ document is then matched against rules in their order. A rule is a run of identi
 earlier rule took, later ones do not see. All of it happens within a row, so nothing is shuffled.
 
 A sentence that is not known as a whole is tried line by line, for notices that stand below a line without a full stop.
+A line with an SPDX tag is an expression of identifiers; each is a sentence of its own, and an exception goes to the licence it
+stands behind. Names of licences, in notices and in titles, are made from a list of families by rule. An empty table gives no rows.
 A null or empty text has no sentences. Rows are treated by themselves; columns besides doc_id and text are left out.
 """
 
@@ -20,6 +22,7 @@ from rowtide.llm.common import table
 
 # Texts of licence notices, in the form that `normalised` gives them.
 SENTENCES = {
+    "mit-title": "mit license mit",
     "mit-name": "under mit license",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
     "documentation files the software to deal in the software without restriction including without limitation the rights to use "
@@ -78,10 +81,102 @@ SENTENCES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
     "rights-reserved": "all rights reserved",
 }
+# Identifiers of licences with the names that notices give them, in normal form. Of those with a version the name is
+# without it; the version is what the identifier ends in.
+FAMILIES = {
+    "0BSD": ("zero-clause bsd license", "bsd zero clause license"),
+    "AFL-3.0": ("academic free license",),
+    "Apache-1.1": ("apache software license",),
+    "Apache-2.0": ("apache license", "apache software license", "apache public license"),
+    "Artistic-1.0": ("artistic license",),
+    "Artistic-2.0": ("artistic license",),
+    "BlueOak-1.0.0": ("blue oak model license",),
+    "BSD-2-Clause": ("simplified bsd license", "freebsd license", "2-clause bsd license", "two-clause bsd license"),
+    "BSD-3-Clause": ("new bsd license", "modified bsd license", "revised bsd license", "3-clause bsd license", "three-clause bsd license"),
+    "BSD-4-Clause": ("original bsd license", "4-clause bsd license", "bsd 4-clause license"),
+    "BSL-1.0": ("boost software license",),
+    "CC0-1.0": ("cc0", "creative commons zero", "creative commons cc0"),
+    "CDDL-1.0": ("common development and distribution license", "cddl"),
+    "CDDL-1.1": ("common development and distribution license", "cddl"),
+    "CECILL-2.1": ("cecill free software license agreement", "cecill"),
+    "CPL-1.0": ("common public license",),
+    "ECL-2.0": ("educational community license",),
+    "EPL-1.0": ("eclipse public license", "epl"),
+    "EPL-2.0": ("eclipse public license", "epl"),
+    "EUPL-1.1": ("european union public license", "eupl"),
+    "EUPL-1.2": ("european union public license", "eupl"),
+    "HPND": ("historical permission notice and disclaimer",),
+    "IPL-1.0": ("ibm public license",),
+    "ISC": ("isc license",),
+    "LPPL-1.3c": ("latex project public license", "lppl"),
+    "MIT": ("mit license", "expat license", "mit expat license", "mit open source license", "mit software license"),
+    "MIT-0": ("mit no attribution license", "mit no attribution"),
+    "MPL-1.1": ("mozilla public license", "mpl"),
+    "MPL-2.0": ("mozilla public license", "mpl"),
+    "MS-PL": ("microsoft public license",),
+    "MS-RL": ("microsoft reciprocal license",),
+    "MulanPSL-2.0": ("mulan psl", "mulan permissive software license"),
+    "NCSA": ("university of illinois ncsa open source license", "ncsa license"),
+    "ODbL-1.0": ("open database license", "odc open database license", "open data commons open database license", "odbl"),
+    "OFL-1.1": ("sil open font license", "open font license", "ofl"),
+    "OSL-3.0": ("open software license",),
+    "PHP-3.01": ("php license",),
+    "PostgreSQL": ("postgresql license",),
+    "PSF-2.0": ("python software foundation license", "psf license"),
+    "Ruby": ("ruby license",),
+    "Unlicense": ("unlicense",),
+    "UPL-1.0": ("universal permissive license", "upl"),
+    "Vim": ("vim license",),
+    "W3C": ("w3c software notice and license", "w3c license"),
+    "WTFPL": ("wtfpl", "do what the fuck you want to public license"),
+    "X11": ("x11 license", "mit x11 license"),
+    "Zlib": ("zlib license", "zlib libpng license"),
+}
+# Licences of the GNU project, which come with later versions or without, by the start of their identifiers.
+GNU = {
+    "GPL": (("gnu general public license", "gpl", "gnu gpl"), ("1.0", "2.0", "3.0")),
+    "LGPL": (("gnu lesser general public license", "gnu library general public license", "lgpl", "gnu lgpl"), ("2.0", "2.1", "3.0")),
+    "AGPL": (("gnu affero general public license", "agpl", "gnu agpl"), ("1.0", "3.0")),
+    "GFDL": (("gnu free documentation license", "gfdl"), ("1.1", "1.2", "1.3")),
+}
+# Exceptions that stand behind WITH in an expression.
+EXCEPTIONS = (
+    "Autoconf-exception-3.0", "Bison-exception-2.2", "Classpath-exception-2.0", "Font-exception-2.0", "GCC-exception-3.1",
+    "Linux-syscall-note", "LLVM-exception", "OpenSSL-exception", "Swift-exception",
+)
+# Titles of licence texts, in normal form, with what they stand for.
+TITLES = {
+    "apache license version 2.0 january 2004": "Apache-2.0",
+    "apache license version 2.0 january 2004 http www.apache.org licenses": "Apache-2.0",
+    "apache license version 2.0 january 2004 https www.apache.org licenses": "Apache-2.0",
+    "gnu general public license version 1 february 1989": "GPL-1.0-only",
+    "gnu general public license version 2 june 1991": "GPL-2.0-only",
+    "gnu general public license version 3 29 june 2007": "GPL-3.0-only",
+    "gnu lesser general public license version 2.1 february 1999": "LGPL-2.1-only",
+    "gnu lesser general public license version 3 29 june 2007": "LGPL-3.0-only",
+    "gnu library general public license version 2 june 1991": "LGPL-2.0-only",
+    "gnu affero general public license version 3 19 november 2007": "AGPL-3.0-only",
+    "gnu free documentation license version 1.3 3 november 2008": "GFDL-1.3-only",
+    "mozilla public license version 2.0": "MPL-2.0",
+    "mozilla public license version 1.1": "MPL-1.1",
+    "eclipse public license v 1.0": "EPL-1.0",
+    "eclipse public license v 2.0": "EPL-2.0",
+    "boost software license version 1.0 august 17th 2003": "BSL-1.0",
+    "sil open font license version 1.1 26 february 2007": "OFL-1.1",
+    "european union public license v 1.2": "EUPL-1.2",
+    "do what the fuck you want to public license version 2 december 2004": "WTFPL",
+    "creative commons legal code cc0 1.0 universal": "CC0-1.0",
+}
+#: How an identifier is given by itself; behind it may be several, with AND, OR and WITH between them.
+TAG = "spdx-license-identifier "
+#: An identifier of a sentence that says a licence by itself, with the licence behind it, and one of an exception.
+IS, WITH = "is:", "with:"
 #: Ordered: of rules that begin alike the longer comes first. A notice of rights alone names no licence and is no rule.
 RULES = (
+    ("MIT", ("mit-title", "mit-grant", "mit-notice", "mit-as-is", "mit-liability")),
     ("MIT", ("mit-name", "mit-grant", "mit-notice", "mit-as-is", "mit-liability")),
     ("MIT", ("mit-grant", "mit-notice", "mit-as-is", "mit-liability")),
+    ("MIT", ("mit-title", "mit-grant", "mit-notice")),
     ("MIT", ("mit-grant", "mit-notice")),
     ("ISC", ("isc-name", "isc-grant")),
     ("ISC", ("isc-grant",)),
@@ -96,6 +191,7 @@ RULES = (
     ("GPL-3.0-or-later", ("gpl3-later-grant", "gpl-hope", "gpl-see")),
     ("GPL-2.0-or-later", ("gpl2-later-grant",)),
     ("GPL-3.0-or-later", ("gpl3-later-grant",)),
+    ("MIT", ("mit-title",)),
     ("MIT", ("mit-name",)),
     ("ISC", ("isc-name",)),
     ("BSD-2-Clause", ("bsd2-name",)),
@@ -125,17 +221,26 @@ STEPS = (
     (r"-sharealike", "-sa"),
     (r"-noderivatives|-noderivs", "-nd"),
     (r"licence", "license"),
+    (r"([0-9])\+", "{1}-or-later"),
     (r"[^a-z0-9.\-]+", " "),
     (r"(^| )[.\-]+|[.\-]+( |$)", " "),
     (r" +", " "),
     (r"^ | $", ""),
+    (r"^the (mit license mit)$", "{1}"),
     (
-        r"^((this|the) (work|software|project|program|code|library|file|document|content|package|text|page) is )?"
+        r"^((this|the) (work|software|project|program|code|library|file|document|content|package|text|page|database|dataset|font|module|plugin|repository|book|image|material) is )?"
         r"(licensed|released|distributed|published|provided|available|made available) under ",
         "under ",
     ),
     (r"^under (the )?terms of ", "under "),
     (r"^under (the|a|an) ", "under "),
+    (
+        r"^(under .+?),? (see|found in|as found in|which can be found in|included in|as described in|as stated in) "
+        r"(the )?((accompanying|included|enclosed|attached) )?(file )?(named )?(license|copying|readme|notice)[a-z0-9. \-]*$",
+        "{1}",
+    ),
+    (r"^(under .*[0-9].*?) or (at your option )?(any )?(later|newer|higher)( version)?s?$", "{1} or later"),
+    (r"^under (.*) v ?([0-9.]+) or later$", "under {1} version {2} or later"),
     (r"^under (.*) v ?([0-9.]+)( license)?$", "under {1} version {2}"),
     (r"^under (gnu general public license|gpl|gnu gpl) (version )?([23])(\.0)?$", "under gnu general public license version {3}"),
     (r"^under apache license 2\.0$", "under apache license version 2.0"),
@@ -143,7 +248,7 @@ STEPS = (
 )
 #: What STEPS can put into a sentence that had nothing of the kind. All else in a normal form stands in the lower-cased text
 #: as it is: the steps, and the cutting into sentences and lines, join no letters or digits that something parted.
-MADE = ("cc", "by", "-nc", "-sa", "-nd", "license", "gnu", "general", "public", "version")
+MADE = ("cc", "by", "-nc", "-sa", "-nd", "license", "gnu", "general", "public", "version", "later")
 BORDER, LINE = "\x02", "\x01"
 
 
@@ -152,6 +257,10 @@ def hint_of(known: Iterable[str]) -> str:
     word of each that the steps cannot make, or the word license in the forms that they make it of."""
 
     def needed(sentence: str) -> str:
+        if sentence.startswith(TAG):
+            return "spdx-licen[cs]e-identifier"
+        if "gpl" in sentence:
+            return "gpl"
         words = {w: re.escape(w) for w in sentence.split() if not any(m in w for m in MADE)}
         if "license" in sentence.split():
             words["license"] = "licen[cs]e|gpl"
@@ -161,8 +270,62 @@ def hint_of(known: Iterable[str]) -> str:
     return "|".join(sorted({needed(s) for s in known}))
 
 
+def _normal(sentence: str) -> str:
+    """``normalised`` of ASCII text."""
+    out = sentence.lower()
+    for pattern, replacement in STEPS:
+        out = re.sub(pattern, re.sub(r"\{(\d)\}", r"\\\1", replacement), out)
+    return out
+
+
+def _named() -> dict[str, str]:
+    """Normal sentences that say a licence by its name or its identifier, with ``IS`` or ``WITH`` and what they say."""
+    out = dict(TITLES)
+
+    def add(license_id: str, *names: str) -> None:
+        for name in names:
+            out.setdefault(_normal(name), license_id)
+
+    def add_id(license_id: str, written: str) -> None:
+        written = written.lower()
+        add(license_id, TAG + written, f"under {written}", f"under {written} license", f"license {written}")
+
+    def add_versions(license_id: str, name: str, version: str, later: str = "") -> None:
+        for v in {version, version.removesuffix(".0")}:
+            for form in (f"{name} version {v}", f"{name} {v}", f"{name}-{v}"):
+                add(license_id, f"under {form}{later}")
+
+    for start, (names, versions) in GNU.items():
+        for version in versions:
+            whole = f"{start}-{version}"
+            for license_id, later in ((f"{whole}-only", ""), (f"{whole}-only", " only"), (f"{whole}-or-later", " or later")):
+                for name in names:
+                    add_versions(license_id, name, version, later)
+            for license_id in (f"{whole}-only", f"{whole}-or-later"):
+                add_id(license_id, license_id)
+            add_id(f"{whole}-only", whole)  # as it was written before
+    for license_id, names in FAMILIES.items():
+        add_id(license_id, license_id)
+        name, _, version = license_id.rpartition("-")
+        for said in names:
+            if name and version[:1].isdigit() and "." in version:
+                add_versions(license_id, said, version)
+                add(license_id, f"under {said} {version} license")
+            else:
+                add(license_id, f"under {said}", *([] if "license" in said else [f"under {said} license"]))
+    for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):
+        for version in ("2.0", "2.5", "3.0", "4.0"):
+            license_id = f"CC-{kind.upper()}-{version}"
+            add_id(license_id, license_id)
+            add(license_id, f"under cc {kind} {version}")
+    says = {sentence: IS + license_id for sentence, license_id in out.items()}
+    return says | {TAG + e.lower(): WITH + e for e in EXCEPTIONS}
+
+
+#: All known sentences with their identifiers.
+KNOWN = _named() | {sentence: name for name, sentence in SENTENCES.items()}
 #: Texts without it are not cut up, and sentences without it not normalised.
-HINT = hint_of(SENTENCES.values())
+HINT = hint_of(KNOWN)
 
 
 def _java(replacement: str) -> str:
@@ -186,21 +349,31 @@ def sentences(text: Column) -> Column:
 
 def scan(
     docs: DataFrame,
-    known: Mapping[str, str] = SENTENCES,
+    known: Mapping[str, str] | None = None,
     rules: Sequence[tuple[str, Sequence[str]]] = RULES,
     hint: str | None = None,
 ) -> DataFrame:
     """(doc_id, n_sentences, sentence_ids, licenses) of each row: known sentences in their order, and licences in theirs,
-    both joined by commas. ``hint`` is a pattern that lower-cased texts with known sentences have; by default it is told
-    from ``known``."""
-    hint = hint_of(known.values()) if hint is None else hint
-    ids = F.create_map(*(F.lit(x) for name, sentence in known.items() for x in (sentence, name)))
-    name_of = lambda s: F.try_element_at(ids, normalised(s))
+    both joined by commas.
+
+    ``known`` has sentences by their identifiers; by default these are ``KNOWN``. Rules are tried in their order; what they leave is
+    a licence where the identifier says it by itself, and an exception goes to the licence before it. ``hint`` is a pattern that
+    lower-cased texts with known sentences have; by default it is told from ``known``.
+    """
+    names_of = KNOWN if known is None else {sentence: name for name, sentence in known.items()}
+    hint = hint_of(names_of) if hint is None else hint
+    ids = F.create_map(*(F.lit(x) for pair in names_of.items() for x in pair))
+    name_of = lambda s: F.try_element_at(ids, s)
+
+    def of_line(n: Column) -> Column:
+        terms = F.split(F.substr(n, F.lit(len(TAG) + 1)), " (or|and|with) ")
+        terms = F.transform(terms, lambda t: name_of(F.concat(F.lit(TAG), t)))
+        return F.when(n.startswith(TAG), terms).otherwise(F.array(name_of(n)))
 
     def names(sentence: Column) -> Column:
-        whole = name_of(sentence)
-        lines = F.when(sentence.contains(LINE), F.transform(F.split(sentence, LINE), name_of))
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.coalesce(lines, F.array()))
+        whole = name_of(normalised(sentence))
+        lines = F.flatten(F.transform(F.transform(F.split(sentence, LINE), normalised), of_line))
+        return F.when(whole.isNotNull(), F.array(whole)).otherwise(lines)
 
     hinted = F.when(F.lower("text").rlike(hint), F.lower("text"))
     found = F.coalesce(F.flatten(F.transform(F.filter(sentences(hinted), lambda s: s.rlike(hint)), names)), F.array())
@@ -209,6 +382,8 @@ def scan(
     left = F.array_join(F.transform("names", lambda name: F.concat(F.lit("["), name, F.lit("]"))), "")
     for license_id, run in rules:
         left = F.replace(left, F.lit("".join(f"[{name}]" for name in run)), F.lit(f"<{license_id}>"))
+    left = F.regexp_replace(left, rf"\[{IS}([^\]]*)\]", "<$1>")
+    left = F.regexp_replace(left, rf">\[{WITH}([^\]]*)\]", " WITH $1>")
     docs = docs.select("doc_id", "names", left.alias("left"))
     return docs.select(
         "doc_id", F.size("names").cast("long").alias("n_sentences"), F.array_join("names", ",").alias("sentence_ids"),
@@ -235,7 +410,9 @@ def _sql() -> str:
     left = f"coalesce(list_aggregate(list_transform({left}, lambda n: '[' || n || ']'), 'string_agg', ''), '')"
     for license_id, run in RULES:
         left = f"replace({left}, {quote(''.join(f'[{n}]' for n in run))}, '<{license_id}>')"
-    values = ", ".join(f"({quote(s)}, {quote(n)})" for n, s in SENTENCES.items())
+    left = f"regexp_replace({left}, '\\[{IS}([^\\]]*)\\]', '<\\1>', 'g')"
+    left = f"regexp_replace({left}, '>\\[{WITH}([^\\]]*)\\]', ' WITH \\1>', 'g')"
+    values = ", ".join(f"({quote(s)}, {quote(n)})" for s, n in KNOWN.items())
     return rf"""
 WITH known(sentence, name) AS (VALUES {values}),
 cut AS (
@@ -251,12 +428,20 @@ cut AS (
 ), lines AS (
   SELECT doc_id, pos, unnest(string_split(sentence, chr(1))) AS sentence,
     generate_subscripts(string_split(sentence, chr(1)), 1) AS line
-  FROM whole WHERE name IS NULL AND contains(sentence, chr(1))
+  FROM whole WHERE name IS NULL
+), normal_lines AS (SELECT doc_id, pos, line, {normal("sentence")} AS sentence FROM lines
+), terms AS (
+  SELECT doc_id, pos, line, unnest(string_split_regex(substr(sentence, {len(TAG) + 1}), ' (or|and|with) ')) AS term,
+    generate_subscripts(string_split_regex(substr(sentence, {len(TAG) + 1}), ' (or|and|with) '), 1) AS place
+  FROM normal_lines WHERE starts_with(sentence, '{TAG}')
 ), named AS (
-  SELECT doc_id, pos, line, name FROM whole WHERE name IS NOT NULL
+  SELECT doc_id, pos, line, 0 AS place, name FROM whole WHERE name IS NOT NULL
+  UNION ALL
+  SELECT l.doc_id, l.pos, l.line, 0, k.name FROM normal_lines l JOIN known k ON l.sentence = k.sentence
+    AND NOT starts_with(l.sentence, '{TAG}')
   UNION ALL
-  SELECT l.doc_id, l.pos, l.line, k.name FROM lines l JOIN known k ON {normal("l.sentence")} = k.sentence
-), listed AS (SELECT doc_id, list(name ORDER BY pos, line) AS names FROM named GROUP BY doc_id),
+  SELECT t.doc_id, t.pos, t.line, t.place, k.name FROM terms t JOIN known k ON '{TAG}' || t.term = k.sentence
+), listed AS (SELECT doc_id, list(name ORDER BY pos, line, place) AS names FROM named GROUP BY doc_id),
 matched AS (SELECT doc_id, names, {left} AS rest FROM listed)
 SELECT d.doc_id, coalesce(len(names), 0)::BIGINT AS n_sentences, coalesce(array_to_string(names, ','), '') AS sentence_ids,
   coalesce(array_to_string(regexp_extract_all(rest, '<([^>]*)>', 1), ','), '') AS licenses

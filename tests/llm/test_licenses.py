@@ -121,3 +121,59 @@ def test_query_equals_sql(spark, sf):
     got = sorted(map(tuple, licenses.op9_licenses(spark, sf).collect()))
     assert got == sorted(con.execute(licenses.OP9_SQL).fetchall())
     assert any(r[3] for r in got)
+
+
+# Notices as they stand in the files of projects, written down here and not made from the operator's lists.
+FOUND = [
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */", "GPL-2.0-only WITH Linux-syscall-note"),
+    ("# SPDX-License-Identifier: Apache-2.0 OR MIT\nimport os", "Apache-2.0,MIT"),
+    ("# Copyright 2020 Some One\n# SPDX-License-Identifier: (GPL-2.0+ OR BSD-3-Clause) AND MIT\n", "GPL-2.0-or-later,BSD-3-Clause,MIT"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 OR EPL-2.0", "GPL-2.0-only WITH Classpath-exception-2.0,EPL-2.0"),
+    ("SPDX-Licence-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: NotALicence-7", ""),
+    ("-- SPDX-License-Identifier: Zlib OR Nothing-1 OR ISC\n", "Zlib,ISC"),
+    ("This code is licensed under the MIT license, see LICENSE.", "MIT"), ("The MIT License (MIT)\n\nCopyright (c) 2015", "MIT"),
+    ("The MIT License (MIT)\n\nCopyright (c) 2015 A. Person\n\n" + MIT, "MIT"),
+    ("Licensed under the GNU Lesser General Public License v2.1.", "LGPL-2.1-only"),
+    ("This library is distributed under the terms of the LGPL version 2.1 or later.", "LGPL-2.1-or-later"),
+    ("Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    ("This program is made available under the Eclipse Public License 2.0", "EPL-2.0"),
+    ("Released under the Eclipse Public License v. 1.0", ""), ("License: GPL-3.0-or-later", "GPL-3.0-or-later"),
+    ("Licensed under GPL-3.0-or-later", "GPL-3.0-or-later"), ("Released under the GNU GPL v3 or any later version.", "GPL-3.0-or-later"),
+    ("This software is released under the GNU General Public License version 2 or (at your option) any later version.", "GPL-2.0-or-later"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-3.0-only"),
+    ("                                 Apache License\n                           Version 2.0, January 2004\n"
+     "                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS", "Apache-2.0"),
+    ("Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission", "BSL-1.0"), ("Mozilla Public License Version 2.0\n\n1.", "MPL-2.0"),
+    ('  "license": "BSD-3-Clause",\n', "BSD-3-Clause"), ("Licensed under the EUPL 1.2", "EUPL-1.2"),
+    ("The font is under the SIL Open Font License, Version 1.1.", ""), ("Licensed under the SIL Open Font License, Version 1.1.", "OFL-1.1"),
+    ("This project is licensed under the zlib license.", "Zlib"), ("Released under the WTFPL", "WTFPL"), ("Published under the Unlicense.", "Unlicense"),
+    ("Provided under the New BSD License.", "BSD-3-Clause"), ("Available under the Artistic License 2.0.", "Artistic-2.0"),
+    ("This file is distributed under the University of Illinois/NCSA Open Source License, see LICENSE.TXT", "NCSA"),
+    ("Licensed under CC BY-SA 3.0", "CC-BY-SA-3.0"), ("This database is made available under the Open Database License 1.0", "ODbL-1.0"),
+    ("Released under the GNU AGPL v3.", "AGPL-3.0-only"), ("Licensed under the Apache Software License 2.0, found in the file LICENSE", "Apache-2.0"),
+    ("Licensed under the ISC license; see the accompanying COPYING file for details", "ISC"), ("Licensed under the Microsoft Public License", "MS-PL"),
+    ("Licensed under the PostgreSQL License.", "PostgreSQL"), ("Licensed under the PHP License, version 3.01", "PHP-3.01"),
+    ("Licensed under CDDL 1.0", "CDDL-1.0"), ("Released under the Common Public License Version 1.0", "CPL-1.0"),
+    ("We were under the impression that the license was free, see license.", ""), ("Drive under 2.0 or later", ""), ("see LICENSE", ""),
+]
+
+
+def test_notices_of_many_kinds(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(FOUND)], "doc_id long, text string")
+    for hint in (None, ""):
+        got = {r.doc_id: r.licenses for r in licenses.scan(df, hint=hint).collect()}
+        assert {FOUND[i][0]: x for i, x in got.items()} == dict(FOUND)
+    assert len({x for name in licenses.KNOWN.values() if (x := name).startswith(licenses.IS)}) > 80
+
+
+def test_known_sentences_are_normal_and_equal_in_sql(spark, tmp_path):
+    rows = [(i, s) for i, s in enumerate(licenses.KNOWN)]
+    rows += [(len(rows) + i, t) for i, (t, _) in enumerate(FOUND + CASES + FORMS)] + [(None, MIT)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    normal = df.limit(len(licenses.KNOWN)).select("text", licenses.normalised(F.col("text")).alias("n"), F.col("text").rlike(licenses.HINT).alias("h"))
+    assert all(r.text == r.n and r.h for r in normal.collect())
+    df.where("doc_id is not null").write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    got = sorted(map(tuple, licenses.scan(df.where("doc_id is not null")).collect()))
+    assert got == sorted(con.execute(licenses.OP9_SQL).fetchall())
