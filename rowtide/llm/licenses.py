@@ -246,28 +246,48 @@ STEPS = (
     (r"^under apache license 2\.0$", "under apache license version 2.0"),
     (r"^under (cc by[a-z\-]*) ([0-9.]+)( international)?( license)?$", "under {1} {2}"),
 )
-#: What STEPS can put into a sentence that had nothing of the kind. All else in a normal form stands in the lower-cased text
-#: as it is: the steps, and the cutting into sentences and lines, join no letters or digits that something parted.
-MADE = ("cc", "by", "-nc", "-sa", "-nd", "license", "gnu", "general", "public", "version", "later")
+#: Words that STEPS can put into a sentence that had none of them, and ends that they can put to a word. All else in a normal form
+#: stands in the lower-cased text as it is, between the same borders: the steps, and the cutting into sentences and lines, join
+#: no letters or digits that something parted.
+MADE = {"cc", "by", "license", "gnu", "general", "public", "version", "or", "later"}
+ENDS = "-nc|-sa|-nd|-or-later"
 BORDER, LINE = "\x02", "\x01"
 
 
 def hint_of(known: Iterable[str]) -> str:
-    """A pattern found in every lower-cased text with a sentence that ``normalised`` turns into one of ``known``: the longest
-    word of each that the steps cannot make, or the word license in the forms that they make it of."""
-
-    def needed(sentence: str) -> str:
-        if sentence.startswith(TAG):
-            return "spdx-licen[cs]e-identifier"
-        if "gpl" in sentence:
-            return "gpl"
-        words = {w: re.escape(w) for w in sentence.split() if not any(m in w for m in MADE)}
-        if "license" in sentence.split():
-            words["license"] = "licen[cs]e|gpl"
-        rare = [w for w in words if w != "under"] or list(words)
-        return words[max(rare, key=len)] if rare else ""  # an empty pattern is in every text
-
-    return "|".join(sorted({needed(s) for s in known}))
+    """A pattern found in every lower-cased text with a sentence that ``normalised`` turns into one of ``known``: of each the
+    word license or the letters cc in the forms that the steps make them of, or the longest word that they can't make."""
+
+    said = {"licen[cs]e|gpl"}  # license, and gpl as the steps make license of it
+    words: set[str] = set()
+    behind: set[str] = set()  # words that only the steps' fillers part from "under"
+    for sentence in known:
+        tokens = sentence.split()
+        if "license" in sentence or "gpl" in sentence:
+            continue
+        if "cc" in tokens:
+            words |= {"cc", "creative"}
+            continue
+        if tokens[:1] == ["under"] and (first := re.split(ENDS, " ".join(tokens[1:2]))[0]) and first not in MADE:
+            behind.add(first)
+            continue
+        rare = {re.split(ENDS, w)[0] for w in tokens} - MADE
+        # a number alone says little, and less do the words that most begin or end with
+        best = max(rare, default="", key=lambda w: (w not in ("under", "only"), not re.fullmatch("[0-9.]*", w), len(w), w))
+        if not best:
+            return ""  # found in every text
+        words.add(best)
+
+    def one_of(words: set[str]) -> str:
+        # a word is found where another one begins it
+        words = {w for w in words if not any(w.startswith(v) and not w[len(v)].isalnum() for v in words - {w})}
+        return f"(?:{'|'.join(sorted(map(re.escape, words)))})(?![a-z0-9])"
+
+    if words:
+        said.add(f"(?<![a-z0-9]){one_of(words)}")
+    if behind:
+        said.add(f"(?<![a-z0-9])under[^a-z0-9]+(?:(?:the|terms|of|an?)[^a-z0-9]+)*{one_of(behind)}")
+    return "|".join(sorted(said))
 
 
 def _normal(sentence: str) -> str:
