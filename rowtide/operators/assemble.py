@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rowtide.contract import TableContract, require_sound
 from rowtide.functions.ids import EVENT_ID_NAMESPACE, digest_uuid, lsn_text, name_digest
 from rowtide.operators.control import drop_control
-from rowtide.operators.envelope import cdc_source, fenced, parsed_columns, true_timestamp, with_fingerprint
+from rowtide.operators.envelope import cdc_source, fenced, has_columns, parsed_columns, true_timestamp, with_fingerprint
 from rowtide.operators.project import INLINE_COLUMNS, KEEP_NULLS, canonical_name, key_image, payload, router
 
 OPERATIONS = ("c", "u", "d", "r")
@@ -22,13 +22,14 @@ EVENT_COLUMNS = (
 REJECT_COLUMNS = ("seq", "destination", "value", "table_schema", "table_name", "op", "drop_reason")
 
 
-def drop_reason(bad_cell: Column) -> Column:
+def drop_reason(bad_cell: Column, has_block: Column | None = None) -> Column:
     """Why a record is rejected, the first of these that holds; null when it is accepted."""
+    has_block = F.col("columns").isNotNull() if has_block is None else has_block
     op = F.coalesce(F.col("op"), F.lit(""))
     no_before, no_after = F.col("before").isNull(), F.col("after").isNull()
     return (
         F.when(F.col("unparseable"), "unparseable")
-        .when(F.col("columns").isNull(), "missing_after_schema")
+        .when(~has_block, "missing_after_schema")
         .when(F.col("route").isNull(), "unconfigured_table")
         .when(bad_cell, "transform_type")
         .when(~op.isin(*OPERATIONS), "unsupported_op")
@@ -40,7 +41,7 @@ def drop_reason(bad_cell: Column) -> Column:
 def classify(parsed: DataFrame, contracts: Sequence[TableContract], inline_columns: int = INLINE_COLUMNS) -> DataFrame:
     """Adds the route to a contract and ``drop_reason``; every record stays."""
     r = router(contracts, inline_columns)
-    return r.route(parsed).withColumn("drop_reason", drop_reason(r.bad_cell()))
+    return r.route(parsed).withColumn("drop_reason", drop_reason(r.bad_cell(), has_columns(parsed)))
 
 
 def records(
@@ -53,6 +54,7 @@ def records(
     namespace: str = EVENT_ID_NAMESPACE,
     inline_columns: int = INLINE_COLUMNS,
     with_names: bool = False,
+    with_blocks: bool = True,
 ) -> DataFrame:
     """Every data change of the feed, accepted or rejected, in one pass and without a shuffle.
 
@@ -62,15 +64,17 @@ def records(
     ``canonical_name``, and the key as ``pk``. A feed landed by ``rowtide.sources.landing`` is taken
     as it is, without parsing. ``contracts`` are objects, or rows as of ``contract_df``, which may be a
     fleet's and do not pass through the driver; rows with ``valid_from``, as of ``contract_versions``, are in force
-    from that commit position on.
+    from that commit position on. Counts, keys and ids need no more of a schema block than that it is there; without
+    ``with_blocks`` its columns are not read, and ``column_fingerprint`` and ``column_names`` are null, also in ``cdc_source``.
     """
     require_sound(feed.sparkSession, contracts)
     r = router(contracts, inline_columns)
-    parsed = feed if "columns" in feed.columns else parsed_columns(drop_control(feed))
+    landed = "columns" in feed.columns
+    parsed = feed if landed else parsed_columns(drop_control(feed), "columns" if with_blocks else "seen")
     routed = r.route(with_fingerprint(parsed))
     judged = routed.select(
         "*",
-        drop_reason(r.bad_cell()).alias("drop_reason"),
+        drop_reason(r.bad_cell(), has_columns(parsed)).alias("drop_reason"),
         lsn_text(F.col("lsn_num")).alias("lsn"),
         key_image().alias("key_image"),
     )

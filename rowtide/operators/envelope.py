@@ -14,14 +14,21 @@ _IMAGE = "map<string,variant>"
 _SOURCE = (
     "struct<db:string,`schema`:string,`table`:string,lsn:bigint,txId:bigint,ts_ms:bigint,snapshot:string>"
 )
-_ENVELOPE = (
-    "_malformed string, "
-    f"schema struct<fields:array<struct<field:string,fields:array<{_FIELD}>>>>, "
-    f"payload struct<op:string,before:{_IMAGE},after:{_IMAGE},source:{_SOURCE}>"
-)
+_FIELDS = f"array<{_FIELD}>"
+# What is read of the schema block: its columns, whether it has any, or its text.
+_BLOCK = {
+    "columns": f"struct<fields:array<struct<field:string,fields:{_FIELDS}>>>",
+    "seen": "struct<fields:array<struct<field:string>>>",
+    "text": "string",
+}
+
+
+def _envelope(block: str) -> str:
+    payload = f"struct<op:string,before:{_IMAGE},after:{_IMAGE},source:{_SOURCE}>"
+    return f"_malformed string, schema {_BLOCK[block]}, payload {payload}"
 
 
-def parse(feed: DataFrame) -> DataFrame:
+def parse(feed: DataFrame, block: str = "columns") -> DataFrame:
     """Envelopes as columns, one JSON pass per record.
 
     ``from_json`` reads the fixed part into typed fields and leaves the cells of the row images as
@@ -29,32 +36,43 @@ def parse(feed: DataFrame) -> DataFrame:
     read again field by field as VARIANT; only they pay for it.
 
     ``before`` and ``after`` are null unless the envelope holds an object there; ``columns`` is null
-    when the schema block has no ``after`` struct.
+    when the schema block has no ``after`` struct. The block is most of an envelope and the same on nearly all of them.
+    Who only asks whether there are columns takes ``block="seen"``, which gives ``has_columns`` in place of ``columns``;
+    who folds records by it takes ``block="text"``, which gives ``block``, and reads it by ``block_columns`` afterwards.
     """
-    done = parsed_columns(feed)
+    done = parsed_columns(feed, block)
     return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
 
 
-def parsed_columns(feed: DataFrame) -> DataFrame:
+def parsed_columns(feed: DataFrame, block: str = "columns") -> DataFrame:
     """``parse`` without the fence, for callers that put their own further up."""
-    first = F.from_json("value", _ENVELOPE, {"columnNameOfCorruptRecord": "_malformed"})
-    read = feed.select("*", first.alias("_fast"))
+    first = F.from_json("value", _envelope(block), {"columnNameOfCorruptRecord": "_malformed"})
+    fast = F.col("_fast.payload")
+    fields = {
+        "op": fast["op"], "before": fast["before"], "after": fast["after"],
+        **{c: fast["source"][c] for c in ("db", "schema", "table", "lsn", "txId", "ts_ms", "snapshot")},
+        "_block": _fast_block(F.col("_fast.schema"), block),
+    }
+    # Single fields, not the parsed row, go through the step below, which copies what it is given.
+    read = feed.select("*", first.alias("_fast")).select(
+        *feed.columns, F.col("_fast._malformed").isNotNull().alias("_misfit"), *[c.alias(f"_f_{n}") for n, c in fields.items()]
+    )
     # A lambda is interpreted, so this rare path adds nothing to the generated code of the usual one.
-    again = F.get(F.transform(F.array(F.try_parse_json("value")), _loose), F.lit(0))
-    read = read.withColumn("_slow", F.when(F.col("_fast._malformed").isNotNull(), again))
+    again = F.get(F.transform(F.array(F.try_parse_json("value")), lambda v: _loose(v, block)), F.lit(0))
+    read = read.withColumn("_slow", F.when(F.col("_misfit"), again))
 
-    def pick(slow: str, fast: Column) -> Column:
-        return F.when(F.col("_slow").isNotNull(), F.col(f"_slow.{slow}")).otherwise(fast)
+    def pick(name: str, slow: str | None = None) -> Column:
+        return F.when(F.col("_misfit"), F.col(f"_slow.{slow or name}")).otherwise(F.col(f"_f_{name}"))
 
     def source(name: str) -> Column:
-        return pick(f"source.{name}", F.col(f"_fast.payload.source.{name}"))
+        return pick(name, f"source.{name}")
 
     return read.select(
         *feed.columns,
-        pick("unparseable", F.lit(False)).alias("unparseable"),
-        pick("op", F.col("_fast.payload.op")).alias("op"),
-        pick("before", F.col("_fast.payload.before")).alias("before"),
-        pick("after", F.col("_fast.payload.after")).alias("after"),
+        F.when(F.col("_misfit"), F.col("_slow.unparseable")).otherwise(F.lit(False)).alias("unparseable"),
+        pick("op").alias("op"),
+        pick("before").alias("before"),
+        pick("after").alias("after"),
         F.coalesce(source("db"), F.lit("")).alias("db"),
         F.coalesce(source("schema"), F.lit("")).alias("table_schema"),
         F.coalesce(source("table"), F.lit("")).alias("table_name"),
@@ -62,10 +80,24 @@ def parsed_columns(feed: DataFrame) -> DataFrame:
         source("txId").alias("txid"),
         (F.coalesce(source("snapshot"), F.lit("false")) != "false").alias("is_snapshot"),
         F.coalesce(source("ts_ms"), F.lit(0)).alias("ts_ms"),
-        pick("columns", _after_columns(F.col("_fast.schema.fields"))).alias("columns"),
+        pick("_block").alias({"columns": "columns", "seen": "has_columns", "text": "block"}[block]),
     )
 
 
+def has_columns(parsed: DataFrame) -> Column:
+    """Whether a parsed record has a readable schema block, of ``parse`` with columns or without."""
+    return F.col("has_columns") if "has_columns" in parsed.columns else F.col("columns").isNotNull()
+
+
+def block_columns(text: Column) -> Column:
+    """``columns`` of the text of a schema block, as ``parse`` gives them. Interpreted, for rows that were folded."""
+
+    def read(v: Column) -> Column:
+        return _after_columns(_loose_fields(v, "$.fields"))
+
+    return F.get(F.transform(F.array(F.try_parse_json(text)), read), F.lit(0))
+
+
 def fenced(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
     """Observe metrics as rows pass; filters above stay above.
 
@@ -77,11 +109,19 @@ def fenced(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
 
 
 def _after_columns(fields: Column) -> Column:
-    after = F.get(F.filter(fields, lambda f: f["field"] == "after"), F.lit(0))
-    return F.when(after.isNotNull(), F.coalesce(after["fields"], F.array().cast(f"array<{_FIELD}>")))
+    after = F.get(fields, F.array_position(fields["field"], "after").cast("int") - 1)
+    return F.when(after.isNotNull(), F.coalesce(after["fields"], F.array().cast(_FIELDS)))
+
 
+def _fast_block(schema: Column, block: str) -> Column:
+    if block == "columns":
+        return _after_columns(schema["fields"])
+    if block == "seen":
+        return F.coalesce(F.array_contains(schema["fields"]["field"], "after"), F.lit(False))
+    return schema
 
-def _loose(v: Column) -> Column:
+
+def _loose(v: Column, block: str = "columns") -> Column:
     """The fields of an envelope that does not fit the typed shape."""
 
     def at(node: Column, path: str, kind: str) -> Column:
@@ -103,11 +143,26 @@ def _loose(v: Column) -> Column:
         at(v, "$.payload.source.ts_ms", "bigint").alias("ts_ms"),
         at(v, "$.payload.source.snapshot", "string").alias("snapshot"),
     )
-    columns = F.transform(
-        F.filter(
-            at(v, "$.schema.fields", "array<variant>"),
-            lambda f: F.coalesce(at(f, "$.field", "string") == "after", F.lit(False)),
-        ),
+    columns = _after_columns(_loose_fields(v, "$.schema.fields"))
+    told = {"columns": columns, "seen": columns.isNotNull(), "text": at(v, "$.schema", "string")}[block]
+    return F.struct(
+        v.isNull().alias("unparseable"),
+        at(v, "$.payload.op", "string").alias("op"),
+        image("$.payload.before").alias("before"),
+        image("$.payload.after").alias("after"),
+        source.alias("source"),
+        told.alias("_block"),
+    )
+
+
+def _loose_fields(v: Column, path: str) -> Column:
+    """The ``after`` structs of a schema block at ``path``, as far as their fields can be read."""
+
+    def at(node: Column, path: str, kind: str) -> Column:
+        return F.try_variant_get(node, path, kind)
+
+    return F.transform(
+        F.filter(at(v, path, "array<variant>"), lambda f: F.coalesce(at(f, "$.field", "string") == "after", F.lit(False))),
         lambda f: F.struct(
             F.lit("after").alias("field"),
             F.transform(
@@ -119,14 +174,6 @@ def _loose(v: Column) -> Column:
             ).alias("fields"),
         ),
     )
-    return F.struct(
-        v.isNull().alias("unparseable"),
-        at(v, "$.payload.op", "string").alias("op"),
-        image("$.payload.before").alias("before"),
-        image("$.payload.after").alias("after"),
-        source.alias("source"),
-        _after_columns(columns).alias("columns"),
-    )
 
 
 def cell(image: Column, name: str) -> Column:
@@ -155,12 +202,12 @@ def cdc_source(connector: str, lsn: Column | None = None) -> Column:
 
 
 def with_fingerprint(parsed: DataFrame) -> DataFrame:
-    """Adds ``column_fingerprint`` and ``column_names``, both null without an ``after`` schema."""
-    return parsed.select(
-        "*",
-        fingerprint(F.col("columns")).alias("column_fingerprint"),
-        column_names(F.col("columns")).alias("column_names"),
-    )
+    """Adds ``column_fingerprint`` and ``column_names``, both null without an ``after`` schema or where it was not read."""
+    if "columns" not in parsed.columns:
+        told = [F.lit(None).cast("string"), F.lit(None).cast("array<string>")]
+    else:
+        told = [fingerprint(F.col("columns")), column_names(F.col("columns"))]
+    return parsed.select("*", told[0].alias("column_fingerprint"), told[1].alias("column_names"))
 
 
 def schema_snapshots(parsed: DataFrame) -> DataFrame:
