@@ -33,11 +33,13 @@ def as_of(rows: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, st
     spans = spans.withColumn("_to", F.lead("_from").over(w))
     text = sum((F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys), F.lit(0))
     # as doubles: a line may be longer than a sum of 64 bits can tell
-    span, closed, size = spans.agg(
-        F.sum(F.col("_to").cast("double") - F.col("_from").cast("double")), F.count("_to"), F.sum(text + 64)
-    ).first()
+    span, closed, size, last_size = spans.agg(
+        F.sum(F.col("_to").cast("double") - F.col("_from").cast("double")), F.count("_to"), F.sum(text + 64),
+        F.sum(F.when(F.col("_to").isNull(), text + 64)),
+    ).first()
     last = spans.where(F.col("_to").isNull()).select(*keys, F.col("_from").alias("_last"))
-    known = rows.join(_sized(last, size or 0), keys, "left")
+    # one row a key: joined by shuffles, all rows of a busy key would meet in one task
+    known = rows.join(_sized(last, last_size or 0), keys, "left")
     position = F.col(at).cast("bigint")
     if not closed:
         return known.withColumn(start, F.when(position.isNull() | (position >= F.col("_last")), F.col("_last"))).drop("_last")

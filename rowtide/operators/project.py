@@ -199,7 +199,25 @@ class VersionedRouter(RowsRouter):
         header = header_of(self.contract, (*TABLE, "valid_from"))
         size = text_size(header)
         placed = as_of(parsed, self.contract, TABLE, "lsn_num", "valid_from")
-        return self._join(placed, header, size, (*TABLE, "valid_from"))
+        keys = (*TABLE, "valid_from")
+        if size <= BROADCAST_BYTES:
+            return self._join(placed, header, size, keys)
+        # Most records of a feed have the last version of their table, or none: those are told by a row for each table, and
+        # dealt out evenly in the join that tells the others.
+        told = [c for c in header.columns if c not in keys]
+        latest = header.groupBy(*TABLE).agg(F.max_by(F.struct("valid_from", *told), "valid_from").alias("_l"))
+        latest = latest.select(*TABLE, F.col("_l.valid_from").alias("valid_from"), F.col("_l").alias("_latest"))
+        found = placed.join(_small(latest), list(keys), "left")
+        done = F.col("valid_from").isNull() | F.col("_latest").isNotNull()
+        found = found.withColumns({"_done": done, "_from": F.when(done, F.xxhash64("key", "seq")).otherwise(F.col("valid_from"))})
+        rest = header.withColumnRenamed("valid_from", "_from").withColumn("_done", F.lit(False))
+        both = self._join(found, rest, size, (*TABLE, "_from", "_done"))
+        picked = [F.coalesce(F.col(f"_latest.{c}"), F.col(c)).alias(c) for c in told]
+        return both.select(*placed.columns, *picked)
+
+
+def _small(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if text_size(rows) <= BROADCAST_BYTES else rows
 
 
 def text_size(header: DataFrame) -> int:

@@ -86,3 +86,20 @@ def test_one_version_is_the_same_as_plain_contracts(spark):
     assert sorted(plain) == sorted(records(feed(spark, values), contract_versions(spark, [(0, [contract])])).select(*kept).collect())
     two = contract_versions(spark, [(0, [contract]), (0, [contract])])
     assert records(feed(spark, values), two).count() == len(values) and two.where(F.col("valid_from") == 0).count() == 4
+
+
+def test_a_busy_last_version_is_not_gathered(spark, monkeypatch):
+    from rowtide.operators.envelope import parse
+
+    versions = contract_versions(spark, VERSIONS)
+    names = ["orders", "orders", "notes"]
+    f = feed(spark, [envelope("c", lsn=at, table=t) for at in (50, 100, 150, 200, 250, 300, 350, None) for t in names])
+    want = sorted(map(str, records(f, versions).collect()))
+    monkeypatch.setattr(project, "BROADCAST_BYTES", 1000)
+    monkeypatch.setattr(asof, "BROADCAST_BYTES", 200)
+    got = records(f, versions)
+    assert sorted(map(str, got.collect())) == want
+    # two rows with the last start of a table are broadcast, though the versions are not
+    placed = asof.as_of(parse(f), versions, ["table_schema", "table_name"], "lsn_num", "valid_from")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and plan.count("Join LeftOuter") == 2
