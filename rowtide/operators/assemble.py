@@ -55,6 +55,7 @@ def records(
     inline_columns: int = INLINE_COLUMNS,
     with_names: bool = False,
     with_blocks: bool = True,
+    known: Sequence[str] = (),
 ) -> DataFrame:
     """Every data change of the feed, accepted or rejected, in one pass and without a shuffle.
 
@@ -65,13 +66,14 @@ def records(
     as it is, without parsing. ``contracts`` are objects, or rows as of ``contract_df``, which may be a
     fleet's and do not pass through the driver; rows with ``valid_from``, as of ``contract_versions``, are in force
     from that commit position on. Counts, keys and ids need no more of a schema block than that it is there; without
-    ``with_blocks`` its columns are not read, and ``column_fingerprint`` and ``column_names`` are null, also in ``cdc_source``.
+    ``with_blocks`` its columns are not read, and ``column_fingerprint`` and ``column_names`` are null, also in ``cdc_source``. ``known`` are
+    schema blocks that are expected, as for ``parse``.
     """
     require_sound(feed.sparkSession, contracts)
     r = router(contracts, inline_columns)
     landed = "columns" in feed.columns
-    parsed = feed if landed else parsed_columns(drop_control(feed), "columns" if with_blocks else "seen")
-    routed = r.route(with_fingerprint(parsed))
+    parsed = feed if landed else parsed_columns(drop_control(feed), "columns" if with_blocks else "seen", known)
+    routed = r.route(with_fingerprint(parsed, known))
     judged = routed.select(
         "*",
         drop_reason(r.bad_cell(), has_columns(parsed)).alias("drop_reason"),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,11 +18,10 @@ _SOURCE = (
     "struct<db:string,`schema`:string,`table`:string,lsn:bigint,txId:bigint,ts_ms:bigint,snapshot:string>"
 )
 _FIELDS = f"array<{_FIELD}>"
-# What is read of the schema block: its columns, whether it has any, or its text.
+# What is read of the schema block: its columns, or whether it has any.
 _BLOCK = {
     "columns": f"struct<fields:array<struct<field:string,fields:{_FIELDS}>>>",
     "seen": "struct<fields:array<struct<field:string>>>",
-    "text": "string",
 }
 
 
@@ -28,7 +30,7 @@ def _envelope(block: str) -> str:
     return f"_malformed string, schema {_BLOCK[block]}, payload {payload}"
 
 
-def parse(feed: DataFrame, block: str = "columns") -> DataFrame:
+def parse(feed: DataFrame, block: str = "columns", known: Sequence[str] = ()) -> DataFrame:
     """Envelopes as columns, one JSON pass per record.
 
     ``from_json`` reads the fixed part into typed fields and leaves the cells of the row images as
@@ -37,22 +39,39 @@ def parse(feed: DataFrame, block: str = "columns") -> DataFrame:
 
     ``before`` and ``after`` are null unless the envelope holds an object there; ``columns`` is null
     when the schema block has no ``after`` struct. The block is most of an envelope and the same on nearly all of them.
-    Who only asks whether there are columns takes ``block="seen"``, which gives ``has_columns`` in place of ``columns``;
-    who folds records by it takes ``block="text"``, which gives ``block``, and reads it by ``block_columns`` afterwards.
+    Who only asks whether there are columns takes ``block="seen"``, which gives ``has_columns`` in place of ``columns``.
+
+    ``known`` are schema blocks that are expected, as the connector writes them. An envelope that begins with one of them,
+    letter by letter, has it as its block, which is not read again: only the text behind it is parsed, and ``known_block``
+    is its number. All others are parsed as ever, so it is a matter of time only which blocks are known.
     """
-    done = parsed_columns(feed, block)
+    done = parsed_columns(feed, block, known)
     return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
 
 
-def parsed_columns(feed: DataFrame, block: str = "columns") -> DataFrame:
+def parsed_columns(feed: DataFrame, block: str = "columns", known: Sequence[str] = ()) -> DataFrame:
     """``parse`` without the fence, for callers that put their own further up."""
-    first = F.from_json("value", _envelope(block), {"columnNameOfCorruptRecord": "_malformed"})
+    known = _sound_blocks(known)
+    feed_columns = feed.columns
+    text, number = F.col("value"), F.lit(None).cast("int")
+    for i, b in reversed(list(enumerate(known))):
+        number = F.when(F.col("value").startswith(_head(b)), i).otherwise(number)
+    if known:
+        feed = feed.withColumn("known_block", number)
+        # The text behind a block is cut out by bytes: code points would have to be counted.
+        begin = _by_block([F.lit(len(_head(b).encode()) - len(_PAYLOAD) + 1) for b in known], F.lit(1))
+        rest = F.substring(F.col("value").cast("binary"), begin, F.lit(2**31 - 1)).cast("string")
+        text = F.when(F.col("known_block").isNull(), F.col("value")).otherwise(F.concat(F.lit("{"), rest))
+    first = F.from_json(text, _envelope(block), {"columnNameOfCorruptRecord": "_malformed"})
     fast = F.col("_fast.payload")
     fields = {
         "op": fast["op"], "before": fast["before"], "after": fast["after"],
         **{c: fast["source"][c] for c in ("db", "schema", "table", "lsn", "txId", "ts_ms", "snapshot")},
-        "_block": _fast_block(F.col("_fast.schema"), block),
+        "_block": _fast_block(F.col("_fast.schema"), block, known),
     }
+    told = bool(known) and block == "columns"
+    if told:
+        fields["_again"] = F.col("_fast.schema").isNotNull()
     # Single fields, not the parsed row, go through the step below, which copies what it is given.
     read = feed.select("*", first.alias("_fast")).select(
         *feed.columns, F.col("_fast._malformed").isNotNull().alias("_misfit"), *[c.alias(f"_f_{n}") for n, c in fields.items()]
@@ -68,7 +87,7 @@ def parsed_columns(feed: DataFrame, block: str = "columns") -> DataFrame:
         return pick(name, f"source.{name}")
 
     return read.select(
-        *feed.columns,
+        *feed_columns,
         F.when(F.col("_misfit"), F.col("_slow.unparseable")).otherwise(F.lit(False)).alias("unparseable"),
         pick("op").alias("op"),
         pick("before").alias("before"),
@@ -80,7 +99,9 @@ def parsed_columns(feed: DataFrame, block: str = "columns") -> DataFrame:
         source("txId").alias("txid"),
         (F.coalesce(source("snapshot"), F.lit("false")) != "false").alias("is_snapshot"),
         F.coalesce(source("ts_ms"), F.lit(0)).alias("ts_ms"),
-        pick("_block").alias({"columns": "columns", "seen": "has_columns", "text": "block"}[block]),
+        pick("_block").alias({"columns": "columns", "seen": "has_columns"}[block]),
+        # a block told again behind the payload holds, and a text that had to be read again is told by what was read
+        *([F.when(~F.col("_misfit") & ~F.col("_f__again"), F.col("known_block")).alias("known_block")] if told else []),
     )
 
 
@@ -89,13 +110,54 @@ def has_columns(parsed: DataFrame) -> Column:
     return F.col("has_columns") if "has_columns" in parsed.columns else F.col("columns").isNotNull()
 
 
-def block_columns(text: Column) -> Column:
-    """``columns`` of the text of a schema block, as ``parse`` gives them. Interpreted, for rows that were folded."""
+_PAYLOAD = '"payload":'
+
+
+def _head(block: str) -> str:
+    """What an envelope with this block begins with."""
+    return f'{{"schema":{block},{_PAYLOAD}'
+
+
+def _image_columns(block: str) -> list[dict] | None:
+    return next((f.get("fields", []) for f in json.loads(block)["fields"] if f["field"] == "after"), None)
+
+
+def _sound_blocks(known: Sequence[str]) -> list[str]:
+    """Those whose columns have the types they should, so that reading them here gives what reading them in Spark would."""
+
+    def sound(block: str) -> bool:
+        try:
+            fields = json.loads(block, object_pairs_hook=_once)["fields"]
+            if not all(isinstance(f["field"], str) for f in fields):
+                return False
+            images = [c for f in fields for c in f.get("fields", [])]
+            kinds = {"field": str, "type": str, "name": str, "optional": bool}
+            return all(c[k] is None or isinstance(c[k], kinds[k]) for c in images for k in c.keys() & kinds.keys())
+        except (ValueError, KeyError, TypeError, AttributeError):
+            return False
+
+    return [b for b in dict.fromkeys(known) if sound(b)]
 
-    def read(v: Column) -> Column:
-        return _after_columns(_loose_fields(v, "$.fields"))
 
-    return F.get(F.transform(F.array(F.try_parse_json(text)), read), F.lit(0))
+def _once(pairs: list[tuple]) -> dict:
+    if len(dict(pairs)) < len(pairs):
+        raise ValueError("a key is repeated")
+    return dict(pairs)
+
+
+def _by_block(values: Sequence[Column], other: Column) -> Column:
+    out = other
+    for i, v in reversed(list(enumerate(values))):
+        out = F.when(F.col("known_block") == i, v).otherwise(out)
+    return out
+
+
+def _literal_columns(block: str) -> Column:
+    columns = _image_columns(block)
+    if columns is None:
+        return F.lit(None).cast(_FIELDS)
+    each = [F.struct(*[F.lit(c.get(k)).alias(k) for k in ("field", "type", "name", "optional")]) for c in columns]
+    return F.array(*each).cast(_FIELDS)
 
 
 def fenced(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
@@ -113,12 +175,13 @@ def _after_columns(fields: Column) -> Column:
     return F.when(after.isNotNull(), F.coalesce(after["fields"], F.array().cast(_FIELDS)))
 
 
-def _fast_block(schema: Column, block: str) -> Column:
+def _fast_block(schema: Column, block: str, known: Sequence[str]) -> Column:
     if block == "columns":
-        return _after_columns(schema["fields"])
-    if block == "seen":
-        return F.coalesce(F.array_contains(schema["fields"]["field"], "after"), F.lit(False))
-    return schema
+        told, read = [_literal_columns(b) for b in known], _after_columns(schema["fields"])
+    else:
+        told = [F.lit(_image_columns(b) is not None) for b in known]
+        read = F.coalesce(F.array_contains(schema["fields"]["field"], "after"), F.lit(False))
+    return F.when(schema.isNotNull(), read).otherwise(_by_block(told, F.lit(None) if block == "columns" else F.lit(False)))
 
 
 def _loose(v: Column, block: str = "columns") -> Column:
@@ -144,7 +207,7 @@ def _loose(v: Column, block: str = "columns") -> Column:
         at(v, "$.payload.source.snapshot", "string").alias("snapshot"),
     )
     columns = _after_columns(_loose_fields(v, "$.schema.fields"))
-    told = {"columns": columns, "seen": columns.isNotNull(), "text": at(v, "$.schema", "string")}[block]
+    told = columns if block == "columns" else columns.isNotNull()
     return F.struct(
         v.isNull().alias("unparseable"),
         at(v, "$.payload.op", "string").alias("op"),
@@ -201,19 +264,35 @@ def cdc_source(connector: str, lsn: Column | None = None) -> Column:
     )
 
 
-def with_fingerprint(parsed: DataFrame) -> DataFrame:
-    """Adds ``column_fingerprint`` and ``column_names``, both null without an ``after`` schema or where it was not read."""
+def with_fingerprint(parsed: DataFrame, known: Sequence[str] = ()) -> DataFrame:
+    """Adds ``column_fingerprint`` and ``column_names``, both null without an ``after`` schema or where it was not read.
+
+    ``known`` are the blocks ``parsed`` was made with.
+    """
     if "columns" not in parsed.columns:
         told = [F.lit(None).cast("string"), F.lit(None).cast("array<string>")]
     else:
         told = [fingerprint(F.col("columns")), column_names(F.col("columns"))]
-    return parsed.select("*", told[0].alias("column_fingerprint"), told[1].alias("column_names"))
+    if "known_block" in parsed.columns:
+        blocks = [_image_columns(b) for b in _sound_blocks(known)]
+        names = [F.lit(None).cast("array<string>") if b is None else F.array(*[F.lit(c.get("field") or "") for c in b]).cast("array<string>") for b in blocks]
+        told = [_by_block([F.lit(_fingerprint(b)) for b in blocks], told[0]), _by_block(names, told[1])]
+    kept = [c for c in parsed.columns if c != "known_block"]
+    return parsed.select(*kept, told[0].alias("column_fingerprint"), told[1].alias("column_names"))
+
+
+def _fingerprint(columns: list[dict] | None) -> str | None:
+    """``fingerprint`` of a known block."""
+    if columns is None:
+        return None
+    line = lambda c: "\t".join([*(c.get(k) or "" for k in ("field", "type", "name")), "false" if c.get("optional") is False else "true"])
+    return hashlib.sha256("\n".join(map(line, columns)).encode()).hexdigest()
 
 
-def schema_snapshots(parsed: DataFrame) -> DataFrame:
+def schema_snapshots(parsed: DataFrame, known: Sequence[str] = ()) -> DataFrame:
     """One schema snapshot per record that has a readable schema block."""
     return (
-        with_fingerprint(parsed)
+        with_fingerprint(parsed, known)
         .where(F.col("columns").isNotNull())
         .select("seq", "table_schema", "table_name", "column_fingerprint", "column_names")
     )

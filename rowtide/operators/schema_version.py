@@ -45,23 +45,33 @@ def properties(columns: Column) -> Column:
     return F.transform(columns, one)
 
 
-def property_snapshots(parsed: DataFrame) -> DataFrame:
+def property_snapshots(parsed: DataFrame, known: Sequence[str] = ()) -> DataFrame:
     """One row per record that has a readable schema block."""
-    seen = with_fingerprint(parsed).where(F.col("columns").isNotNull())
+    seen = with_fingerprint(parsed, known).where(F.col("columns").isNotNull())
     return seen.select("seq", *TABLE, "column_fingerprint", properties(F.col("columns")).alias("properties"))
 
 
+def block_snapshots(parsed: DataFrame, known: Sequence[str] = ()) -> DataFrame:
+    """``property_snapshots`` with ``columns`` in place of ``properties``: ``schema_versions`` reads these of changes only."""
+    seen = with_fingerprint(parsed, known).where(F.col("columns").isNotNull())
+    return seen.select("seq", *TABLE, "column_fingerprint", "columns")
+
+
 def schema_versions(snapshots: DataFrame, stretches: Sequence[int] = STRETCHES) -> DataFrame:
     """One row for the first schema of each table and for each change of it.
 
-    Input: ``seq, table_schema, table_name, column_fingerprint, properties``, and optionally ``is_state`` as for
+    Input: ``seq, table_schema, table_name, column_fingerprint, properties`` (or ``columns``), and optionally ``is_state`` as for
     ``schema_changes``, which finds the changes; equal fingerprints must come with equal properties. Lists of columns are
     sorted. A name that a schema has twice counts as changed if one of its columns is.
 
     Changes are numbered inside stretches of ``seq``, of which one row each is put together per table, so that a table
     that flaps is not ordered in one task.
     """
-    found = transitions(snapshots.withColumnRenamed("properties", "column_names"), stretches, firsts=True)
+    if "columns" in snapshots.columns:
+        found = transitions(snapshots.withColumnRenamed("columns", "column_names"), stretches, firsts=True)
+        found = found.withColumns({c: properties(F.col(c)) for c in ("column_names", "_prev_names")})
+    else:
+        found = transitions(snapshots.withColumnRenamed("properties", "column_names"), stretches, firsts=True)
     return _numbered(_classified(found), stretches[0] if stretches else None)
 
 
