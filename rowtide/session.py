@@ -69,12 +69,19 @@ def shelve(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+#: Pieces a slot into which a scan is dealt that fills the slots, but has no splits to spare.
+PIECES = 4
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than the session has slots.
+    """Deal a scan with few splits out to tasks of equal length.
 
-    Parsing and hashing envelopes is CPU-bound, so a small file read as one split would leave
-    the other slots idle. A scan that already fills the cluster is returned as it is, with no
-    shuffle.
+    Parsing and hashing envelopes is CPU-bound, so a small file read as one split would leave the other slots idle. A
+    larger one has a split for each slot or more, but its row groups can't be cut: splits without one are empty, and
+    others hold several. Its rows, of the columns that are read, are dealt out evenly, a few pieces a slot. A scan with
+    many splits a slot evens out by itself and is returned as it is, with no shuffle.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    slots, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if splits < slots:
+        return df.repartition(slots)
+    return df.repartition(PIECES * slots) if splits < PIECES * slots else df
