@@ -160,7 +160,8 @@ def to_wire(
     """
 
     def b64(c: Column) -> Column:
-        return F.translate(F.base64(F.encode(c, "UTF-8")), "\r\n", "")
+        # Line breaks are there only if the session asks for them; ``translate`` would look up each character.
+        return F.replace(F.base64(F.encode(c, "UTF-8")), F.lit("\r\n"), F.lit(""))
 
     def described(uri: Column, data: Column) -> Column:
         return F.concat(F.lit('{"schema":'), _json_text(uri), F.lit(',"data":'), data, F.lit("}"))
