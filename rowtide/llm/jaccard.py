@@ -49,6 +49,10 @@ PROGRESS = 0.7
 CLASS = 1.5
 #: Ranges of the signatures; of each range a set's smallest one is where it meets others that have it as smallest, too.
 RANGES = 2
+#: Bits of a map of rows for each of these; of other rows one in so many is taken for one of them.
+BITS = 16
+#: Bits in a row that ``bitmap_construct_agg`` makes.
+BUCKET = 32_768
 NONE = np.uint64(2**64 - 1)
 NO_ID = -(2**63)
 
@@ -176,6 +180,16 @@ def _told(keys: np.ndarray, docs: np.ndarray, firsts: np.ndarray) -> tuple[np.nd
     return out[:, 0], out[:, 1]
 
 
+def _told_once(places: np.ndarray) -> tuple[np.ndarray, bytes | None]:
+    """What to send of the sets at these places: each once, with an index of two or four bytes a place, or, where that is
+    not less, one for each place without an index."""
+    some, index = np.unique(places, return_inverse=True)
+    kind, each = (np.uint16 if len(some) <= 1 << 16 else np.int32), 8 + 8 * RANGES
+    if np.dtype(kind).itemsize * len(places) + each * len(some) < each * len(places):
+        return some, index.astype(kind).tobytes()
+    return places, None
+
+
 def _set_hash(members: np.ndarray) -> np.int64:
     return np.uint64(xxhash.xxh3_64_intdigest(members.tobytes())).view(np.int64)
 
@@ -197,10 +211,7 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
             borders = np.nonzero(np.diff(part[order]))[0] + 1
             rows = []
             for at in np.split(order, borders):
-                some, index = np.unique(place[at], return_inverse=True)
-                # a set that is there several times is told once
-                index = index.astype(np.int32).tobytes() if 2 * len(some) < len(at) else None
-                some = place[at] if index is None else some
+                some, index = _told_once(place[at])
                 rows.append((int(part[at[0]]), keys[at].tobytes(), index, names[some].tobytes(), firsts[some].tobytes()))
             if len(a):
                 rows.append((int(a[0]) % parts, None, None, np.concatenate([a, b]).tobytes(), None))
@@ -230,7 +241,7 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(d[: len(d) // 2]), pa.array(d[len(d) // 2 :])], ["a", "b"])
                 else:
                     at = at.as_py()
-                    at = slice(None) if at is None else np.frombuffer(at, np.int32)
+                    at = slice(None) if at is None else np.frombuffer(at, np.uint16 if 4 * len(at) == len(k) else np.int32)
                     keys.append(np.frombuffer(k, np.uint64))
                     docs.append(d[at])
                     firsts.append(np.frombuffer(f.as_py(), np.uint64).reshape(-1, RANGES)[at])
@@ -553,6 +564,21 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(sizes.where("docs > 1"), "region")
 
 
+def _likely(docs: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``docs`` without most of the rows whose ``keys`` are not in ``rows``, and with all whose keys are.
+
+    Before a join of texts with few rows: texts that find nothing there are not moved. The rows are told by a map of bits,
+    made in the tasks and broadcast, two bytes for each.
+    """
+    buckets = -(-BITS * rows.count() // BUCKET) or 1
+    bit = F.pmod(F.xxhash64(*keys), F.lit(buckets * BUCKET))
+    told = rows.select((bit / BUCKET).cast("int").alias("_bucket"), (bit % BUCKET).alias("_bit"))
+    told = told.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    byte = F.substring("_map", (bit % BUCKET / 8).cast("int") + 1, F.lit(1))
+    there = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")) == 1
+    return docs.join(F.broadcast(told), ((bit / BUCKET).cast("int") == F.col("_bucket")) & there, "left_semi")
+
+
 def grouped(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """(doc_id, n_shingles, digest, group, least, known) of each row of ``docs`` (doc_id, text): the number of its component,
     null for an empty set, and the component's smallest id, nulls first (``NO_ID``) and nulls left out."""
@@ -567,8 +593,12 @@ def grouped(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     sets = shelve(sets.withColumn("node", F.monotonically_increasing_id()))
     blocks = _blocks(docs, percent, n).select(F.col("node").alias("hash"), F.col("component").cast("string").alias("region"))
     members = blocks.join(sets, "hash").select("region", F.col("node").alias("doc"), "n_shingles", F.col("one.doc").alias("id"), "one.digest")
-    texts = _sized(members).join(_packed(docs), ["id", "digest"])
-    regions = shelve(texts.select("region", "doc", "n_shingles", "packed", "docs", "grams").dropDuplicates(["doc"]))
+    members = shelve(_sized(members))
+    likely = _likely(docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID).cast("long"))), members, ["id", "digest"])
+    texts = members.join(_packed(likely.select(*docs.columns)), ["id", "digest"])
+    # Id and digest stand for the set, as ``doc`` does, and texts lie by them after the join: they are not moved again.
+    texts = texts.dropDuplicates(["id", "digest"])
+    regions = shelve(texts.select("region", "doc", "n_shingles", "packed", "docs", "grams"))
 
     small = (F.col("docs") <= REGION) & (F.col("grams") <= REGION_GRAMS)
     found = [_compared(regions.where(small), percent, n, parts)]

@@ -182,3 +182,39 @@ def test_first_of_each_with_null_and_repeated_ids(spark):
     assert got.columns == df.columns
     kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=repr)
     assert kept == sorted([(3, a), (None, b), (3, c), (None, None), (None, ""), (9, None)], key=repr)
+
+
+def test_only_texts_of_regions_are_moved(spark, monkeypatch):
+    """Texts without a partner in their block are left out before the join that sends texts to their regions."""
+    alone = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(2000)]
+    base = [f"b{j}" for j in range(100)]
+    near = [(5000 + i, " ".join([*base[:50], f"n{i}", *base[50:]])) for i in range(20)]
+    rows = [*alone, *near, (None, " ".join([*base, "z"])), (None, None), (6000, None)]
+    moved, packed = [], jaccard._packed
+
+    def seen(docs):
+        moved.extend(r.doc_id for r in docs.collect())
+        return packed(docs)
+
+    monkeypatch.setattr(jaccard, "_packed", seen)
+    got = jaccard.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.component_id, set()).add(r.doc_id)
+    assert sorted(len(g) for g in groups.values() if len(g) > 1) == [21]
+    assert len(moved) < 600 and {None, *range(5000, 5020)} <= set(moved)
+
+
+def test_places_of_sets_take_two_bytes():
+    places = np.repeat(np.arange(300), 3)[np.random.default_rng(0).permutation(900)]
+    some, index = jaccard._told_once(places)
+    assert len(index) == 2 * 900 and (some[np.frombuffer(index, np.uint16)] == places).all()
+    places = np.array([3, 1, 2, 1, 5, 4])  # one in six is there again: still less than without
+    some, index = jaccard._told_once(places)
+    assert (some[np.frombuffer(index, np.uint16)] == places).all()
+    places = np.arange(50)
+    some, index = jaccard._told_once(places)
+    assert index is None and (some == places).all()
+    places = np.repeat(np.arange(70_000), 2)
+    some, index = jaccard._told_once(places)
+    assert (some[np.frombuffer(index, np.int32)] == places).all()
