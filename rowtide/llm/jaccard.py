@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowtide.llm.common import Words, components, mix, reducers, shelve, ship, table, windows
+from rowtide.llm.common import Words, components, mix, reducers, shelve, ship, short_batches, table, windows
 
 N = 4
 #: A link: PERCENT of the union is common.
@@ -49,6 +49,8 @@ PROGRESS = 0.7
 CLASS = 1.5
 #: Ranges of the signatures; of each range a set's smallest one is where it meets others that have it as smallest, too.
 RANGES = 2
+#: Words whose hashes a task remembers.
+KNOWN_WORDS = 100_000
 #: Bits of a map of rows for each of these; of other rows one in so many is taken for one of them.
 BITS = 16
 #: Bits in a row that ``bitmap_construct_agg`` makes.
@@ -86,23 +88,25 @@ def signatures(members: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Hashes of the contents of the parts, in the set's class and in those above it that a partner can be in.
 
     With ``parts - k`` equal parts at least, one of them is not empty unless a set has as many empty parts; sets
-    that do share a signature of their own. Of more than ``k`` signatures the ``k + 1`` smallest are enough: if all of these
-    were in parts that differ, too many would.
+    that do share a signature of their own. Of many signatures the smallest are enough, one more than this set can have
+    differences with its largest partner of the class: if all of these were in parts that differ, too many would.
     """
     n, out = len(members), []
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(members))])
     classes = _classes(percent)
+    largest = n * 100 // percent
     at = next(i for i, c in enumerate(classes) if n <= c[0])
-    last = next(i for i, c in enumerate(classes) if n * 100 // percent <= c[0])  # of the largest partner
+    last = next(i for i, c in enumerate(classes) if largest <= c[0])
     for i in range(at, last + 1):
-        _, k, parts = classes[i]
+        top, k, parts = classes[i]
         if not k:
             continue
         cuts = np.concatenate([[0], np.searchsorted(members, _borders(parts)), [n]])
         full = np.nonzero(np.diff(cuts))[0]
         salt = mix(np.uint64(i << 40) + full.astype(np.uint64) + np.uint64(1))
         own = mix((sums[cuts[full + 1]] - sums[cuts[full]]) ^ salt)
-        out.append(own if len(own) <= k else np.partition(own, k)[: k + 1])
+        few = (n + min(top, largest)) * (100 - percent) // (100 + percent)
+        out.append(own if len(own) <= few else np.partition(own, few)[: few + 1])
         if parts - len(full) >= parts - k:
             out.append(mix(np.array([(i << 40) + (1 << 39)], np.uint64)))
     return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -200,7 +204,7 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
     parts = reducers(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, kept, size = Words(lower=True), {}, 0
+        words, kept, size = Words(lower=True, bound=KNOWN_WORDS), {}, 0
 
         def out() -> pa.RecordBatch:
             keys, heads, a, b = _stars(np.concatenate(list(kept.values())), np.concatenate([np.full(len(k), d) for d, k in kept.items()]))
@@ -246,7 +250,8 @@ def _blocks(docs: DataFrame, percent: int, n: int) -> DataFrame:
                     docs.append(d[at])
                     firsts.append(np.frombuffer(f.as_py(), np.uint64).reshape(-1, RANGES)[at])
         if keys:
-            a, b = _told(np.concatenate(keys), np.concatenate(docs), np.concatenate(firsts))
+            keys, docs, firsts = (np.concatenate(c) for c in (keys, docs, firsts))  # the pieces are not held any longer
+            a, b = _told(keys, docs, firsts)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     placed = docs.select("text").mapInArrow(cut, "part int, keys binary, at binary, docs binary, firsts binary")
@@ -257,7 +262,7 @@ def _prints(docs: DataFrame, n: int) -> DataFrame:
     """(doc_id, doc, n_shingles, key, hash, digest): ``key`` stands for the set, null if it is empty, ``digest`` for the text."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(lower=True)
+        words = Words(lower=True, bound=KNOWN_WORDS)
         for batch in batches:
             sets = [grams(words.hashes(t.as_py()), n) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -286,7 +291,7 @@ class _Sets:
     """Sets of n-grams of packed texts."""
 
     def __init__(self, n: int):
-        self.n, self.words, self.unpack = n, Words(lower=True), zstandard.ZstdDecompressor()
+        self.n, self.words, self.unpack = n, Words(lower=True, bound=KNOWN_WORDS), zstandard.ZstdDecompressor()
 
     def of(self, packed: bytes) -> np.ndarray:
         return grams(self.words.hashes(self.unpack.decompress(packed).decode()), self.n)
@@ -583,6 +588,11 @@ def grouped(docs: DataFrame, percent: int = PERCENT, n: int = N) -> DataFrame:
     """(doc_id, n_shingles, digest, group, least, known) of each row of ``docs`` (doc_id, text): the number of its component,
     null for an empty set, and the component's smallest id, nulls first (``NO_ID``) and nulls left out."""
     ship(docs.sparkSession)
+    with short_batches(docs.sparkSession):  # all that Python does is done in there
+        return _grouped_rows(docs, percent, n)
+
+
+def _grouped_rows(docs: DataFrame, percent: int, n: int) -> DataFrame:
     docs = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text", "md5(cast(text as string)) digest")
     parts = reducers(docs)
     prints = shelve(_prints(docs, n))

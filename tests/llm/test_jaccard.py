@@ -218,3 +218,25 @@ def test_places_of_sets_take_two_bytes():
     places = np.repeat(np.arange(70_000), 2)
     some, index = jaccard._told_once(places)
     assert (some[np.frombuffer(index, np.int32)] == places).all()
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_no_more_signatures_than_differences_of_the_largest_partner(percent):
+    """A set has no signatures that no partner of its size can call for; how few are enough is held by the tests above."""
+    rng = np.random.default_rng(2)
+    sizes = range(300, 900, 7)
+    sent = sum(len(jaccard.signatures(np.sort(rng.integers(0, 2**64, n, np.uint64)), percent)) for n in sizes)
+    assert sent < 1.75 * sum(sizes) * 2 * (100 - percent) / (100 + percent)  # 1.9 and 2.0 with those of the class's largest
+
+
+def test_batches_are_short_inside_only(spark):
+    from rowtide.llm import common
+
+    before = spark.conf.get(common._BATCH)
+    seen, real = [], jaccard._prints
+    try:
+        jaccard._prints = lambda docs, n: seen.append(spark.conf.get(common._BATCH)) or real(docs, n)
+        jaccard.linked(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")).collect()
+    finally:
+        jaccard._prints = real
+    assert [int(x) <= common.BATCH_ROWS for x in seen] == [True] and spark.conf.get(common._BATCH) == before
