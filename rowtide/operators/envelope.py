@@ -25,12 +25,13 @@ _BLOCK = {
 }
 
 
-def _envelope(block: str) -> str:
-    payload = f"struct<op:string,before:{_IMAGE},after:{_IMAGE},source:{_SOURCE}>"
+def _envelope(block: str, images: bool) -> str:
+    rows = f"before:{_IMAGE},after:{_IMAGE}," if images else ""
+    payload = f"struct<op:string,{rows}source:{_SOURCE}>"
     return f"_malformed string, schema {_BLOCK[block]}, payload {payload}"
 
 
-def parse(feed: DataFrame, block: str = "columns", known: Sequence[str] = ()) -> DataFrame:
+def parse(feed: DataFrame, block: str = "columns", known: Sequence[str] = (), images: bool = True) -> DataFrame:
     """Envelopes as columns, one JSON pass per record.
 
     ``from_json`` reads the fixed part into typed fields and leaves the cells of the row images as
@@ -44,12 +45,15 @@ def parse(feed: DataFrame, block: str = "columns", known: Sequence[str] = ()) ->
     ``known`` are schema blocks that are expected, as the connector writes them. An envelope that begins with one of them,
     letter by letter, has it as its block, which is not read again: only the text behind it is parsed, and ``known_block``
     is its number. All others are parsed as ever, so it is a matter of time only which blocks are known.
+
+    Cells are most of what is left to parse. Who reads no row image takes ``images=False``: there are no ``before`` and ``after``
+    then, and their text is read over; that it is JSON is still checked.
     """
-    done = parsed_columns(feed, block, known)
+    done = parsed_columns(feed, block, known, images)
     return fenced(done, "parsed", records=F.count(F.lit(1)), unparseable=F.count_if("unparseable"))
 
 
-def parsed_columns(feed: DataFrame, block: str = "columns", known: Sequence[str] = ()) -> DataFrame:
+def parsed_columns(feed: DataFrame, block: str = "columns", known: Sequence[str] = (), images: bool = True) -> DataFrame:
     """``parse`` without the fence, for callers that put their own further up."""
     known = _sound_blocks(known)
     feed_columns = feed.columns
@@ -62,10 +66,10 @@ def parsed_columns(feed: DataFrame, block: str = "columns", known: Sequence[str]
         begin = _by_block([F.lit(len(_head(b).encode()) - len(_PAYLOAD) + 1) for b in known], F.lit(1))
         rest = F.substring(F.col("value").cast("binary"), begin, F.lit(2**31 - 1)).cast("string")
         text = F.when(F.col("known_block").isNull(), F.col("value")).otherwise(F.concat(F.lit("{"), rest))
-    first = F.from_json(text, _envelope(block), {"columnNameOfCorruptRecord": "_malformed"})
-    fast = F.col("_fast.payload")
+    first = F.from_json(text, _envelope(block, images), {"columnNameOfCorruptRecord": "_malformed"})
+    fast, rows = F.col("_fast.payload"), ("before", "after") if images else ()
     fields = {
-        "op": fast["op"], "before": fast["before"], "after": fast["after"],
+        "op": fast["op"], **{c: fast[c] for c in rows},
         **{c: fast["source"][c] for c in ("db", "schema", "table", "lsn", "txId", "ts_ms", "snapshot")},
         "_block": _fast_block(F.col("_fast.schema"), block, known),
     }
@@ -90,8 +94,7 @@ def parsed_columns(feed: DataFrame, block: str = "columns", known: Sequence[str]
         *feed_columns,
         F.when(F.col("_misfit"), F.col("_slow.unparseable")).otherwise(F.lit(False)).alias("unparseable"),
         pick("op").alias("op"),
-        pick("before").alias("before"),
-        pick("after").alias("after"),
+        *[pick(c).alias(c) for c in rows],
         F.coalesce(source("db"), F.lit("")).alias("db"),
         F.coalesce(source("schema"), F.lit("")).alias("table_schema"),
         F.coalesce(source("table"), F.lit("")).alias("table_name"),

@@ -48,8 +48,8 @@ def _changes_of_both(spark: SparkSession, sf: str) -> DataFrame:
     return parse(control.drop_control(both), "seen", KNOWN_BLOCKS)
 
 
-def _shop_changes(spark: SparkSession, sf: str, block: str = "columns") -> DataFrame:
-    return parse(control.drop_control(feeds.shop_feed(spark, sf)), block, KNOWN_BLOCKS)
+def _shop_changes(spark: SparkSession, sf: str, block: str = "columns", images: bool = False) -> DataFrame:
+    return parse(control.drop_control(feeds.shop_feed(spark, sf)), block, KNOWN_BLOCKS, images)
 
 
 def _shop_records(spark: SparkSession, sf: str, **named) -> DataFrame:
@@ -155,7 +155,7 @@ def observed_catalog(spark, sf):
 
 @query
 def landed_catalog(spark, sf):
-    kinds = cell_kinds(_shop_changes(spark, sf, "seen"))
+    kinds = cell_kinds(_shop_changes(spark, sf, "seen", images=True))
     cols = landed_columns(kinds).withColumn("conflict", F.coalesce("conflict", F.lit("")))
     return cols.select("table_schema", "table_name", "name", _long("ordinal"), "is_nullable", "data_type", "udt_name", "conflict")
 

@@ -70,3 +70,14 @@ def test_versions_of_blocks(spark):
     f = feed(spark, [VALUES[0], VALUES[2], VALUES[0], VALUES[4], VALUES[3]])
     told = schema_versions(block_snapshots(parse(f, known=KNOWN), KNOWN))
     assert _rows(told) == _rows(schema_versions(property_snapshots(parse(f))))
+
+
+def test_without_images_the_rest_is_the_same(spark):
+    values = [
+        envelope("c", txId=5, lsn=10), envelope("d", txId="x", lsn=12), "not json", "[1]", '{"payload":{"op":"c","before":7,"after":[1]}}',
+        '{"payload":{"op":"u","after":{"id":{"a":[1,{"b":"}"}]}},"source":{"table":"t","lsn":3}}}', '{"payload":{"op":"c","after":{"id":}}}',
+    ]
+    whole, lean = parse(feed(spark, values)), parse(feed(spark, values), images=False)
+    assert lean.columns == [c for c in whole.columns if c not in ("before", "after")]
+    key = lambda r: r.seq
+    assert sorted(lean.collect(), key=key) == sorted(whole.drop("before", "after").collect(), key=key)
