@@ -24,8 +24,8 @@ def transactions(parsed: DataFrame, gap: int = GAP, stretch: int = STRETCH) -> D
     told from replays and all count.
 
     Changes are folded in the tasks to a row for each transaction, table, operation and stretch of the log, which holds its
-    positions and nothing else of them; a huge transaction is spread by stretch, and its stretches come together as
-    counts only.
+    positions and nothing else of them; a huge transaction is spread by stretch. These rows are ordered along the log once, to
+    find the islands.
     """
     narrower = min(stretch, gap) if gap else 1
     table = F.concat_ws(".", "table_schema", "table_name")
@@ -36,19 +36,15 @@ def transactions(parsed: DataFrame, gap: int = GAP, stretch: int = STRETCH) -> D
         F.collect_set("lsn_num").alias("_at"), F.count(F.lit(1)).alias("_n"), *_ends("lsn_num"), *_ends("ts_ms"), *_ends("seq")
     )
     distinct = F.when(F.size("_at") > 0, F.size("_at").cast("bigint")).otherwise(F.col("_n"))
-    stretches = folded.groupBy("db", "txid", "_stretch").agg(
-        F.sum(distinct).alias("changes"), F.sum("_n").alias("_n"), F.collect_set("table").alias("tables"),
-        *(c for name in ("lsn_num", "ts_ms", "seq") for c in _merged(name)),
-    )
-    own = Window.partitionBy("db", "txid").orderBy("_stretch")
-    far = F.col("_first_lsn_num") - F.lag("_last_lsn_num").over(own) > gap
-    islands = stretches.withColumn("_new", F.coalesce(far, F.col("_stretch").isNull(), F.lit(False)).cast("int"))
-    # places without a position come first; what follows them is another island
-    after = F.lag("_stretch").over(own).isNull() & F.col("_stretch").isNotNull()
-    islands = islands.withColumn("_island", F.sum(F.greatest("_new", after.cast("int"))).over(own))
+    folded = folded.withColumn("changes", distinct).drop("_at")
+    # rows without a position come first, and what follows them is another island
+    own = Window.partitionBy("db", "txid").orderBy("_first_lsn_num")
+    behind = F.max("_last_lsn_num").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.col("_first_lsn_num").isNotNull() & F.coalesce(F.col("_first_lsn_num") - behind > gap, F.lit(True))
+    islands = folded.withColumn("_new", new.cast("int"))
+    islands = islands.withColumn("_island", F.sum("_new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
     whole = islands.groupBy("db", "txid", "_island").agg(
-        F.sum("changes").alias("changes"), F.sum("_n").alias("_n"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("tables")))).alias("tables"),
+        F.sum("changes").alias("changes"), F.sum("_n").alias("_n"), F.array_sort(F.collect_set("table")).alias("tables"),
         *(c for name in ("lsn_num", "ts_ms", "seq") for c in _merged(name)),
     )
     return whole.select(

@@ -68,3 +68,9 @@ def test_a_huge_transaction_is_folded_in_the_tasks(spark):
     assert "partial_collect_set" in below and "_stretch" in below.splitlines()[0]
     (row,) = df.collect()
     assert (row.changes, row.replays, row.first_lsn, row.last_lsn) == (60_000, 0, 0, 8 * 59_999)
+
+
+def test_stretches_are_moved_once_after_the_fold(spark):
+    rows = spark.createDataFrame([(1, "d", "s", "t", "c", 5, 9, 1), (2, "d", "s", "u", "c", 6, 9, 1)], COLUMNS)
+    plan = transactions(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
