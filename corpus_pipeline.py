@@ -14,12 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rowtide.llm import bpe, jaccard, mixing, pii, quality
-from rowtide.llm.common import shelve, table
+from rowtide.llm.common import batch_rows, shelve, table
 
 SHINGLE, SIMILARITY = 5, 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    batch_rows(spark)  # for all stages: workers keep what one of them held
     return quality.accept(docs, table(spark, sf_dir, "labels"))
 
 

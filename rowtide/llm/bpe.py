@@ -26,6 +26,8 @@ from rowtide.llm.common import ship, table
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Pieces whose encoding a worker remembers, in each of two generations.
 REMEMBERED = 250_000
+#: Pairs of tokens of which a worker remembers whether they stay apart.
+PAIRS = 500_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -61,7 +63,7 @@ class Vocabulary:
         known = self.apart.get(key)
         if known is None:
             known = self._stay(left, right)
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) > PAIRS:
                 self.apart.clear()
             self.apart[key] = known
         return known
