@@ -3,7 +3,8 @@
 For every byte prefix of a piece there is exactly one token that can end the encoding of that prefix. It is the
 token ``t`` for which the last token of the shorter prefix and ``t`` stay two tokens when their bytes are merged by
 rank. ``Prefixes`` stores that last token per prefix: the encoding of any prefix follows by walking back, bytes can
-be appended exactly, and after an edit only the prefixes behind it are computed anew.
+be appended exactly, and after an edit only the prefixes behind it are computed anew. New pieces of a group of texts are
+encoded in sorted order by such edits, so a prefix that several of them share is computed once.
 
 Nulls are empty texts: no tokens. Ids and their digests do not depend on neighbouring rows; other columns of the
 input, also ones named like the results, are left out by ``encode`` except ``doc_id``. Rows with equal ids are all
@@ -14,7 +15,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import public_tokenizers
 import pyarrow as pa
@@ -28,6 +30,8 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 REMEMBERED = 250_000
 #: Pairs of tokens of which a worker remembers whether they stay apart.
 PAIRS = 500_000
+#: Characters of texts whose new pieces are encoded together.
+GROUP = 4_000_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -41,6 +45,8 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes = {i: t for t, i in ranks.items()}
+        self.sizes = {i: len(t) for t, i in ranks.items()}
+        self.names = {i: str(i) for i in self.bytes}
         self.longest = max(map(len, ranks))
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.apart: dict[tuple[int, int], bool] = {}
@@ -104,22 +110,23 @@ class Prefixes:
     def append(self, data: bytes) -> None:
         v, start = self.vocabulary, len(self.data)
         self.data = whole = self.data + data
-        find, known, last = v.ranks.get, v.apart.get, self.last
+        find, known, last, longest = v.ranks.get, v.apart.get, self.last, v.longest
         for end in range(start + 1, len(whole) + 1):
             # Only one token can be right, so the order of the search is free; short ones are the likelier.
-            for at in range(end - 1, max(-1, end - v.longest - 1), -1):
+            at, least = end - 1, max(0, end - longest)
+            while at >= least:
                 token = find(whole[at:end])
-                if token is None:
-                    continue
-                if at:
+                if token is not None:
+                    if not at:
+                        break
                     key = (last[at - 1], token)
                     stays = known(key)
-                    if not (v.stay(*key) if stays is None else stays):
-                        continue
-                last.append(token)
-                break
+                    if v.stay(*key) if stays is None else stays:
+                        break
+                at -= 1
             else:
                 raise ValueError(f"no token ends at byte {end}")
+            last.append(token)
 
     def replace(self, at: int, end: int, data: bytes) -> None:
         """Put ``data`` in place of bytes ``at`` to ``end``; prefixes up to ``at`` are kept."""
@@ -129,10 +136,11 @@ class Prefixes:
 
     def ids(self, end: int | None = None) -> list[int]:
         """The encoding of the first ``end`` bytes."""
-        at, out = len(self.data) if end is None else end, []
+        at, out, last, size = len(self.data) if end is None else end, [], self.last, self.vocabulary.sizes
         while at:
-            out.append(self.last[at - 1])
-            at -= len(self.vocabulary.bytes[out[-1]])
+            token = last[at - 1]
+            out.append(token)
+            at -= size[token]
         return out[::-1]
 
 
@@ -140,28 +148,60 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
         self.vocabulary, self.pieces, self.known, self.older = Vocabulary(ranks), regex.compile(pattern), {}, {}
 
-    def piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece)
-        if ids is None:
-            data = piece.encode()
-            whole = self.vocabulary.ranks.get(data)
-            ids = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, data).ids())
-            if len(data) > 64:
-                return ids
-        if len(self.known) >= REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.known[piece] = ids
-        return ids
-
-    def encode(self, text: str | None) -> list[int]:
-        out, known = [], self.known
-        for piece in self.pieces.findall(text or ""):
-            ids = known.get(piece)
+    def learn(self, pieces: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        """The encoding of each of these pieces; remembers the short ones."""
+        out, older, prefixes = {}, self.older, Prefixes(self.vocabulary)
+        ranks = self.vocabulary.ranks
+        for piece in sorted(pieces):
+            ids = older.get(piece)
             if ids is None:
-                ids, known = self.piece(piece), self.known
-            out += ids
+                data = piece.encode()
+                whole = ranks.get(data)
+                if whole is None:
+                    before, at = prefixes.data, 0
+                    for at, (x, y) in enumerate(zip(before, data)):
+                        if x != y:
+                            break
+                    else:
+                        at = min(len(before), len(data))
+                    prefixes.replace(at, len(before), data[at:])
+                    ids = tuple(prefixes.ids())
+                else:
+                    ids = (whole,)
+            out[piece] = ids
+        for piece, ids in out.items():
+            if len(piece) <= 64:
+                if len(self.known) >= REMEMBERED:
+                    self.older, self.known = self.known, {}
+                self.known[piece] = ids
         return out
 
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[list[int]]:
+        """The encoding of each text, in their order."""
+        group, new, size = [], set(), 0
+        for text in texts:
+            pieces = self.pieces.findall(text or "")
+            # What is known is told at once, so that a group holds the text of its new pieces only.
+            found = list(map(self.known.get, pieces, pieces))
+            at = [i for i, p in enumerate(found) if p.__class__ is str]
+            new.update([found[i] for i in at])
+            group.append((found, at))
+            size += len(text or "")
+            if size >= GROUP:
+                yield from self._told(group, new)
+                group, new, size = [], set(), 0
+        yield from self._told(group, new)
+
+    def _told(self, group: list[tuple[list, list[int]]], new: set[str]) -> Iterator[list[int]]:
+        told = self.learn(new)
+        for found, at in group:
+            for i in at:
+                found[i] = told[found[i]]
+            yield list(chain.from_iterable(found))
+
+    def encode(self, text: str | None) -> list[int]:
+        return next(self.encode_all([text]))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.bytes.__getitem__, ids))
 
@@ -189,12 +229,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, with_ids: bool = Fals
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
+        name = encoder.vocabulary.names.__getitem__
         for batch in batches:
             n, digests, decoded, all_ids = [], [], [], []
-            for text in batch.column(1):
-                ids = encoder.encode(text.as_py())
+            for ids in encoder.encode_all(text.as_py() for text in batch.column(1)):
                 n.append(len(ids))
-                digests.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+                digests.append(hashlib.sha256(",".join(map(name, ids)).encode()).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
                 if with_ids:
                     all_ids.append(ids)

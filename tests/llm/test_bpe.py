@@ -69,3 +69,23 @@ def test_query_on_the_table(spark, sf, pair):
     for r in got:
         ids = pair[1].encode_ordinary(docs[r.doc_id] or "")
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_prefixes_that_new_pieces_share_are_computed_once(pair, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice(["ka", "ré", "tio", "ß", "wh"]) for _ in range(6)) for _ in range(3000)]
+    docs = [" ".join(words[i : i + 100]) for i in range(0, 3000, 100)] + [None, "", words[0] * 50]
+    encoder, given = bpe.Encoder(pair[0].vocabulary.ranks), []
+    append = bpe.Prefixes.append
+    monkeypatch.setattr(bpe.Prefixes, "append", lambda self, data: (given.append(len(data)), append(self, data))[1])
+    assert list(encoder.encode_all(docs)) == [pair[1].encode_ordinary(d or "") for d in docs]
+    assert sum(given) < 0.6 * sum(len(w.encode()) + 1 for w in set(words))
+
+
+@pytest.mark.parametrize("remembered, characters", [(1, 1), (7, 50), (100, 1000)])
+def test_groups_and_bounds_change_nothing(pair, monkeypatch, remembered, characters):
+    monkeypatch.setattr(bpe, "REMEMBERED", remembered)
+    monkeypatch.setattr(bpe, "GROUP", characters)
+    encoder, docs = bpe.Encoder(pair[0].vocabulary.ranks), texts()[:400] * 2
+    assert list(encoder.encode_all(docs)) == [pair[1].encode_ordinary(d) for d in docs]
+    assert len(encoder.known) <= remembered
