@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract
 from rowtide.functions.cells import apply_chain, apply_chain_rows
+from rowtide.functions.members import ESCAPED, members
 from rowtide.operators.asof import as_of
 from rowtide.operators.envelope import cell
 
@@ -275,8 +276,17 @@ def payload(before: Column, after: Column) -> Column:
 
 def canonical_name(connector: str, lsn: Column, pk: Column) -> Column:
     """Coordinates of a change as JSON with sorted keys, nulls kept; ``pk`` is JSON with sorted keys."""
-    schema = F.nullif(F.col("table_schema"), F.lit("")).alias("schema")
-    head = F.struct(F.lit(connector).alias("connector"), "db", lsn.alias("lsn"), "op")
-    tail = F.struct(schema, F.col("table_name").alias("table"), "txid")
-    head, tail = F.to_json(head, KEEP_NULLS), F.to_json(tail, KEEP_NULLS)
-    return F.concat(F.rtrim(head, F.lit("}")), F.lit(',"pk":'), pk, F.lit(","), F.ltrim(tail, F.lit("{")))
+    schema = F.nullif(F.col("table_schema"), F.lit(""))
+    head = [("connector", "text", F.lit(connector)), ("db", "plain", F.col("db")), ("lsn", "plain", lsn), ("op", "plain", F.col("op"))]
+    tail = [("schema", "plain", schema), ("table", "plain", F.col("table_name")), ("txid", "number", F.col("txid"))]
+
+    def name(head: Column, tail: Column) -> Column:
+        return F.concat(F.lit("{"), head, F.lit(',"pk":'), pk, F.lit(","), tail, F.lit("}"))
+
+    def written(each: list) -> Column:
+        text = F.to_json(F.struct(*[v.alias(n) for n, _, v in each]), KEEP_NULLS)
+        return F.substring(text, F.lit(2), F.length(text) - 2)
+
+    odd = F.concat_ws("", "db", lsn, "op", "table_schema", "table_name").rlike(ESCAPED)
+    sides = [F.when(odd, written(each)).otherwise(members(each, nulls=True)) for each in (head, tail)]
+    return name(*sides)

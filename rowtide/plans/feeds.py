@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract, contract_versions
+from rowtide.functions.members import object_text
 from rowtide.session import configure, spread
 from rowtide.sources.feed import FEED_COLUMNS, union_feeds
 
@@ -83,17 +84,17 @@ def envelope(block: Column | str, before: Column, after: Column, source: Column,
 
 def source_json(table_name: Column, lsn: Column, txid: Column | None, ts_ms: Column, snapshot: Column) -> Column:
     fields = [
-        F.lit("postgresql").alias("connector"),
-        F.lit(DB).alias("db"),
-        F.lit("public").alias("schema"),
-        table_name.alias("table"),
-        lsn.alias("lsn"),
-        ts_ms.alias("ts_ms"),
-        snapshot.alias("snapshot"),
+        ("connector", "plain", F.lit("postgresql")),
+        ("db", "plain", F.lit(DB)),
+        ("schema", "plain", F.lit("public")),
+        ("table", "plain", table_name),
+        ("lsn", "number", lsn),
+        ("ts_ms", "number", ts_ms),
+        ("snapshot", "plain", snapshot),
     ]
     if txid is not None:
-        fields.append(txid.alias("txId"))
-    return F.to_json(F.struct(*fields), NULLS)
+        fields.append(("txId", "number", txid))
+    return object_text(fields, nulls=True)
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,13 +120,13 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     o = o.select("*", kind.alias("kind")).select("*", op.alias("op"))
 
-    ids = [k.alias("id"), F.col("o_custkey").alias("customer_id")]
-    total = F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("total")
-    status = F.concat(F.lit("  "), "o_orderstatus", F.lit(" ")).alias("status")
-    text_row = F.to_json(F.struct(*ids, status, total))
-    number_row = F.to_json(F.struct(*ids, (k % 7).alias("status"), total))
+    ids = [("id", "number", k), ("customer_id", "number", F.col("o_custkey"))]
+    total = ("total", "plain", F.col("o_totalprice").cast("decimal(15,2)").cast("string"))
+    status = F.concat(F.lit("  "), "o_orderstatus", F.lit(" "))
+    text_row = object_text([*ids, ("status", "text", status), total])
+    number_row = object_text([*ids, ("status", "number", k % 7), total])
     after = F.when(F.col("kind") == "nonstring", number_row).when(F.col("op").isin("c", "u", "r"), text_row)
-    old_row = F.to_json(F.struct(*ids, F.lit(" N ").alias("status"), F.lit("0.00").alias("total")))
+    old_row = object_text([*ids, ("status", "plain", F.lit(" N ")), ("total", "plain", F.lit("0.00"))])
     before = F.when(F.col("op").isin("u", "d") & (F.col("kind") != "noimage"), old_row)
 
     block = (
@@ -143,7 +144,7 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = envelope(block, before, after, source, F.col("op"))
     change = F.when(F.col("kind") == "garbage", "not json").otherwise(text)
-    key = F.to_json(F.struct(k.alias("id")))
+    key = object_text([("id", "number", k)])
     o = o.select("o_orderkey", "kind", "op", key.alias("key"), change.alias("change"))
 
     dest, none = F.lit("cdc.public.orders"), F.lit(None).cast("string")
@@ -166,14 +167,12 @@ def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    row = F.to_json(
-        F.struct(
-            k.alias("id"),
-            F.concat(F.lit("  "), F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM ")).alias("email"),
-            F.col("c_name").alias("full_name"),
-            F.concat(F.lit("pbkdf2:"), k.cast("string")).alias("password_hash"),
-        )
-    )
+    row = object_text([
+        ("id", "number", k),
+        ("email", "text", F.concat(F.lit("  "), F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("@Example.COM "))),
+        ("full_name", "text", F.col("c_name")),
+        ("password_hash", "plain", F.concat(F.lit("pbkdf2:"), k.cast("string"))),
+    ])
     op = F.when(k % 3 < 2, "c").otherwise("r")
     block = schema_block(CUSTOMER_COLUMNS)
     source = source_json(
@@ -183,7 +182,7 @@ def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         (k + 1000000000).alias("seq"),
         F.lit("cdc.public.customers").alias("destination"),
-        F.to_json(F.struct(k.alias("id"))).alias("key"),
+        object_text([("id", "number", k)]).alias("key"),
         envelope(block, F.lit(None), row, source, op).alias("value"),
     )
 
@@ -191,12 +190,8 @@ def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     k, n = F.col("l_orderkey"), F.col("l_linenumber")
-    row = F.to_json(
-        F.struct(
-            k.alias("orderkey"), n.alias("linenumber"),
-            F.col("l_quantity").cast("decimal(15,2)").cast("string").alias("quantity"),
-        )
-    )
+    ids = [("orderkey", "number", k), ("linenumber", "number", n)]
+    row = object_text([*ids, ("quantity", "plain", F.col("l_quantity").cast("decimal(15,2)").cast("string"))])
     block = schema_block(LINE_ITEM_COLUMNS)
     source = source_json(
         F.lit("line_items"), k * 64 + n * 8 + 200000000000, k, F.lit(1714400000000) + k, F.lit("false")
@@ -204,7 +199,7 @@ def line_items_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         (k * 8 + n + 2000000000).alias("seq"),
         F.lit("cdc.public.line_items").alias("destination"),
-        F.to_json(F.struct(k.alias("orderkey"), n.alias("linenumber"))).alias("key"),
+        object_text(ids).alias("key"),
         envelope(block, F.lit(None), row, source, F.lit("c")).alias("value"),
     )
 
