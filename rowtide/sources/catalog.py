@@ -114,9 +114,13 @@ def catalog_of(
 
 
 def index_columns(indexes: DataFrame, attributes: DataFrame) -> DataFrame:
-    """Named columns of each index in key order; key parts that are expressions have no column."""
+    """Named columns of each index in key order; key parts that are expressions have no column.
+
+    Attributes are unfolded rows of a scan: their size is guessed from the file, many times too small, and the planner
+    would broadcast those of a whole fleet through the driver. Hence the hint.
+    """
     parts = indexes.select(*TABLE, "index_name", F.posexplode("indkey").alias("pos", "attnum"))
-    return parts.where("attnum <> 0").join(attributes, [*TABLE, "attnum"]).select(
+    return parts.where("attnum <> 0").join(attributes.hint("merge"), [*TABLE, "attnum"]).select(
         *TABLE, "index_name", "column", (F.col("pos") + 1).alias("key_seq")
     )
 

@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from envelopes import COLUMNS, envelope, feed
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract, contract_df
 from rowtide.operators import drift, lint, scaffold
-from rowtide.operators.catalog import assemble_catalog, columns_with_enums, missing_tables
+from rowtide.operators.catalog import assemble_catalog, columns_with_enums, missing_tables, primary_key_columns
 from rowtide.operators.envelope import parse
 from rowtide.sources.catalog import catalog_of, observed_columns, read_catalog
 
@@ -186,6 +187,22 @@ def test_catalog(spark, tmp_path):
     assert [r.table_name for r in missing_tables(asked, some).collect()] == ["shops"]
 
 
+def _attribute_joins(df):
+    """The joins of index keys with the attributes, as planned."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.search(r"\w+Join", line)[0] for line in plan.splitlines() if "Join [" in line and "attnum" in line]
+
+
+def test_attributes_are_not_broadcast(spark, tmp_path):
+    # The planner guesses the size of attributes from a file, and would broadcast these.
+    for name, df in zip(("columns", "identities", "enums", "attributes", "indexes"), _library(spark), strict=True):
+        df.write.parquet(str(tmp_path / name))
+    cat = read_catalog(spark, path=str(tmp_path))
+    keys = primary_key_columns(cat)
+    assert _attribute_joins(keys) == ["SortMergeJoin"]
+    assert {r.table_name: r.primary_key for r in keys.collect()} == {"loans": ["out_on", "branch", "copy_no"], "books": ["isbn"]}
+
+
 def test_starter_artefacts(spark):
     cat = catalog_of(*_library(spark))
     docs = {r.path: json.loads(r.text) for r in scaffold.json_schemas(cat, "org.shelf").collect()}
