@@ -201,6 +201,7 @@ def test_attributes_are_not_broadcast(spark, tmp_path):
     keys = primary_key_columns(cat)
     assert _attribute_joins(keys) == ["SortMergeJoin"]
     assert {r.table_name: r.primary_key for r in keys.collect()} == {"loans": ["out_on", "branch", "copy_no"], "books": ["isbn"]}
+    assert _attribute_joins(scaffold.scaffold_contract(cat, "org.shelf")) == ["SortMergeJoin"]
 
 
 def test_starter_artefacts(spark):
