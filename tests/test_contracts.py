@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from rowtide.contract import ColumnSpec, TableContract, contract_df
 from rowtide.operators import drift, lint, scaffold
-from rowtide.operators.catalog import assemble_catalog, columns_with_enums, missing_tables, primary_key_columns
+from rowtide.operators.catalog import (
+    assemble_catalog,
+    columns_with_enums,
+    missing_tables,
+    primary_key_columns,
+    unique_index_columns,
+)
 from rowtide.operators.envelope import parse
 from rowtide.sources.catalog import catalog_of, observed_columns, read_catalog
 
@@ -202,6 +208,11 @@ def test_attributes_are_not_broadcast(spark, tmp_path):
     assert _attribute_joins(keys) == ["SortMergeJoin"]
     assert {r.table_name: r.primary_key for r in keys.collect()} == {"loans": ["out_on", "branch", "copy_no"], "books": ["isbn"]}
     assert _attribute_joins(scaffold.scaffold_contract(cat, "org.shelf")) == ["SortMergeJoin"]
+    unique = unique_index_columns(cat)
+    assert _attribute_joins(unique) == ["SortMergeJoin"]
+    assert {r.table_name: r.unique_indexes for r in unique.collect()} == {
+        "books": [["shelf", "title"]], "readers": [["card"], ["street", "town"], ["phone"]],
+    }
 
 
 def test_starter_artefacts(spark):
