@@ -208,6 +208,7 @@ def test_attributes_are_not_broadcast(spark, tmp_path):
     assert _attribute_joins(keys) == ["SortMergeJoin"]
     assert {r.table_name: r.primary_key for r in keys.collect()} == {"loans": ["out_on", "branch", "copy_no"], "books": ["isbn"]}
     assert _attribute_joins(scaffold.scaffold_contract(cat, "org.shelf")) == ["SortMergeJoin"]
+    assert _attribute_joins(scaffold.pk_hints(cat)) == ["SortMergeJoin"] * 2
     unique = unique_index_columns(cat)
     assert _attribute_joins(unique) == ["SortMergeJoin"]
     assert {r.table_name: r.unique_indexes for r in unique.collect()} == {
