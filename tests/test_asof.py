@@ -46,6 +46,34 @@ def test_versions_like_a_loop(spark, monkeypatch, limit):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("piece", [3, 4096])
+def test_a_long_interval_is_told_in_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(asof, "PIECE", piece, raising=False)
+    # The first version of "long" holds over nearly all of the line, the others lie close to each other behind it.
+    versions = [("long", -(10**9)), *(("long", 10**9 + 3 * i) for i in range(40)), ("brief", 7), ("brief", 9), ("brief", 30)]
+    rows = [(k, at) for k, s in versions for at in (s - 1, s, s + 1)] + [("long", n * 10**7) for n in range(-100, 101)]
+    rows += [("long", None), ("brief", -(10**12)), ("other", 5), (None, 5)]
+    left, right = spark.createDataFrame(rows, "k string, at bigint"), spark.createDataFrame(versions, "k string, start bigint")
+    got = asof.as_of(left, right, ["k"], "at", "start")
+    assert sorted(map(tuple, got.collect()), key=repr) == _loop(rows, versions)
+
+
+def test_no_array_holds_the_bins_of_a_long_interval(spark, monkeypatch):
+    explode = F.explode
+
+    def bounded(c):
+        return explode(F.when(F.size(c) <= 200, c).otherwise(F.raise_error(F.lit("a long array"))))
+
+    monkeypatch.setattr(asof, "PIECE", 64, raising=False)
+    monkeypatch.setattr(asof.F, "explode", bounded)
+    # The first version lies over 12,000 bins, eight for each version.
+    versions = [("long", 0), *(("long", 10**12 + i) for i in range(1500))]
+    rows = [("long", at) for at in (-1, 0, 10**11, 10**12 - 1, 10**12, 10**12 + 700)]
+    left, right = spark.createDataFrame(rows, "k string, at bigint"), spark.createDataFrame(versions, "k string, start bigint")
+    got = asof.as_of(left, right, ["k"], "at", "start")
+    assert sorted(map(tuple, got.collect()), key=repr) == _loop(rows, versions)
+
+
 def test_no_versions_and_one_version(spark):
     rows = spark.createDataFrame([("a", 1), ("a", None)], "k string, at bigint")
     for starts, want in (([], {None}), ([("a", 2)], {None, 2}), ([("a", 0)], {0})):
