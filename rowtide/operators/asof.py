@@ -70,10 +70,13 @@ def _bins(starts: DataFrame, keys: list[str]) -> DataFrame:
     """
     along = Window.partitionBy(*keys).orderBy("_block")
     within = Window.partitionBy(*keys, "_block").orderBy("_bin")
-    held = starts.groupBy(*keys, _bin_of(F.col("_from"), F.col("_width")).alias("_bin")).agg(
+    tasks = int(starts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = starts.withColumn("_bin", _bin_of(F.col("_from"), F.col("_width")))
+    placed = placed.select(*keys, "_from", "_bin", _bin_of(F.col("_bin"), F.lit(PIECE)).alias("_block"))
+    # dealt out by block: else rows that come by key, from the join with the widths, would stay so
+    held = placed.repartition(tasks, *keys, "_block").groupBy(*keys, "_block", "_bin").agg(
         F.array_sort(F.collect_list("_from")).alias("_starts")
     )
-    held = held.withColumn("_block", _bin_of(F.col("_bin"), F.lit(PIECE)))
     edges = held.groupBy(*keys, "_block").agg(F.min("_bin").alias("_first"), F.max(F.array_max("_starts")).alias("_newest"))
     edges = edges.select(
         *keys, "_block", F.lag("_newest").over(along).alias("_before"), F.lead("_first").over(along).alias("_next")
@@ -90,7 +93,6 @@ def _bins(starts: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "_piece", F.least("_until", F.col("_piece") + (PIECE - 1)).alias("_until"),
         F.when(F.col("_piece") == F.col("_bin"), F.col("_starts")).otherwise(newest).alias("_starts"),
     )
-    tasks = int(starts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     told = pieces.repartition(tasks, *keys, "_piece").select("*", F.explode(F.sequence("_piece", "_until")).alias("_bin"))
     return told.select(*keys, "_bin", F.when(F.col("_bin") == F.col("_piece"), F.col("_starts")).otherwise(newest).alias("_starts"))
 
